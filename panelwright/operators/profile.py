@@ -212,8 +212,11 @@ def two_sample_tests(df: DataFrame, cols: Sequence[str], label: str = "label") -
     effect = safe_div(F.col("m1") - F.col("m0"), F.sqrt((F.col("v0") + F.col("v1")) / 2))
     out = s.where((F.col("n0") > 0) & (F.col("n1") > 0)).select(
         "feature", t.alias("t"), effect.alias("effect"), dof.alias("dof"))
-    p = F.udf(lambda x, d: None if x is None or d is None or d <= 0 else t_two_sided(x, d), "double")
-    return out.withColumn("p_value", p("t", "dof"))            # one row per column
+    rows = [(r["feature"], r["t"], r["effect"], r["dof"],
+             None if r["t"] is None or r["dof"] <= 0 else t_two_sided(r["t"], r["dof"]))
+            for r in out.collect()]                            # one row per column
+    return df.sparkSession.createDataFrame(
+        rows, "feature string, t double, effect double, dof long, p_value double")
 
 
 def t_two_sided(t: float, dof: float) -> float:

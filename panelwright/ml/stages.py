@@ -126,32 +126,37 @@ class CategoricalEncoder(_Options, Estimator, DefaultParamsReadable, DefaultPara
 
     def _fit(self, df: DataFrame) -> CategoricalEncoderModel:
         method, features = self.opt("method"), self._features(df)
-        state = {"method": method, "features": features, "handle_unknown": self.opt("handle_unknown")}
-        tables = {}
         if method == "target_encoding":
-            state["overall"] = encode.global_mean(df, self.opt("label"))
-            for f in features:
-                tables[f] = materialize(encode.target_map(df, f, self.opt("label"), self.opt("min_samples_leaf"), state["overall"]), "target-map")
-        elif method == "label_encoding":
-            for f in features:
-                tables[f] = materialize(encode.label_map(df, f), "label-map")
+            return self._target_model(features, encode.category_stats(df, features, self.opt("label")) if features else None)
+        state = {"method": method, "features": features, "handle_unknown": self.opt("handle_unknown")}
+        model = CategoricalEncoderModel(state)
+        if method == "label_encoding":
+            model.tables = {f: materialize(encode.label_map(df, f), "label-map") for f in features}
         elif method == "one_hot":
             state["categories"] = {f: encode.categories(df, f) for f in features}
         else:
             raise ValueError(f"unknown encoding method: {method}")
-        model = CategoricalEncoderModel(state)
-        model.tables = tables
+        return model
+
+    def _target_model(self, features: list[str], stats: DataFrame | None) -> CategoricalEncoderModel:
+        overall = encode.overall_mean(stats) if features else 0.0
+        model = CategoricalEncoderModel({"method": "target_encoding", "features": features, "overall": overall,
+                                         "handle_unknown": self.opt("handle_unknown")})
+        model.tables = {f: encode.full_map(stats, f, overall, self.opt("min_samples_leaf")) for f in features}
         return model
 
     def fit_transform(self, df: DataFrame) -> tuple[CategoricalEncoderModel, DataFrame]:
         """The model for new rows, and the training rows encoded without their own fold."""
-        model = self.fit(df)
-        folds = self.opt("cv_folds")
-        if self.opt("method") != "target_encoding" or folds <= 1:
+        folds, features = self.opt("cv_folds"), self._features(df)
+        if self.opt("method") != "target_encoding" or folds <= 1 or not features:
+            model = self.fit(df)
             return model, model.transform(df)
         out = df.withColumn("_fold", encode.hash_fold(self.opt("keys"), folds, self.opt("random_state")))
-        for f in model.fitted["features"]:
-            out = encode.target_encode_oof(out, f, "_fold", self.opt("label"), self.opt("min_samples_leaf"), out=f)
+        stats = encode.category_stats(out, features, self.opt("label"), "_fold")
+        model = self._target_model(features, stats)
+        for f in features:
+            table = encode.fold_map(stats, f, "_fold", model.fitted["overall"], self.opt("min_samples_leaf"))
+            out = encode.apply_map(out, table, [f, "_fold"], model.fitted["overall"], f)
         return model, out.drop("_fold")
 
 
@@ -171,7 +176,7 @@ class CategoricalEncoderModel(_Fitted):
             if f not in df.columns:
                 continue
             if s["method"] == "target_encoding":
-                df = encode.apply_map(df, self.tables[f], f, s["overall"], f)
+                df = encode.apply_map(df, self.tables[f], [f], s["overall"], f)
             elif s["method"] == "label_encoding":
                 policy = "error" if s["handle_unknown"] == "error" else "keep"
                 df = encode.label_encode(df, f, self.tables[f], policy, out=f)
@@ -280,4 +285,6 @@ def fit_stages(stages: Sequence, df: DataFrame) -> tuple[PipelineModel, DataFram
             model = stage.fit(df)
             fitted.append(model)
             df = model.transform(df)
+        if isinstance(stage, TemporalFeatureEngineer):
+            df = materialize(df, "temporal")        # the later fits read the windows, not redo them
     return PipelineModel(stages=fitted), df

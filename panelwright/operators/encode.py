@@ -19,31 +19,60 @@ def smoothed(n: Column, total: Column, overall: Column, m: float) -> Column:
     return F.coalesce(weight * safe_div(total, n) + (1.0 - weight) * overall, overall)
 
 
-def global_mean(df: DataFrame, label: str) -> float:
-    value = df.agg(F.avg(label)).first()[0]
-    return float(value) if value is not None else 0.0
+def category_stats(df: DataFrame, features: Sequence[str], label: str = "label", fold: str | None = None) -> DataFrame:
+    """(feature, category[, fold], n, s): label count and sum per category of all features, stored.
 
-
-def target_map(df: DataFrame, feature: str, label: str = "label", m: float = 20,
-               overall: float | None = None) -> DataFrame:
-    """(feature, value): the smoothed label mean of every category."""
-    overall = global_mean(df, label) if overall is None else overall
-    stats = df.where(F.col(feature).isNotNull()).groupBy(feature).agg(
+    One scan serves every feature. Missing categories are kept, so each feature's rows add up to the
+    whole table.
+    """
+    mixed = len({df.schema[f].dataType for f in features}) > 1      # one type keeps its type
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), (F.col(f).cast("string") if mixed else F.col(f)).alias("category"))
+                      for f in features])
+    extra = [fold] if fold else []
+    stats = df.select(label, *extra, F.inline(cells)).groupBy("feature", "category", *extra).agg(
         F.count(label).alias("n"), F.sum(label).alias("s"))
-    return stats.select(feature, smoothed(F.col("n"), F.col("s"), F.lit(overall), m).alias("value"))
+    return materialize(stats, "category-stats")
+
+
+def overall_mean(stats: DataFrame) -> float:
+    """The label mean of the whole table, from the rows of any one feature."""
+    row = stats.groupBy("feature").agg((F.sum("s") / F.sum("n")).alias("m")).first()
+    return float(row["m"]) if row and row["m"] is not None else 0.0
+
+
+def full_map(stats: DataFrame, feature: str, overall: float, m: float = 20) -> DataFrame:
+    """(feature column, value): the smoothed label mean of every category."""
+    own = stats.where((F.col("feature") == feature) & F.col("category").isNotNull())
+    total = own.groupBy(F.col("category").alias(feature)).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    return total.select(feature, smoothed(F.col("n"), F.col("s"), F.lit(overall), m).alias("value"))
 
 
-def apply_map(df: DataFrame, table: DataFrame, feature: str, default, out: str) -> DataFrame:
-    """Replace ``feature`` by the table's value; unknown and missing categories get ``default``."""
-    renamed = table.select(feature, F.col("value").alias("_value"))
-    return (lookup_join(df, renamed, [feature])
+def fold_map(stats: DataFrame, feature: str, fold: str, overall: float, m: float = 20) -> DataFrame:
+    """(feature column, fold, value): per fold the smoothed mean over the *other* folds, which is the
+    category's total minus its own fold."""
+    own = stats.where((F.col("feature") == feature) & F.col("category").isNotNull())
+    w = Window.partitionBy("category")                      # at most one row per fold
+    others = own.select(F.col("category").alias(feature), fold, (F.sum("n").over(w) - F.col("n")).alias("n"),
+                        (F.sum("s").over(w) - F.col("s")).alias("s"))
+    return others.select(feature, fold, smoothed(F.col("n"), F.col("s"), F.lit(overall), m).alias("value"))
+
+
+def target_map(df: DataFrame, feature: str, label: str = "label", m: float = 20) -> DataFrame:
+    stats = category_stats(df, [feature], label)
+    return full_map(stats, feature, overall_mean(stats), m)
+
+
+def apply_map(df: DataFrame, table: DataFrame, keys: Sequence[str], default, out: str) -> DataFrame:
+    """Add the table's value for the row's keys; unknown and missing categories get ``default``."""
+    renamed = table.select(*keys, F.col("value").alias("_value"))
+    return (lookup_join(df, renamed, keys)
             .withColumn(out, F.coalesce(F.col("_value"), F.lit(default))).drop("_value"))
 
 
 def target_encode(df: DataFrame, feature: str, label: str = "label", m: float = 20, out: str | None = None) -> DataFrame:
-    overall = global_mean(df, label)
-    table = materialize(target_map(df, feature, label, m, overall), "target-map")
-    return apply_map(df, table, feature, overall, out or f"{feature}_encoded")
+    stats = category_stats(df, [feature], label)
+    overall = overall_mean(stats)
+    return apply_map(df, full_map(stats, feature, overall, m), [feature], overall, out or f"{feature}_encoded")
 
 
 def hash_fold(keys: Sequence[str], folds: int, seed: int = 42) -> Column:
@@ -53,20 +82,10 @@ def hash_fold(keys: Sequence[str], folds: int, seed: int = 42) -> Column:
 
 def target_encode_oof(df: DataFrame, feature: str, fold: str, label: str = "label", m: float = 20,
                       out: str | None = None) -> DataFrame:
-    """Every row is encoded with the label statistics of the other folds (the overall mean is over
-    all rows). The other folds' sums are the category's total minus its own fold, so one grouping
-    serves all folds."""
-    out = out or f"{feature}_encoded"
-    overall = global_mean(df, label)
-    own = df.where(F.col(feature).isNotNull()).groupBy(feature, fold).agg(
-        F.count(label).alias("n"), F.sum(label).alias("s"))
-    w = Window.partitionBy(feature)                         # at most one row per fold
-    n = F.sum("n").over(w) - F.col("n")
-    s = F.sum("s").over(w) - F.col("s")
-    table = own.select(feature, fold, n.alias("n"), s.alias("s")).select(
-        feature, fold, smoothed(F.col("n"), F.col("s"), F.lit(overall), m).alias("_value"))
-    joined = lookup_join(df, materialize(table, "fold-map"), [feature, fold])
-    return joined.withColumn(out, F.coalesce(F.col("_value"), F.lit(overall))).drop("_value")
+    """Every row is encoded with the label statistics of the other folds; the overall mean is over all rows."""
+    stats = category_stats(df, [feature], label, fold)
+    overall = overall_mean(stats)
+    return apply_map(df, fold_map(stats, feature, fold, overall, m), [feature, fold], overall, out or f"{feature}_encoded")
 
 
 def label_map(df: DataFrame, feature: str, checked_rows: int = BROADCAST_ROWS,

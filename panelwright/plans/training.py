@@ -25,7 +25,7 @@ SPACE = {
     "gbt": {"maxIter": (10, 60, "int"), "maxDepth": (3, 7, "int"), "stepSize": (1e-3, 0.2, "log"),
             "subsamplingRate": (0.6, 1.0, "float"), "minInstancesPerNode": (1, 50, "int")},
     "random_forest": {"numTrees": (20, 100, "int"), "maxDepth": (3, 10, "int"), "minInstancesPerNode": (1, 50, "int")},
-    "logistic_regression": {"regParam": (1e-4, 1.0, "log"), "elasticNetParam": (0.0, 1.0, "float")},
+    "logistic_regression": {"maxIter": (5, 50, "int"), "regParam": (1e-4, 1.0, "log"), "elasticNetParam": (0.0, 1.0, "float")},
 }
 
 

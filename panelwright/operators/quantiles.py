@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from panelwright.operators.prefix import ROWS_PER_RANGE, running_sums
 from panelwright.runtime import lookup_join, materialize
 
-SMALL_CELLS = 4_000_000
+SMALL_CELLS = 100_000
 ACCURACY = 10_000
+# Brackets a plan may carry as literals; beyond that they are joined to the rows.
+LITERALS = 600
 
 
 def long_form(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -28,16 +30,19 @@ def long_form(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Dat
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    small_cells: int = SMALL_CELLS, accuracy: int = ACCURACY,
+                    small_cells: int = SMALL_CELLS, accuracy: int = ACCURACY, literals: int = LITERALS,
                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """(by, feature, prob, value): the quantiles of each column, nulls ignored.
 
-    ``by`` columns must not be null.
+    ``by`` columns must not be null. Two passes over ``df``: one for sketches and counts, one for the
+    values inside the brackets (or for everything, when the counts show that it is little).
     """
     cols, probs, by = list(cols), [float(p) for p in probs], list(by)
-    if df.limit(small_cells // len(cols) + 1).count() * len(cols) <= small_cells:
+    brackets = materialize(_brackets(df, cols, probs, by, accuracy), "brackets")
+    cells, groups = brackets.agg(F.sum("n") / len(probs), F.count("*")).first()
+    if (cells or 0) <= small_cells:
         return _built_in(df, cols, probs, by)
-    return _bracketed(df, cols, probs, by, accuracy, rows_per_range)
+    return _select(df, brackets, cols, probs, by, groups <= literals, rows_per_range)
 
 
 def _built_in(df, cols, probs, by):
@@ -49,41 +54,58 @@ def _built_in(df, cols, probs, by):
     return grouped.select(*by, F.inline(cells))
 
 
-def _bracketed(df, cols, probs, by, accuracy, rows_per_range):
-    values = long_form(df, cols, by).where(F.col("value").isNotNull())
-    keys = [*by, "feature"]
-    # Rank error of the sketch is n / accuracy; one more step covers the interpolation partner.
+def _brackets(df, cols, probs, by, accuracy):
+    """(by, feature, prob, n, lo, hi): bounds that hold the wanted ranks. The sketch is off by at most
+    n / accuracy ranks; one step more on either side covers rounding and the interpolation partner."""
     width = 3.0 / accuracy
     asked = [q for p in probs for q in (max(0.0, p - width), min(1.0, p + width))]
-    sketch = values.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.min("value").alias("vmin"), F.max("value").alias("vmax"),
-        F.percentile_approx("value", asked, accuracy).alias("q"))
-    few = F.col("n") < accuracy           # a small group is bracketed by its whole range
-    brackets = sketch.select(*keys, "n", F.inline(F.array(*[F.struct(
-        F.lit(p).alias("prob"),
-        F.when(few | F.lit(p <= width), F.col("vmin")).otherwise(F.col("q")[2 * i]).alias("lo"),
-        F.when(few | F.lit(p >= 1 - width), F.col("vmax")).otherwise(F.col("q")[2 * i + 1]).alias("hi"),
-    ) for i, p in enumerate(probs)])))
-    brackets = materialize(brackets, "brackets")
-    per_key = brackets.groupBy(*keys).agg(
-        F.collect_list(F.struct("prob", "n", "lo", "hi")).alias("b"))   # len(probs) entries
-    inside = (lookup_join(values, per_key, keys, "inner")
-              .select(*keys, "value", F.inline("b"))
-              .where(F.col("value") <= F.col("hi")))
+    parts = {"n": F.count, "lo": F.min, "hi": F.max, "q": lambda v: F.percentile_approx(v, asked, accuracy)}
+    row = df.groupBy(*by).agg(*[f(F.col(c).cast("double")).alias(f"{k}|{c}") for c in cols for k, f in parts.items()])
+
+    def bound(c, i, side, at_end):
+        whole = (F.col(f"`n|{c}`") < accuracy) | F.lit(at_end)      # few values, or an end of the range
+        return F.when(whole, F.col(f"`{side}|{c}`")).otherwise(F.col(f"`q|{c}`")[i])
+
+    return row.select(*by, F.inline(F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.lit(p).alias("prob"), F.col(f"`n|{c}`").alias("n"),
+        bound(c, 2 * i, "lo", p <= width).alias("lo"), bound(c, 2 * i + 1, "hi", p >= 1 - width).alias("hi"))
+        for c in cols for i, p in enumerate(probs)]))).where(F.col("n") > 0)
+
+
+def _select(df, brackets, cols, probs, by, few, rows_per_range):
+    """Count the values below each bracket and the distinct ones inside, then pick the ranks."""
     below = F.lit(float("-inf"))
-    hist = materialize(
-        inside.groupBy(*keys, "prob", "n",
-                       F.when(F.col("value") >= F.col("lo"), F.col("value")).otherwise(below).alias("v"))
-        .agg(F.count("*").alias("cnt")), "bracket-hist")
-    cum = running_sums(hist, "v", {"cum": "cnt"}, by=[*keys, "prob"], rows_per_range=rows_per_range)
+    if few:
+        bounds = brackets.collect()                                 # at most LITERALS rows
+        cells = []
+        for r in bounds:
+            v = F.col(r["feature"]).cast("double")
+            mine = v <= r["hi"]
+            for b in by:
+                mine = mine & (F.col(b) == F.lit(r[b]))
+            cells.append(F.struct(F.lit(r["feature"]).alias("feature"), F.lit(r["prob"]).alias("prob"),
+                                  F.when(mine, F.when(v >= r["lo"], v).otherwise(below)).alias("v")))
+        inside = df.select(*by, F.inline(F.array(*cells))).where(F.col("v").isNotNull())
+    else:
+        keys = [*by, "feature"]
+        per_key = brackets.groupBy(*keys).agg(F.collect_list(F.struct("prob", "lo", "hi")).alias("b"))   # one per prob
+        values = long_form(df, cols, by).where(F.col("value").isNotNull())
+        inside = (lookup_join(values, per_key, keys, "inner").select(*keys, "value", F.inline("b"))
+                  .where(F.col("value") <= F.col("hi"))
+                  .withColumn("v", F.when(F.col("value") >= F.col("lo"), F.col("value")).otherwise(below)))
+    keys = [*by, "feature", "prob"]
+    hist = materialize(inside.groupBy(*keys, "v").agg(F.count("*").alias("cnt")), "bracket-hist")
+    cum = running_sums(hist, "v", {"cum": "cnt"}, by=keys, rows_per_range=rows_per_range)
+    # Only (key, bracket) rows: the sizes go to the counts, not to the values.
+    sized = lookup_join(cum, brackets.select(*keys, "n"), keys, "inner")
     position = F.col("prob") * (F.col("n") - 1)
-    found = cum.groupBy(*keys, "prob", "n").agg(
+    found = sized.groupBy(*keys, "n").agg(
         F.min(F.when(F.col("cum") > F.floor(position), F.col("v"))).alias("a"),
         F.min(F.when(F.col("cum") > F.ceil(position), F.col("v"))).alias("b"))
     missed = F.col("a").isNull() | F.col("b").isNull() | (F.col("a") == below)
     value = F.when(missed, F.raise_error(F.lit("quantile outside its bracket")).cast("double")).otherwise(
         F.col("a") + (F.col("b") - F.col("a")) * (position - F.floor(position)))
-    return found.select(*keys, "prob", value.alias("value"))
+    return found.select(*keys, value.alias("value"))
 
 
 def quantiles_wide(quantiles: DataFrame, names: dict[float, str], by: Sequence[str] = ()) -> DataFrame:

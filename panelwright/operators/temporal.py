@@ -126,14 +126,20 @@ def row_ordinal(df: DataFrame, entity: str, period: str, tie: str, out: str = "_
     return placed.withColumn(out, F.col("_first") + F.row_number().over(w) - 1).drop("_first", "_r")
 
 
-def entity_ordinal(df: DataFrame, entity: str, period: str, out: str = "ordinal") -> DataFrame:
-    """Position of the row in its entity's history, for panels with one row per entity and period."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(entity).orderBy(period)) - 1)
+def entity_ordinal(df: DataFrame, entity: str, period: str, out: str = "ordinal", bounded_entities: bool = False) -> DataFrame:
+    """Position of the row in its entity's history (0, 1, …); one row per entity and period."""
+    return running_total(df.withColumn("_one", F.lit(1)), entity, period, "_one", out, bounded_entities).withColumn(
+        out, F.col(out) - 1).drop("_one")
 
 
-def running_total(df: DataFrame, entity: str, period: str, value: str, out: str) -> DataFrame:
-    """Sum of the entity's values up to and including the current row."""
-    w = Window.partitionBy(entity).orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value).over(w))
-
+def running_total(df: DataFrame, entity: str, period: str, value: str, out: str, bounded_entities: bool = False,
+                  rows_per_range: int = HOT_ENTITY_ROWS) -> DataFrame:
+    """Sum of the entity's values up to and including the current row; one row per entity and period.
 
+    Unless the entities are known to be small, their sizes are checked and a large one is summed in
+    ranges of the period.
+    """
+    if bounded_entities:
+        w = Window.partitionBy(entity).orderBy(period).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.sum(value).over(w))
+    return running_sums(materialize(df, "running"), period, {out: value}, by=[entity], rows_per_range=rows_per_range)

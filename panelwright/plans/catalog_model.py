@@ -7,8 +7,8 @@ from panelwright.functions import rules as R
 from panelwright.ml import models, stages
 from panelwright.operators import select
 from panelwright.operators.quality import Allowed, Range
-from panelwright.plans import training
-from panelwright.plans.panel import order_panel
+from panelwright.plans import jobs, training
+from panelwright.plans.panel import order_panel, scored_panel
 from panelwright.plans.registry import PANEL, query, table
 from panelwright.plans.scoring import answer, model_scorer
 from panelwright.runtime import materialize, new_path
@@ -160,6 +160,31 @@ def stream_without_replays(spark, sf):
     return spark.read.parquet(f"{out}/table").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+# ---- jobs -------------------------------------------------------------------------------------
+
+@query("prepare_panel", f"""WITH {PANEL}, n AS (SELECT count(*) AS n FROM panel), t AS (SELECT *,
+  CASE WHEN n_orders <= 1 THEN 'one' WHEN n_orders <= 3 THEN 'few' ELSE 'many' END AS order_group FROM panel)
+SELECT 'records' AS item, CAST(n AS VARCHAR) AS value FROM n
+UNION ALL SELECT 'prevalence', format('{{:.6f}}', floor(n * 0.07::DOUBLE) / n) FROM n
+UNION ALL SELECT 'columns', 'entity,n_orders,amt,avg_amt,max_amt,acctbal,segment,nation,order_group,target,period'
+UNION ALL SELECT 'entities', CAST(count(DISTINCT entity) AS VARCHAR) FROM t
+UNION ALL SELECT 'periods', (SELECT string_agg(CAST(period AS VARCHAR), ',' ORDER BY period) FROM (SELECT DISTINCT period FROM t))
+""" + "".join(f"UNION ALL SELECT 'nulls.{c}', CAST(count(*) - count({c}) AS VARCHAR) FROM t " for c in (
+    "entity", "n_orders", "amt", "avg_amt", "max_amt", "acctbal", "segment", "nation", "order_group", "period"))
+       + "UNION ALL SELECT 'nulls.target', '0'")
+def prepare_panel(spark, sf):
+    return jobs.prepare_panel(spark, sf, new_path(spark, "prepared-panel"))
+
+
+@query("analysis_job", f"""WITH {PANEL}, d AS (SELECT DISTINCT segment FROM panel), p AS (SELECT DISTINCT period FROM panel)
+SELECT 'metrics' AS section, CAST(1 AS BIGINT) AS n UNION ALL SELECT 'slices', (SELECT count(*) FROM d) + (SELECT count(*) FROM p)
+UNION ALL SELECT 'calibration_error', 1 UNION ALL SELECT 'error_contrast', 4""")
+def analysis_job(spark, sf):
+    scored = materialize(scored_panel(spark, sf), "scored")
+    out = jobs.analysis_job(scored, ["segment", "period"], ["amt", "acctbal"], new_path(spark, "analysis"))
+    return out.where(~F.col("section").isin("calibration", "error_classes")).groupBy("section").agg(F.count("*").alias("n"))
+
+
 # ---- models -------------------------------------------------------------------------------------
 
 def stored_panel(spark, sf):

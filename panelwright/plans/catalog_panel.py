@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from panelwright.functions import rules as R
+from panelwright.functions.sql import register_sql_functions
 from panelwright.operators import quality as Q
 from panelwright.operators import temporal
 from panelwright.plans.panel import order_panel, scored_panel
@@ -114,7 +115,7 @@ def rolling_events(spark, sf):
   0.1 * (row_number() OVER (PARTITION BY entity ORDER BY period) - 1)::DOUBLE AS temporal_factor FROM panel""",
        {"temporal_factor": 4})
 def row_ordinal(spark, sf):
-    df = temporal.entity_ordinal(order_panel(spark, sf), "entity", "period")
+    df = temporal.entity_ordinal(order_panel(spark, sf), "entity", "period", bounded_entities=True)
     return df.select("entity", "period", F.col("ordinal").cast("long").alias("ordinal"),
                      (0.1 * F.col("ordinal")).alias("temporal_factor"))
 
@@ -122,10 +123,21 @@ def row_ordinal(spark, sf):
 @query("running_sum", f"""WITH {PANEL} SELECT entity, period, sum(amt) OVER (PARTITION BY entity
   ORDER BY period ROWS UNBOUNDED PRECEDING) AS running FROM panel""", {"running": 2})
 def running_sum(spark, sf):
-    return temporal.running_total(order_panel(spark, sf), "entity", "period", "amt", "running").select(
+    return temporal.running_total(order_panel(spark, sf), "entity", "period", "amt", "running", True).select(
         "entity", "period", "running")
 
 
+@query("running_count_events", """SELECT user_id, event_id, count(*) OVER w - 1 AS seen_before,
+  sum(value) OVER w AS spent FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)""",
+       {"spent": 2})
+def running_count_events(spark, sf):
+    """Ordinals and running sums over raw rows, users of any size."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "value")
+    summed = temporal.running_total(e, "user_id", "event_id", "value", "spent")
+    return temporal.entity_ordinal(summed, "user_id", "event_id", "seen_before").select(
+        "user_id", "event_id", F.col("seen_before").cast("long").alias("seen_before"), "spent")
+
+
 @query("sorted_panel_head", f"""WITH {PANEL} SELECT entity, period, n_orders FROM panel
 ORDER BY entity, period LIMIT 100""")
 def sorted_panel_head(spark, sf):
@@ -376,6 +388,17 @@ def scored_bands(spark, sf):
                                           R.confidence_band(c).alias("confidence"))
 
 
+@query("sql_functions", f"""WITH {SCORED} SELECT entity, period, CASE WHEN score < 0.2 OR score > 0.8 THEN 'High'
+  WHEN score < 0.4 OR score > 0.6 THEN 'Medium' ELSE 'Low' END AS band,
+  CASE WHEN n_orders < 120 AND acctbal / 50.0 < 80 THEN 'Normal' WHEN n_orders < 130 AND acctbal / 50.0 < 80 THEN 'Elevated'
+  WHEN n_orders < 140 OR acctbal / 50.0 < 90 THEN 'Stage 1' ELSE 'Stage 2' END AS category FROM scored""")
+def sql_functions(spark, sf):
+    register_sql_functions(spark)
+    return scored_panel(spark, sf).selectExpr(
+        "entity", "period", "confidence_band(score) AS band",
+        "pressure_category(CAST(n_orders AS DOUBLE), acctbal / 50.0D) AS category")
+
+
 @query("missing_indicator", f"""WITH {PANEL} SELECT entity, period, CAST(avg_amt IS NULL AS INTEGER)
   AS avg_amt_was_missing FROM panel""")
 def missing_indicator(spark, sf):

@@ -8,12 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("year",), mode: str = "errorifexists",
-                      files_per_value: int = 8) -> None:
-    """Parquet partitioned by ``by``. Rows are spread over several writers per partition value, so
-    a value holding much of the table is not written by one task and small files stay few."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_value))
-    (df.repartition(*by, salt).write.mode(mode).option("compression", "snappy")
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("year",), mode: str = "errorifexists") -> None:
+    """Parquet partitioned by ``by``. Rows are rebalanced on the partition columns: small values share
+    a writer, a value holding much of the table is split over several."""
+    (df.hint("rebalance", *by).write.mode(mode).option("compression", "snappy")
      .partitionBy(*by).parquet(path))
 
 

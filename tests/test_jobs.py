@@ -195,3 +195,19 @@ def test_csv_table_and_sampling(spark, sf):
     assert sorted(r[0] for r in a.select("c_custkey").collect()) == sorted(
         r[0] for r in readers.sample_rows(c.repartition(7), 0.5, ["c_custkey"]).select("c_custkey").collect())
     assert readers.sample_n(c, 10, ["c_custkey"]).count() == 10
+
+
+def test_training_job_leaves_all_tables(spark, sf):
+    from panelwright.plans import jobs
+
+    data, out = new_path(spark, "job-data"), new_path(spark, "job-out")
+    jobs.prepare_panel(spark, sf, data, 0.3).collect()
+    config = {"model": {"algorithm": "logistic_regression", "logistic_regression": {"maxIter": 3}},
+              "cross_validation": {"n_splits": 1, "group_disjoint": False}, "explain": {"enabled": True},
+              "hpo": {"enabled": True, "n_trials": 1, "algorithms": ["logistic_regression"], "opt_metric": "roc_auc"}}
+    result = jobs.training_job(spark, data, out, config, training.Columns("entity", "period", "target"))
+    assert spark.read.json(f"{out}/quality").count() > 5
+    assert spark.read.option("header", True).csv(f"{out}/importances").count() == len(result.features)
+    assert spark.read.option("header", True).csv(f"{out}/attributions").count() == len(result.features)
+    assert spark.read.parquet(f"{out}/ledger").where("kind = 'metric'").count() == 13
+    assert art.load_artifacts(spark, out).threshold == result.threshold

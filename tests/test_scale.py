@@ -52,9 +52,10 @@ def test_quantiles_by_brackets_are_exact(spark, by):
         F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.col("id") % 100).alias("b"),       # one value holds a third
         F.when(F.col("id") % 7 != 0, F.col("id").cast("double")).alias("c"))
     probs = [0.0, 0.01, 0.25, 0.5, 0.93, 1.0]
-    simple = quantiles.exact_quantiles(df, ["a", "b", "c"], probs, by)
+    simple = quantiles.exact_quantiles(df, ["a", "b", "c"], probs, by, small_cells=10 ** 9)
     hard = quantiles.exact_quantiles(df, ["a", "b", "c"], probs, by, small_cells=0, accuracy=200, rows_per_range=50)
-    assert rows(simple) == rows(hard.select(simple.columns))
+    joined = quantiles.exact_quantiles(df, ["a", "b", "c"], probs, by, small_cells=0, accuracy=200, literals=0)
+    assert rows(simple) == rows(hard.select(simple.columns)) == rows(joined.select(simple.columns))
 
 
 def _hot(spark):

@@ -19,8 +19,10 @@ def score_histogram(df: DataFrame, label: str = "label", score: str = "score", p
                     by: Sequence[str] = ()) -> DataFrame:
     """(by, score, pos, neg[, hit, alarm]): class counts per distinct score.
 
-    ``hit`` and ``alarm`` count the positives and negatives with prediction 1.
+    ``hit`` and ``alarm`` count the positives and negatives with prediction 1. Rows without a label or
+    a score are left out.
     """
+    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     y = F.col(label).cast("long")
     aggs = [F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")]
     if pred is not None:

@@ -58,8 +58,12 @@ def _grow(seed: int, limit: int):
 
 def fit_isolation_forest(df: DataFrame, key: str, features: Sequence[str] | str, trees: int = 100,
                          sample_size: int = 256, seed: int = 42) -> DataFrame:
-    """The node table of the forest. Each tree samples rows at its own hash-driven rate; the lowest
-    hashes of a tree's sample are kept, so a tree never holds more than ``sample_size`` rows."""
+    """The node table of the forest.
+
+    A row is drawn by hashes of its key: one hash per pass decides whether and for which tree. On a
+    large table one pass serves all trees; a small table needs several, since the trees share rows.
+    The lowest hashes of a tree are kept, so a tree never holds more than ``sample_size`` rows.
+    """
     rows = df.select(F.col(key).alias("k"), as_vector(df, features).alias("x"))
     n = rows.count()
     if n == 0:
@@ -67,10 +71,17 @@ def fit_isolation_forest(df: DataFrame, key: str, features: Sequence[str] | str,
     size = min(sample_size, n)
     # Twice the wanted rate makes a short sample very unlikely; the surplus is cut by rank.
     rate = min(1.0, 2.0 * size / n + 20.0 / n)
-    top = F.lit(float(1 << 62))
-    draws = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-        t.alias("tree"), F.pmod(F.xxhash64(F.col("k"), t, F.lit(seed)), F.lit(1 << 62)).alias("order")))
-    picked = (rows.select("k", "x", F.inline(F.filter(draws, lambda d: d["order"] < top * rate))))
+    per_pass = max(1, math.floor(1.0 / rate))           # trees that fit side by side into one hash
+    passes = math.ceil(trees / per_pass)
+
+    def draw(i):
+        u = F.pmod(F.xxhash64(F.col("k"), i, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+        slot = F.floor(u / rate)
+        tree = (i * per_pass + slot).cast("int")
+        return F.struct(F.when((slot < per_pass) & (tree < trees), tree).alias("tree"), u.alias("order"))
+
+    drawn = F.inline(F.array(*[draw(F.lit(i)) for i in range(passes)]))
+    picked = rows.select("k", "x", drawn).where(F.col("tree").isNotNull())
     w = Window.partitionBy("tree").orderBy("order", "k")            # about 2 * sample_size rows per tree
     sample = picked.withColumn("r", F.row_number().over(w)).where(F.col("r") <= size).select("tree", "order", "x")
     limit = max(1, math.ceil(math.log2(size)))

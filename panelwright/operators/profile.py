@@ -293,10 +293,9 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], cut: float, out: str = "
 
 
 def dataset_summary(df: DataFrame, entity: str, period: str, label: str) -> DataFrame:
-    """(item, value) rows: records, entities, periods, prevalence, columns, nulls per column."""
+    """(item, value) rows: records, entities, prevalence, columns, nulls per column, and every period."""
     entities = df.groupBy(entity).agg(F.lit(1).alias("_one")).agg(F.count("*").alias("n"))
-    periods = df.groupBy(period).agg(F.lit(1).alias("_one")).agg(
-        F.array_join(F.sort_array(F.collect_list(F.col(period))), ",").alias("v"))
+    periods = df.where(F.col(period).isNotNull()).select(F.col(period).cast("string").alias("value")).distinct()
     row = df.agg(F.count("*").alias("records"), F.avg(label).alias("prevalence"),
                  *[F.count_if(F.col(c).isNull()).alias(f"nulls.{c}") for c in df.columns])
     items = [F.struct(F.lit("records").alias("item"), F.col("records").cast("string").alias("value")),
@@ -306,4 +305,4 @@ def dataset_summary(df: DataFrame, entity: str, period: str, label: str) -> Data
               for c in df.columns]
     return (row.select(F.inline(F.array(*items)))
             .unionByName(entities.select(F.lit("entities").alias("item"), F.col("n").cast("string").alias("value")))
-            .unionByName(periods.select(F.lit("periods").alias("item"), F.col("v").alias("value"))))
+            .unionByName(periods.select(F.lit("period").alias("item"), "value")))

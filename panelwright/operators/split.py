@@ -48,21 +48,37 @@ def period_cube(df: DataFrame, entity: str, period: str, label: str) -> DataFram
         F.count("*").alias("n"), F.sum(label).alias("pos"))
 
 
+class _Cube:
+    """The period cube on the driver (bounded), from which any cut is measured."""
+
+    def __init__(self, df: DataFrame, entity: str, period: str, label: str, gap: int, disjoint: bool):
+        rows = period_cube(df, entity, period, label).limit(MAX_CELLS + 1).collect()
+        if len(rows) > MAX_CELLS:
+            raise ValueError("too many distinct periods for period cuts; use a coarser period")
+        cells = np.array([(r[period], r["_first"], r["n"], r["pos"] or 0) for r in rows], dtype=float).reshape(-1, 4)
+        self.period, self.first, self.n, self.pos = cells.T
+        self.gap, self.disjoint = gap, disjoint
+        self.periods = sorted({int(p) for p in self.period})
+        self.overall = self.pos.sum() / self.n.sum() if len(cells) else 0.0
+
+    def measure(self, cut: int) -> tuple[int, int, float | None]:
+        """(training rows, validation rows, validation prevalence) of a cut."""
+        train = self.period <= cut - self.gap
+        val = self.period > cut
+        if self.disjoint:
+            val &= self.first > cut - self.gap
+        n_val = int(self.n[val].sum())
+        return int(self.n[train].sum()), n_val, float(self.pos[val].sum() / n_val) if n_val else None
+
+
 def candidate_table(df: DataFrame, entity: str, period: str, label: str, gap: int = 1, disjoint: bool = True) -> DataFrame:
     """(cut, n_train, n_val, val_rate, prevalence_gap) for every period as a cut."""
-    cube = materialize(period_cube(df, entity, period, label), "cube")
-    cuts = cube.select(F.col(period).alias("cut")).distinct()
-    overall = cube.agg(F.sum("pos") / F.sum("n")).scalar()
-    train = F.col(period) <= F.col("cut") - gap
-    val = F.col(period) > F.col("cut")
-    if disjoint:
-        val = val & (F.col("_first") > F.col("cut") - gap)
-    spread = cube.join(cuts, train | val)            # periods x periods x periods at most
-    out = spread.groupBy("cut").agg(
-        F.coalesce(F.sum(F.when(train, F.col("n"))), F.lit(0)).alias("n_train"),
-        F.coalesce(F.sum(F.when(val, F.col("n"))), F.lit(0)).alias("n_val"),
-        F.try_divide(F.sum(F.when(val, F.col("pos"))), F.sum(F.when(val, F.col("n")))).alias("val_rate"))
-    return out.withColumn("prevalence_gap", F.abs(F.col("val_rate") - overall))
+    cube = _Cube(df, entity, period, label, gap, disjoint)
+    rows = []
+    for cut in cube.periods:
+        n_train, n_val, rate = cube.measure(cut)
+        rows.append((cut, n_train, n_val, rate, None if rate is None else float(abs(rate - cube.overall))))
+    return df.sparkSession.createDataFrame(rows, "cut int, n_train long, n_val long, val_rate double, prevalence_gap double")
 
 
 class StratifiedTemporalSplitter:
@@ -75,25 +91,16 @@ class StratifiedTemporalSplitter:
 
     def cuts(self, df: DataFrame) -> list[Split]:
         """The chosen cuts; empty when only the chronological fallback applies. One aggregation."""
-        rows = period_cube(df, self.entity, self.period, self.label).limit(MAX_CELLS + 1).collect()
-        if len(rows) > MAX_CELLS:
-            raise ValueError("too many distinct periods for period cuts; use a coarser period")
-        cells = np.array([(r[self.period], r["_first"], r["n"], r["pos"] or 0) for r in rows], dtype=float)
-        periods = sorted({int(p) for p in cells[:, 0]}) if len(cells) else []
+        cube = _Cube(df, self.entity, self.period, self.label, self.gap, self.group_disjoint)
+        periods = cube.periods
         if len(periods) < 3:
             return []
-        per, first, n, pos = cells.T
-        overall = pos.sum() / n.sum()
 
         def measure(cut):
-            train = per <= cut - self.gap
-            val = per > cut
-            if self.group_disjoint:
-                val &= first > cut - self.gap
-            n_train, n_val = n[train].sum(), n[val].sum()
+            n_train, n_val, rate = cube.measure(cut)
             if n_train == 0 or n_val == 0:
                 return None
-            return abs(pos[val].sum() / n_val - overall), Split(int(cut), self.gap, int(n_train), int(n_val))
+            return abs(rate - cube.overall), Split(int(cut), self.gap, n_train, n_val)
 
         inner = periods[1:-1] or periods
         wanted = np.unique(np.quantile(inner, np.linspace(0.2, 0.8, self.n_splits)).astype(int))
@@ -116,7 +123,8 @@ class StratifiedTemporalSplitter:
         cuts = self.cuts(df)
         if not cuts:
             return [chronological(df, order or [self.period, self.entity], self.test_size, self.gap)]
-        tagged = with_first_period(df, self.entity, self.period)
+        # Stored once: every fold is then a filter on two columns that reaches the scan.
+        tagged = materialize(with_first_period(df, self.entity, self.period), "tagged")
         out = []
         for s in cuts:
             role = roles(F.col(self.period), F.col("_first"), s.cut, s.gap, self.group_disjoint)

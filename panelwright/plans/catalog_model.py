@@ -168,7 +168,7 @@ SELECT 'records' AS item, CAST(n AS VARCHAR) AS value FROM n
 UNION ALL SELECT 'prevalence', format('{{:.6f}}', floor(n * 0.07::DOUBLE) / n) FROM n
 UNION ALL SELECT 'columns', 'entity,n_orders,amt,avg_amt,max_amt,acctbal,segment,nation,order_group,target,period'
 UNION ALL SELECT 'entities', CAST(count(DISTINCT entity) AS VARCHAR) FROM t
-UNION ALL SELECT 'periods', (SELECT string_agg(CAST(period AS VARCHAR), ',' ORDER BY period) FROM (SELECT DISTINCT period FROM t))
+UNION ALL SELECT DISTINCT 'period', CAST(period AS VARCHAR) FROM t
 """ + "".join(f"UNION ALL SELECT 'nulls.{c}', CAST(count(*) - count({c}) AS VARCHAR) FROM t " for c in (
     "entity", "n_orders", "amt", "avg_amt", "max_amt", "acctbal", "segment", "nation", "order_group", "period"))
        + "UNION ALL SELECT 'nulls.target', '0'")

@@ -237,7 +237,7 @@ SELECT 'records' AS item, CAST(count(*) AS VARCHAR) AS value FROM p
 UNION ALL SELECT 'prevalence', format('{{:.6f}}', avg(label)) FROM p
 UNION ALL SELECT 'columns', 'entity,period,avg_amt,segment,label'
 UNION ALL SELECT 'entities', CAST(count(DISTINCT entity) AS VARCHAR) FROM p
-UNION ALL SELECT 'periods', (SELECT string_agg(CAST(period AS VARCHAR), ',' ORDER BY period) FROM (SELECT DISTINCT period FROM p))
+UNION ALL SELECT DISTINCT 'period', CAST(period AS VARCHAR) FROM p
 UNION ALL SELECT 'nulls.entity', CAST(count(*) - count(entity) AS VARCHAR) FROM p
 UNION ALL SELECT 'nulls.period', CAST(count(*) - count(period) AS VARCHAR) FROM p
 UNION ALL SELECT 'nulls.avg_amt', CAST(count(*) - count(avg_amt) AS VARCHAR) FROM p

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.runtime import BROADCAST_ROWS, lookup_join, materialize, safe_div
+from panelwright.runtime import BROADCAST_ROWS, lookup_join, materialize, safe_div, stored_rows
 
 MAX_ONE_HOT = 1_000
 
@@ -96,7 +96,7 @@ def label_map(df: DataFrame, feature: str, checked_rows: int = BROADCAST_ROWS,
     counted, and each is numbered from the total of the earlier ones.
     """
     distinct = materialize(df.where(F.col(feature).isNotNull()).select(feature).distinct(), "classes")
-    n = distinct.count()
+    n = stored_rows(distinct)
     if n <= checked_rows:
         w = Window.partitionBy(F.lit(0)).orderBy(feature)
         return distinct.select(feature, (F.row_number().over(w) - 1).cast("long").alias("value"))

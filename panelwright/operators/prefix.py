@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.runtime import materialize
+from panelwright.runtime import materialize, stored_rows
 
 ROWS_PER_RANGE = 250_000
 MAX_RANGES = 50_000
@@ -24,6 +24,9 @@ MAX_RANGES = 50_000
 def range_cuts(hist: DataFrame, order: str, by: Sequence[str] = (),
                rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
     """Inner cut points of ``order``; empty when the largest group fits one range."""
+    known = stored_rows(hist)
+    if known is not None and known <= rows_per_range:
+        return []
     largest = (hist.groupBy(*by).count() if by else hist.agg(F.count("*").alias("count")))
     size, total = largest.agg(F.max("count"), F.sum("count")).first()
     if not size or size <= rows_per_range:

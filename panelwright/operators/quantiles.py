@@ -39,10 +39,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     cols, probs, by = list(cols), [float(p) for p in probs], list(by)
     brackets = materialize(_brackets(df, cols, probs, by, accuracy), "brackets")
-    cells, groups = brackets.agg(F.sum("n") / len(probs), F.count("*")).first()
-    if (cells or 0) <= small_cells:
+    cells, rows = brackets.agg(F.sum("n"), F.count("*")).first()
+    if (cells or 0) <= small_cells * len(probs):
         return _built_in(df, cols, probs, by)
-    return _select(df, brackets, cols, probs, by, groups <= literals, rows_per_range)
+    return _select(df, brackets, cols, probs, by, rows <= literals, rows_per_range)
 
 
 def _built_in(df, cols, probs, by):

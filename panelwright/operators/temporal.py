@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.operators.prefix import row_cuts, running_sums, with_range
-from panelwright.runtime import lookup_join, materialize, require_columns
+from panelwright.runtime import lookup_join, materialize, require_columns, stored_rows
 
 AGGREGATIONS = ("mean", "std", "min", "max", "trend")
 # An entity above this many rows is cut into pieces; below it its rows fit one window buffer.
@@ -77,7 +77,7 @@ def rolling_features(df: DataFrame, entity: str, period: str, features: Sequence
         df = df.withColumn("_tie", F.xxhash64(*df.columns))
         order = [period, "_tie"]
         hot = materialize(df.groupBy(entity).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows), "hot")
-        if not hot.isEmpty():
+        if stored_rows(hot):
             calm = df.join(F.broadcast(hot), entity, "left_anti")    # at most rows / hot_rows entities
             busy = df.join(F.broadcast(hot.drop("_n")), entity, "left_semi")
             done = calm.withColumns(_windowed(features, period, k, min_periods, aggs, lag, [entity], order))

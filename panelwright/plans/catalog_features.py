@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from panelwright.operators import encode, impute, neighbors, outliers, resample, scale, select, split
 from panelwright.plans.panel import order_panel
 from panelwright.plans.registry import PANEL, query, table
+from panelwright.runtime import materialize
 
 NUM = ["n_orders", "amt", "avg_amt", "max_amt", "acctbal"]
 
@@ -163,7 +164,7 @@ def split_last_periods(spark, sf):
   count(*) OVER () AS n FROM panel)
 SELECT entity, period, CASE WHEN i <= floor(n * 0.8::DOUBLE) - 1 THEN 'train' WHEN i > floor(n * 0.8::DOUBLE) THEN 'val' END AS role FROM r""")
 def split_chronological(spark, sf):
-    return split.chronological_role(order_panel(spark, sf).select("entity", "period"), ["period", "entity"])
+    return split.chronological_role(materialize(order_panel(spark, sf).select("entity", "period"), "panel"), ["period", "entity"])
 
 
 @query("split_anti_join", f"""WITH {PANEL} SELECT entity, period FROM panel WHERE period > 1998

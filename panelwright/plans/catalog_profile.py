@@ -6,6 +6,7 @@ from panelwright.operators import labelling
 from panelwright.operators import profile as P
 from panelwright.plans.panel import order_panel
 from panelwright.plans.registry import PANEL, query, table
+from panelwright.runtime import materialize
 
 LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -169,7 +170,7 @@ def outlier_rows(spark, sf):
 SELECT CAST(amt < low OR amt > high AS INTEGER) AS is_outlier, count(label) AS count, CAST(sum(label) AS BIGINT) AS sum,
   avg(label) AS mean FROM panel, f GROUP BY 1""", {"mean": 6})
 def outlier_label_stats(spark, sf):
-    p = order_panel(spark, sf)
+    p = materialize(order_panel(spark, sf), "panel")
     f = P.iqr_fences(p, ["amt"]).first()
     flagged = p.withColumn("is_outlier", ((F.col("amt") < f["low"]) | (F.col("amt") > f["high"])).cast("int"))
     return P.outlier_label_stats(flagged, "is_outlier")
@@ -258,7 +259,7 @@ def top_categories(spark, sf):
   (ORDER BY n_orders DESC, entity, period) AS rn FROM panel)
 SELECT entity, period, CAST(rn <= floor((SELECT count(*) FROM panel) * 0.07::DOUBLE) AS INTEGER) AS target FROM r""")
 def label_top_share(spark, sf):
-    p = order_panel(spark, sf)
+    p = materialize(order_panel(spark, sf), "panel")          # read several times
     return labelling.top_share(p, "n_orders", 0.07, ["entity", "period"]).select("entity", "period", "target")
 
 
@@ -266,5 +267,5 @@ def label_top_share(spark, sf):
   (PARTITION BY period ORDER BY amt DESC, entity) AS rn, count(*) OVER (PARTITION BY period) AS n FROM panel)
 SELECT entity, period, CAST(rn <= floor(n * 0.1::DOUBLE) AS INTEGER) AS target FROM r""")
 def label_top_share_by_group(spark, sf):
-    p = order_panel(spark, sf)
+    p = materialize(order_panel(spark, sf), "panel")
     return labelling.top_share_by_group(p, "amt", 0.1, "entity", "period").select("entity", "period", "target")

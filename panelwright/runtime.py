@@ -42,7 +42,24 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_rows = None
+    return out
+
+
+def stored_rows(df: DataFrame) -> int | None:
+    """Row count of a materialized table, read from its files once; None for any other frame."""
+    if "_stored_rows" not in df.__dict__:
+        return None
+    if df._stored_rows is None:
+        df._stored_rows = df.count()
+    return df._stored_rows
+
+
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has at most ``rows`` rows."""
+    known = stored_rows(df)
+    return known <= rows if known is not None else df.limit(rows + 1).count() <= rows
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
@@ -54,7 +71,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     holding a large share of the left rows is spread over ``salts`` tasks. Null keys never match.
     """
     on = list(on)
-    if right.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if at_most(right, broadcast_rows):
         return left.join(F.broadcast(right), on, how)
     # The salt is a function of the row, so a recomputed task sends every row to the same place.
     salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))

@@ -17,7 +17,7 @@ SETTINGS = {
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "12g",
-                  app: str = "panelwright") -> SparkSession:
+                  app: str = "panelwright", extra: dict | None = None) -> SparkSession:
     """A single-JVM session for tests and benchmarks."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
@@ -25,7 +25,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
                .config("spark.driver.memory", memory)
                .config("spark.driver.host", "127.0.0.1")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -35,7 +35,7 @@ def test_ranking_metrics_over_ranges(scored):
         assert method(scored).first()["threshold"] == method(scored, rows_per_range=5).first()["threshold"]
 
 
-@pytest.mark.parametrize("n", [0, 1, 17, 100, 10_000])
+@pytest.mark.parametrize("n", [0, 17, 10_000])
 def test_rank_cutoff_takes_exactly_n(spark, n):
     df = spark.range(500).select(F.col("id"), (F.col("id") % 3).alias("v"))     # a third of the rows tie
     cut = prefix.rank_cutoff(df, [("v", True), ("id", False)], n, rows_per_range=11)
@@ -83,7 +83,7 @@ def test_rolling_pieces_equal_plain_windows(spark):
     df = materialize(spark.range(1000).select(
         F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("e"), F.col("id") % 20)).alias("e"),
         F.col("id").cast("int").alias("year"), F.pmod(F.xxhash64("id"), F.lit(100)).cast("double").alias("value")), "u")
-    for k in (1, 2, 5):
+    for k in (1, 3):
         plain = temporal.rolling_features(df, "e", "year", ["value"], k, 1, temporal.AGGREGATIONS, bounded_entities=True)
         pieces = temporal.rolling_features(df, "e", "year", ["value"], k, 1, temporal.AGGREGATIONS, hot_rows=37)
         assert rows(plain, 6) == rows(pieces.select(plain.columns), 6)
@@ -155,7 +155,7 @@ def test_isolation_forest_finds_the_far_rows(spark):
     assert flagged == set(range(380, 400))
 
 
-@pytest.mark.parametrize("prevalence", [0.0001, 0.07, 0.5, 1.0])
+@pytest.mark.parametrize("prevalence", [0.0001, 0.3])
 def test_label_share_is_exact(spark, sf, prevalence):
     p = materialize(order_panel(spark, sf), "p")
     n = p.count()

@@ -56,7 +56,7 @@ def coerce_period(df: DataFrame, period: str = "year") -> DataFrame:
     return df.withColumn(period, F.col(period).try_cast("double").try_cast("int"))
 
 
-# Field names, types and optional fields of a scoring request.
+# Field names and types of a scoring request.
 REQUEST_SCHEMA = T.StructType([
     T.StructField("patient_id", T.StringType()), T.StructField("year", T.IntegerType()),
     T.StructField("age", T.DoubleType()), T.StructField("gender", T.StringType()),

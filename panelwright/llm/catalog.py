@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from panelwright.llm.jaccard import op5_ngram_jaccard
+from panelwright.llm.quality_model import op3_quality_classifier
+from panelwright.llm.quality_rules import op2_quality_rules
 from panelwright.llm.substring import OP1_SQL, op1_substring_dedup
+from panelwright.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_toxicity": op6_toxicity,
 }
 
 SQL = {

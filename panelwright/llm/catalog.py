@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from panelwright.llm.jaccard import op5_ngram_jaccard
+from panelwright.llm.packing import op8_packing
 from panelwright.llm.quality_model import op3_quality_classifier
 from panelwright.llm.quality_rules import op2_quality_rules
+from panelwright.llm.rans_files import op7_rans_files
 from panelwright.llm.substring import OP1_SQL, op1_substring_dedup
 from panelwright.llm.toxicity import op6_toxicity
 
@@ -14,6 +16,8 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
+    "op7_rans_files": op7_rans_files,
+    "op8_packing": op8_packing,
 }
 
 SQL = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -46,6 +48,17 @@ class Scratch:
         return self._write(df, self.kept)
 
 
+def per_worker(name: str, make: Callable):
+    """One object per Python worker, made at first use and kept for the worker's later tasks.
+
+    Functions are sent with their code, so a module global would start afresh with every task.
+    """
+    state = sys.modules.setdefault("panelwright_worker_state", types.ModuleType("panelwright_worker_state"))
+    if not hasattr(state, name):
+        setattr(state, name, make())
+    return getattr(state, name)
+
+
 def batches(fn: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: pa.Schema):
     """A ``mapInArrow`` function from one that turns a batch into column dicts."""
 

@@ -44,6 +44,9 @@ class _Powers:
         self.steps = (base, pow(base, -1, 2 ** 64))
         self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
+    def __reduce__(self):                                # functions travel with their globals: send the base, not the tables
+        return _Powers, (self.steps[0],)
+
     def __call__(self, n: int, inverse: bool = False) -> np.ndarray:
         t = self.tables[inverse]
         while len(t) < n:
@@ -110,20 +113,29 @@ class Words:
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """One 64-bit hash per word, from its bytes alone."""
-        if not len(self):
-            return np.zeros(0, np.uint64)
-        edges = np.append(self.starts, len(self.data))
-        edges[0] = 0                                         # leading separators count as zero bytes of the first word
-        place = np.arange(len(self.data)) - np.repeat(self.starts, np.diff(edges))
-        longest = int((self.ends - self.starts).max())
-        value = np.where(self.inside, _BYTE[self.data], np.uint64(0)) * _BYTE_POW(longest)[np.clip(place, 0, longest - 1)]
-        return mix(np.add.reduceat(value, self.starts) + (self.ends - self.starts).astype(np.uint64), seed)
+        return hash_runs(self.data, self.starts, self.ends, self.inside, seed)
 
     def in_row(self, length: int) -> np.ndarray:
         """For each word, whether a window of ``length`` words starting there stays in its row."""
         return np.arange(len(self)) + length <= np.repeat(self.first[1:], np.diff(self.first))
 
 
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, inside: np.ndarray | None = None, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each run of bytes data[starts:ends]; bytes between runs are those not ``inside``."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    edges = np.append(starts, len(data))
+    edges[0] = 0                                             # bytes before the first run count as zero bytes of it
+    place = np.arange(len(data)) - np.repeat(starts, np.diff(edges))
+    longest = int((ends - starts).max())
+    value = _BYTE[data]
+    if inside is not None:
+        value *= inside
+        place = np.clip(place, 0, longest - 1)
+    value *= _BYTE_POW(longest)[place]
+    return mix(np.add.reduceat(value, starts) + (ends - starts).astype(np.uint64), seed)
+
+
 def windows(hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Hash of the ``length`` consecutive entries from each position (positions near the end are left out)."""
     n = len(hashes)

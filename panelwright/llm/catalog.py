@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from panelwright.llm.byte_bpe import op10_byte_bpe
+from panelwright.llm.chat_format import OP4_SQL, op4_chat_format
 from panelwright.llm.jaccard import op5_ngram_jaccard
+from panelwright.llm.neighbours import op9_cross_polytope
 from panelwright.llm.packing import op8_packing
 from panelwright.llm.quality_model import op3_quality_classifier
 from panelwright.llm.quality_rules import op2_quality_rules
@@ -14,12 +17,16 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_chat_format": op4_chat_format,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
     "op7_rans_files": op7_rans_files,
     "op8_packing": op8_packing,
+    "op9_cross_polytope": op9_cross_polytope,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 SQL = {
     "op1_substring_dedup": OP1_SQL,
+    "op4_chat_format": OP4_SQL,
 }

@@ -4,7 +4,7 @@ The incidence matrix has a row per distinct shingle set and a column per shingle
 similarity of at least p/100 differ in at most (100 - p)(a + b)/(100 + p) shingles. The columns are therefore cut,
 by hash, into more blocks than that: rows that link agree in at least one whole block. Only pairs that agree in a
 block are multiplied; their overlap is accumulated column range by column range, and a pair is dropped as soon as what
-is left cannot lift it to its bound.
+is left cannot lift it to its bound. Columns that very many rows share are left out of the blocks where that loses nothing.
 """
 
 from __future__ import annotations
@@ -21,11 +21,12 @@ from panelwright.llm.words import Words, mix, slices, spans
 LEADERS = 8              # members of a block's group that all others are paired with at once
 ROUND_LEADERS = 32       # further ones in each later round
 RANGES = 4               # column ranges of the accumulation
+COUNTERS = 1 << 16       # of the sketch that finds columns shared by very many rows
+HOT_SHARE = 0.005        # a column is very common from this share of the documents on
 
-SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64())])
-KEYS = pa.schema([("key", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("n", pa.int32())])
-GROUPS = pa.schema([("key", pa.int64()), ("a1", pa.int64()), ("a2", pa.int64()), ("na", pa.int32()),
-                    ("b1", pa.int64()), ("b2", pa.int64()), ("nb", pa.int32()), ("place", pa.int32())])
+SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("counter", pa.int32())])
+KEYS = pa.schema([("key", pa.int64()), ("s1", pa.int64())])
+GROUPS = pa.schema([("key", pa.int64()), ("a1", pa.int64()), ("b1", pa.int64()), ("place", pa.int32())])
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,23 +54,37 @@ def _totals(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return sums[first[1:]] - sums[first[:-1]]
 
 
+def _counter(gram: np.ndarray) -> np.ndarray:
+    return (mix(gram, 15) >> np.uint64(48)).astype(np.int64)
+
+
 def _sets(size: int):
-    def of(batch: pa.RecordBatch):
-        for a, e, raw, off in slices(batch.column("text")):
-            row, gram = shingles(raw, off, size)
-            first = _per_row(row, e - a)
-            yield {"doc_id": batch.column("doc_id").slice(a, e - a), "n": np.diff(first).astype(np.int32),
-                   "s1": _totals(mix(gram, 1), first).view(np.int64), "s2": _totals(mix(gram, 2), first).view(np.int64)}
+    """Per document its set size and 128-bit digest; at the end of a partition how many of its sets fall on each counter (n)."""
 
-    return batches(of, SETS)
+    def run(stream):
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in stream:
+            for a, e, raw, off in slices(batch.column("text")):
+                row, gram = shingles(raw, off, size)
+                first = _per_row(row, e - a)
+                total += np.bincount(_counter(gram), minlength=COUNTERS)
+                columns = [batch.column("doc_id").slice(a, e - a), np.diff(first).astype(np.int32),
+                           _totals(mix(gram, 1), first).view(np.int64), _totals(mix(gram, 2), first).view(np.int64)]
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.nulls(e - a, pa.int32())], schema=SETS)
+        used = np.flatnonzero(total)
+        none = pa.nulls(len(used), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.nulls(len(used), pa.int32()), pa.array(total[used]), none, pa.array(used, pa.int32())], schema=SETS)
 
+    return run
 
-def block_counts(largest: int, percent: int) -> np.ndarray:
-    """Numbers of column blocks in use, growing by about half."""
-    grid = [1, 2]
-    while grid[-1] < most_differences(largest, percent) + 2:
-        grid.append(max(grid[-1] + 1, int(grid[-1] * 1.5)))
-    return np.array(grid)
+
+def common_counters(sets: DataFrame) -> np.ndarray:
+    """Counters that hold a column of very many rows: far above the mean of all. COUNTERS rows reach the driver."""
+    count = np.zeros(COUNTERS, np.int64)
+    for r in sets.where("counter is not null").groupBy("counter").agg(F.sum("s1").alias("n")).collect():
+        count[r["counter"]] = r["n"]
+    rows = sets.where("counter is null").count()
+    return count > 1.5 * count.mean() + max(32, HOT_SHARE * rows)
 
 
 def most_differences(smaller, percent: int):
@@ -77,112 +92,115 @@ def most_differences(smaller, percent: int):
     return smaller * (100 - percent) // percent
 
 
-def _keys(size: int, percent: int):
-    """One key per non-empty column block of each set.
+def needed(differences, percent: int):
+    """Blocks for so many differences: more of them where blocks are small and some stay empty."""
+    return differences + 2 + (differences // 10 if percent < 88 else 0)
+
+
+def block_counts(largest: int, percent: int) -> np.ndarray:
+    """Numbers of column blocks in use, growing by about half; 1 stands for sets that only link with equal ones."""
+    grid = [1, 3]
+    while grid[-1] < needed(most_differences(largest, percent), percent):
+        grid.append(max(grid[-1] + 1, int(grid[-1] * 1.5)))
+    return np.array(grid)
 
-    ``blocks`` exceeds the differences by two, so a linked pair agrees in two blocks at least. A set with two or more
-    empty blocks also gets keys for these: if neither agreed block holds shingles, both sets have two empty ones.
+
+def _keys(size: int, percent: int, common):
+    """One key per column block of each set that holds anything but common columns.
+
+    With m blocks and at most d differences, a linked pair agrees in m - d blocks or more. If a set has fewer than that many blocks
+    without a rare column, one of the agreed blocks has a rare column in both sets, and its key suffices. Sets with more get keys of all
+    columns too, and if even those leave too many blocks empty, keys of the empty blocks: two linked sets that both need them both have them.
     """
 
     def of(batch: pa.RecordBatch):
-        for _, e0, raw, off in slices(batch.column("text")):
+        hot = common.value
+        for _, _, raw, off in slices(batch.column("text")):
             row, gram = shingles(raw, off, size)
             first = _per_row(row, len(off) - 1)
             n = np.diff(first)
-            s1, s2 = _totals(mix(gram, 1), first).view(np.int64), _totals(mix(gram, 2), first).view(np.int64)
-            _, once = np.unique(np.stack([s1, s2]), axis=1, return_index=True)   # copies within the slice
-            keep = np.zeros(len(n), bool)
-            keep[once] = True
             if not len(gram):
                 continue
+            s1 = _totals(mix(gram, 1), first).view(np.int64)
+            keep = np.zeros(len(n), bool)
+            keep[np.unique(s1, return_index=True)[1]] = True                      # copies within the slice
             grid = block_counts(int(n.max()), percent)
-            level = np.searchsorted(grid, np.where(most_differences(n, percent) > 0, most_differences(n, percent) + 2, 1))
-            least = -(-n * percent // 100)                                        # the smallest possible partner
-            lower = np.searchsorted(grid, np.where(most_differences(least, percent) > 0, most_differences(least, percent) + 2, 1))
-            value, place = mix(gram, 12), (mix(gram, 11) >> np.uint64(32))
-            for step in (0, 1):
+            differences = np.arange(int(n.max()) + 1)
+            reach = np.array([int(np.searchsorted(needed(differences, percent), g, "right")) - 1 for g in grid])   # most differences g serves
+            most = most_differences(n, percent)
+            least = most_differences(-(-n * percent // 100), percent)              # of the smallest possible partner
+            level = np.searchsorted(grid, np.where(most > 0, needed(most, percent), 1))
+            lower = np.searchsorted(grid, np.where(least > 0, needed(least, percent), 1))
+            value, place, rare = mix(gram, 12), mix(gram, 11) >> np.uint64(32), ~hot[_counter(gram)]
+            for step in range(int((level - lower).max()) + 1):
                 use = level - step
                 rows = keep & (use >= lower) & (grid[np.maximum(use, 0)] > 1)
-                if not rows.any():
-                    continue
-                blocks = np.where(rows, grid[np.maximum(use, 0)], 0)
-                base = np.append(0, np.cumsum(blocks))
-                on = rows[row]
-                block = (place[on] * blocks[row[on]].astype(np.uint64)) >> np.uint64(32)
-                cell = base[row[on]] + block.astype(np.int64)
-                sums, filled = np.zeros(base[-1], np.uint64), np.zeros(base[-1], bool)
-                np.add.at(sums, cell, value[on])
-                filled[cell] = True
-                owner = np.repeat(np.arange(len(n)), blocks)
-                name = (blocks[owner].astype(np.uint64) << np.uint64(32)) + (np.arange(base[-1]) - base[owner]).astype(np.uint64)
-                empty = np.bincount(owner[~filled], minlength=len(n))
-                out = filled | (empty[owner] > 1)
-                owner = owner[out]
-                yield {"key": mix(mix(name[out], 13) + sums[out], 14).view(np.int64), "s1": s1[owner], "s2": s2[owner],
-                       "n": n[owner].astype(np.int32)}
+                for every in (False, True):                                        # rare columns only, then all of them
+                    if not rows.any():
+                        break
+                    blocks = np.where(rows, grid[np.maximum(use, 0)], 0)
+                    base = np.append(0, np.cumsum(blocks))
+                    on = rows[row] & (rare | every)
+                    block = (place[on] * blocks[row[on]].astype(np.uint64)) >> np.uint64(32)
+                    cell = base[row[on]] + block.astype(np.int64)
+                    sums, filled = np.zeros(base[-1], np.uint64), np.zeros(base[-1], bool)
+                    np.add.at(sums, cell, value[on])
+                    filled[cell] = True
+                    owner = np.repeat(np.arange(len(n)), blocks)
+                    name = (blocks[owner].astype(np.uint64) << np.uint64(32)) + (np.arange(base[-1]) - base[owner]).astype(np.uint64)
+                    empty = np.bincount(owner[~filled], minlength=len(n))
+                    short = rows & (empty >= blocks - reach[np.maximum(use, 0)])
+                    out = filled | short[owner] if every else filled
+                    owner, name, sums = owner[out], name[out], sums[out]
+                    yield {"key": mix(mix(name, 13 + every) + sums, 14).view(np.int64), "s1": s1[owner]}
+                    rows = short
 
     return batches(of, KEYS)
 
 
-def _groups(percent: int):
-    """Pairs within key groups from rows sorted by (key, s1, s2), and the members of groups beyond ``LEADERS``.
+def _groups():
+    """Pairs within key groups from rows sorted by (key, s1), and the members of groups beyond ``LEADERS`` + 1.
 
-    Holds the first members of the group in hand, whatever its size. A pair row has both sides; a member row has
-    side a only, with its place in the group.
+    A pair joins a member with one of the group's first ``LEADERS``. A member row has side a only, with its place in the group. Only the
+    first members of the group in hand are held, whatever its size.
     """
 
     def run(stream):
-        names = ("key", "s1", "s2", "n")
-        held, told = {c: np.zeros(0, np.int64) for c in names}, 0          # first members of the open group; rows of it so far
+        key0, s0 = np.zeros(0, np.int64), np.zeros(0, np.int64)            # first members of the open group
+        told, last = 0, None                                               # its members so far, the last row seen
         for batch in stream:
-            new = {c: batch.column(c).to_numpy() for c in names}
-            if not len(new["key"]):
+            key, s1 = batch.column("key").to_numpy(), batch.column("s1").to_numpy()
+            if not len(key):
                 continue
-            old = len(held["key"]) if len(held["key"]) and held["key"][0] == new["key"][0] else 0
-            cols = {c: np.concatenate([held[c][:old], new[c]]) for c in names}
-            key, s1, s2 = cols["key"], cols["s1"], cols["s2"]
             fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])
-            fresh[:old] = True
-            if old and told > old and key[old] == last[0]:
-                fresh[old] = (s1[old], s2[old]) != last[1:]
-            last = (key[-1], s1[-1], s2[-1])
-            cols = {c: v[fresh] for c, v in cols.items()}
-            key = cols["key"]
+            fresh[1:] = (key[1:] != key[:-1]) | (s1[1:] != s1[:-1])
+            fresh[0] = (key[0], s1[0]) != last
+            last = (key[-1], s1[-1])
+            key, s1 = key[fresh], s1[fresh]
+            if not len(key):
+                continue
+            old = len(key0) if len(key0) and key0[0] == key[0] else 0
+            key, s1 = np.concatenate([key0[:old], key]), np.concatenate([s0[:old], s1])
             begin = np.ones(len(key), bool)
             begin[1:] = key[1:] != key[:-1]
             starts = np.flatnonzero(begin)
-            start = np.repeat(starts, np.diff(np.append(starts, len(key))))
-            j = np.arange(len(key)) - start
-            is_new = np.arange(len(key)) >= old
-            late = (told - old) * (start == 0) * (old > 0)                 # members of the open group not held
-            place = j + np.where(is_new, late, 0)
-            out = []
-            for d in range(LEADERS):
-                at = np.flatnonzero(is_new & (place > d))
-                lead = start[at] + d
-                small, large = np.minimum(cols["n"][at], cols["n"][lead]), np.maximum(cols["n"][at], cols["n"][lead])
-                ok = 100 * small >= percent * large
-                out.append((lead[ok], at[ok], np.full(ok.sum(), d)))
-            size = np.bincount(np.cumsum(begin) - 1) + (late[starts] if len(starts) else 0)
-            big = np.repeat(size > LEADERS + 1, np.diff(np.append(starts, len(key))))
-            known = (start == 0) & (old > 0) & (told > LEADERS + 1)
+            width = np.diff(np.append(starts, len(key)))
+            start, is_new = np.repeat(starts, width), np.arange(len(key)) >= old
+            hidden = (told - old) if old else 0                            # members of the open group that are not held
+            place = np.arange(len(key)) - start + np.where((start == 0) & is_new, hidden, 0)
+            pairs = [(start[at] + d, at) for d in range(LEADERS) for at in [np.flatnonzero(is_new & (place > d))]]
+            size = width + np.where(starts == 0, hidden, 0)
+            big = np.repeat(size > LEADERS + 1, width)
+            known = (start == 0) & bool(old) & (told > LEADERS + 1)
             member = np.flatnonzero(big & (is_new | ~known))
-            a = np.concatenate([x[0] for x in out])
-            b = np.concatenate([x[1] for x in out])
-            if len(a) or len(member):
-                none = np.zeros(len(member), bool)
-                take = lambda c, i: pa.array(cols[c][i].astype(np.int64 if c != "n" else np.int32))
-                pairs = [take("key", a), take("s1", a), take("s2", a), take("n", a), take("s1", b), take("s2", b), take("n", b),
-                         pa.nulls(len(a), pa.int32())]
-                yield pa.RecordBatch.from_arrays(pairs, schema=GROUPS)
-                rows = [take("key", member), take("s1", member), take("s2", member), take("n", member),
-                        pa.nulls(len(none), pa.int64()), pa.nulls(len(none), pa.int64()), pa.nulls(len(none), pa.int32()),
-                        pa.array(place[member].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(rows, schema=GROUPS)
-            s = starts[-1]
+            a, b = np.concatenate([x[0] for x in pairs]), np.concatenate([x[1] for x in pairs])
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(key[a]), pa.array(s1[a]), pa.array(s1[b]), pa.nulls(len(a), pa.int32())], schema=GROUPS)
+            if len(member):
+                yield pa.RecordBatch.from_arrays([pa.array(key[member]), pa.array(s1[member]), pa.nulls(len(member), pa.int64()),
+                                                  pa.array(place[member].astype(np.int32))], schema=GROUPS)
             told = int(place[-1]) + 1
-            held = {c: v[s:s + LEADERS + 1] for c, v in cols.items()}
+            key0, s0 = key[starts[-1]:starts[-1] + LEADERS + 1], s1[starts[-1]:starts[-1] + LEADERS + 1]
 
     return run
 
@@ -263,18 +281,25 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     ``percent``/100; component_id is the smallest doc_id reachable. Null and empty texts have no shingles and link with nothing.
     Equal sets are one row of the matrix (never pairs). A row with a null doc_id links with nothing and has a null component.
     """
-    rows = docs.select("doc_id", "text")
-    with Scratch(docs.sparkSession, "jaccard") as s:
-        sets = s.store(rows.mapInArrow(_sets(size), "doc_id long, n int, s1 long, s2 long"))
-        classes = s.store(sets.where("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("node")))
-        keys = rows.where("doc_id is not null").mapInArrow(_keys(size, percent), "key long, s1 long, s2 long, n int")
-        found = s.store(keys.repartition("key").sortWithinPartitions("key", "s1", "s2").mapInArrow(
-            _groups(percent), "key long, a1 long, a2 long, na int, b1 long, b2 long, nb int, place int"))
-        side = lambda c: classes.select(F.col("s1").alias(f"{c}1"), F.col("s2").alias(f"{c}2"), F.col("node").alias(c))
-        pairs = s.store(found.where("place is null").select("a1", "a2", "b1", "b2").distinct()
-                        .join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"]).select("a", "b"))
-        members = s.store(found.where("place is not null").join(side("a"), ["a1", "a2"])
-                          .select("key", F.col("a").alias("node"), F.col("na").alias("n"), (F.col("place") < LEADERS).alias("used")))
+    spark, rows = docs.sparkSession, docs.select("doc_id", "text")
+    with Scratch(spark, "jaccard") as s:
+        told = s.store(rows.mapInArrow(_sets(size), "doc_id long, n int, s1 long, s2 long, counter int"))
+        sets = told.where("counter is null").drop("counter")
+        common = spark.sparkContext.broadcast(common_counters(told))       # COUNTERS flags
+        classes = s.store(sets.where("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(
+            F.min("doc_id").alias("node"), F.min("n").alias("n")))
+        keys = rows.where("doc_id is not null").mapInArrow(_keys(size, percent, common), "key long, s1 long")
+        found = s.store(keys.repartition("key").sortWithinPartitions("key", "s1").mapInArrow(
+            _groups(), "key long, a1 long, b1 long, place int"))
+
+        def side(c: str) -> DataFrame:
+            return classes.select(F.col("s1").alias(f"{c}1"), F.col("node").alias(c), F.col("n").alias(f"n{c}"))
+
+        fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+        pairs = s.store(found.where("place is null").select("a1", "b1").distinct().join(side("a"), "a1").join(side("b"), "b1")
+                        .where(fits).select("a", "b"))
+        members = s.store(found.where("place is not null").join(side("a"), "a1").select(
+            "key", F.col("a").alias("node"), F.col("na").alias("n"), (F.col("place") < LEADERS).alias("used")))
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(members.select("node"))
         grams = s.store(rows.join(nodes.distinct(), rows.doc_id == F.col("node"), "left_semi").mapInArrow(
             _grams(size), "node long, grams binary"))
@@ -297,15 +322,15 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
                 .select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")))
             if lead.isEmpty():
                 break
-            fits = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
-            more = lead.join(rest, "key").where((F.col("component") != F.col("ca")) & fits)
+            close = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
+            more = lead.join(rest, "key").where((F.col("component") != F.col("ca")) & close)
             more = s.store(more.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
             links = s.store(links.unionByName(verify(more)))
             gone = lead.select("key", F.col("a").alias("node"), F.lit(True).alias("met"))
             members = s.store(members.join(gone, ["key", "node"], "left").select(
                 "key", "node", "n", (F.col("used") | F.coalesce("met", F.lit(False))).alias("used")))
             found_in = s.store(components(links, s))
-        whole = sets.join(classes, ["s1", "s2"], "left").join(found_in, "node", "left")
+        whole = sets.join(classes.drop("n"), ["s1", "s2"], "left").join(found_in, "node", "left")
         return s.result(whole.select(
             "doc_id", F.col("n").cast("long").alias("n_shingles"),
             F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id")).alias("component_id")))

@@ -12,14 +12,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import Scratch, batches, table
 from panelwright.llm.words import Words, mix, slices, spans
 
 LEADERS = 8              # members of a block's group that all others are paired with at once
-ROUND_LEADERS = 32       # further ones in each later round
+CELL_A, CELL_B = 256, 2048   # rows of the two sides of one block of the product over a crowded group
+COLUMNS = 2048           # columns of it that are multiplied at a time
 RANGES = 4               # column ranges of the accumulation
 COUNTERS = 1 << 16       # of the sketch that finds columns shared by very many rows
 HOT_SHARE = 0.005        # a column is very common from this share of the documents on
@@ -244,6 +244,45 @@ def _linked(percent: int, block: int = 64):
     return batches(of, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
 
+def _cell(percent: int):
+    """Links of one block of a crowded group: side a, outside its main component, times side b; one link per row and component."""
+
+    def of(one: pa.Table, other: pa.Table) -> pa.Table:
+        a, b = (t["node"].to_numpy() for t in (one, other))
+        out = np.zeros((0, 2), np.int64)
+        if len(a) and len(b):
+            ga, gb = ([np.frombuffer(x, np.uint64) for x in t["grams"].to_pylist()] for t in (one, other))
+            na, nb = np.array([len(x) for x in ga]), np.array([len(x) for x in gb])
+            bound = -(-percent * (na[:, None] + nb) // (100 + percent))
+            flat_a, flat_b = np.concatenate(ga), np.concatenate(gb)
+            shared = np.intersect1d(flat_a, flat_b)
+            row_a, row_b = np.repeat(np.arange(len(a)), na), np.repeat(np.arange(len(b)), nb)
+            ca, cb = np.searchsorted(shared, flat_a), np.searchsorted(shared, flat_b)
+            in_a = np.isin(flat_a, shared, assume_unique=False)
+            in_b = np.isin(flat_b, shared, assume_unique=False)
+            row_a, ca, row_b, cb = row_a[in_a], ca[in_a], row_b[in_b], cb[in_b]
+            seen = np.zeros((len(a), len(b)), np.int64)
+            left = np.minimum(np.bincount(row_a, minlength=len(a))[:, None], np.bincount(row_b, minlength=len(b)))
+            for at in range(0, len(shared), COLUMNS):
+                if not (seen + left >= bound).any():
+                    break
+                x, y = np.zeros((len(a), COLUMNS), np.float32), np.zeros((len(b), COLUMNS), np.float32)
+                ka, kb = (ca >= at) & (ca < at + COLUMNS), (cb >= at) & (cb < at + COLUMNS)
+                x[row_a[ka], ca[ka] - at] = 1
+                y[row_b[kb], cb[kb] - at] = 1
+                seen += (x @ y.T).astype(np.int64)
+                left -= np.minimum(x.sum(1)[:, None], y.sum(1)).astype(np.int64)
+                left = np.maximum(left, 0) if at + COLUMNS < len(shared) else left * 0
+            # ``left`` may only shrink too slowly: min of sums is at least the sum of mins, so no pair leaves early that could link.
+            i, j = np.nonzero((seen >= bound) & (a[:, None] != b))
+            label = other["component"].to_numpy()[j]
+            keep = np.unique(np.stack([i, label]), axis=1, return_index=True)[1] if len(i) else np.zeros(0, int)
+            out = np.stack([a[i[keep]], b[j[keep]]], axis=1)
+        return pa.table({"a": pa.array(out[:, 0], pa.int64()), "b": pa.array(out[:, 1], pa.int64())})
+
+    return of
+
+
 def components(edges: DataFrame, s: Scratch) -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (a, b), for the nodes that have edges.
 
@@ -299,37 +338,39 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
         pairs = s.store(found.where("place is null").select("a1", "b1").distinct().join(side("a"), "a1").join(side("b"), "b1")
                         .where(fits).select("a", "b"))
         members = s.store(found.where("place is not null").join(side("a"), "a1").select(
-            "key", F.col("a").alias("node"), F.col("na").alias("n"), (F.col("place") < LEADERS).alias("used")))
+            "key", F.col("a").alias("node"), (F.col("place") < LEADERS).alias("used")))
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(members.select("node"))
         grams = s.store(rows.join(nodes.distinct(), rows.doc_id == F.col("node"), "left_semi").mapInArrow(
             _grams(size), "node long, grams binary"))
 
-        def verify(p: DataFrame) -> DataFrame:
-            full = (p.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
-                    .join(grams.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b").select("a", "b", "ga", "gb"))
-            return s.store(full.mapInArrow(_linked(percent), "a long, b long"))
+        def own(side: str) -> DataFrame:
+            return grams.select(F.col("node").alias(side), F.col("grams").alias(f"g{side}"))
 
-        links = verify(pairs)
+        links = s.store(pairs.join(own("a"), "a").join(own("b"), "b").select("a", "b", "ga", "gb").mapInArrow(
+            _linked(percent), "a long, b long"))
         found_in = s.store(components(links, s))
-        while True:
-            # Groups with more than LEADERS + 1 members: whoever is outside the group's main component still has to meet the rest.
-            own = s.store(members.join(found_in, "node", "left").withColumn("component", F.coalesce("component", "node")))
-            parts = own.groupBy("key", "component").count().groupBy("key").agg(
-                F.max_by("component", F.struct(F.col("count"), F.col("component"))).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-            rest = own.join(parts.select("key", "main"), "key")
-            lead = s.store(rest.where("component <> main and not used").withColumn(
-                "r", F.row_number().over(W.partitionBy("key").orderBy("node"))).where(F.col("r") <= ROUND_LEADERS)
-                .select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")))
-            if lead.isEmpty():
-                break
-            close = F.least("n", "na") * 100 >= F.greatest("n", "na") * percent
-            more = lead.join(rest, "key").where((F.col("component") != F.col("ca")) & close)
-            more = s.store(more.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-            links = s.store(links.unionByName(verify(more)))
-            gone = lead.select("key", F.col("a").alias("node"), F.lit(True).alias("met"))
-            members = s.store(members.join(gone, ["key", "node"], "left").select(
-                "key", "node", "n", (F.col("used") | F.coalesce("met", F.lit(False))).alias("used")))
-            found_in = s.store(components(links, s))
+        # Crowded groups, one of each with the same members: who is outside the main component still has to meet the others.
+        same = members.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("f"),
+                                          F.bit_xor(F.xxhash64("node", F.lit(1))).alias("g"))
+        members = s.store(members.join(same.groupBy("c", "f", "g").agg(F.min("key").alias("key")).select("key"), "key")
+                          .join(found_in, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        parts = (members.groupBy("key", "component").agg(F.count("*").alias("c"), F.count(F.when(~F.col("used"), 1)).alias("open")).groupBy("key")
+                 .agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.sum("c").alias("c"), F.sum("open").alias("all_open"),
+                      F.max_by("open", F.struct("c", "component")).alias("main_open"))
+                 .withColumn("x", F.col("all_open") - F.col("main_open")).where("x > 0")
+                 .select("key", "main", F.ceil(F.col("x") / CELL_A).cast("int").alias("m"), F.ceil(F.col("c") / CELL_B).cast("int").alias("k")))
+        crowd = s.store(members.join(parts, "key"))
+
+        def dealt(df: DataFrame, by: str, across: str) -> DataFrame:
+            part = F.pmod(F.xxhash64("node"), F.col(by)).cast("int")
+            out = df.withColumn("o", F.explode(F.sequence(F.lit(0), F.col(across) - 1)))
+            i, j = (part, F.col("o")) if by == "m" else (F.col("o"), part)
+            out = out.select("key", i.alias("i"), j.alias("j"), "node", "component").join(grams, "node")
+            return out.select(*[F.col(c).alias(c) for c in out.columns]).groupBy("key", "i", "j")   # columns of their own for either side
+
+        late = s.store(dealt(crowd.where("component <> main and not used"), "m", "k").cogroup(dealt(crowd, "k", "m")).applyInArrow(
+            _cell(percent), "a long, b long"))
+        found_in = s.store(components(links.unionByName(late), s))
         whole = sets.join(classes.drop("n"), ["s1", "s2"], "left").join(found_in, "node", "left")
         return s.result(whole.select(
             "doc_id", F.col("n").cast("long").alias("n_shingles"),

@@ -349,11 +349,14 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
         links = s.store(pairs.join(own("a"), "a").join(own("b"), "b").select("a", "b", "ga", "gb").mapInArrow(
             _linked(percent), "a long, b long"))
         found_in = s.store(components(links, s))
-        # Crowded groups, one of each with the same members: who is outside the main component still has to meet the others.
-        same = members.groupBy("key").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("f"),
-                                          F.bit_xor(F.xxhash64("node", F.lit(1))).alias("g"))
-        members = s.store(members.join(same.groupBy("c", "f", "g").agg(F.min("key").alias("key")).select("key"), "key")
-                          .join(found_in, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        # Crowded groups: who is outside the main component still has to meet the others. Groups that share members are one cluster, so a
+        # set is sent once for all of its groups; a member that led all its groups has met everyone.
+        members = members.join(found_in, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        unsettled = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("first")).where("x < y")
+        members = s.store(members.join(unsettled.select("key", "first"), "key"))
+        cluster = components(members.select(F.col("first").alias("a"), F.col("node").alias("b")), s)
+        members = (members.groupBy("node").agg(F.bool_and("used").alias("used"), F.min("component").alias("component"))
+                   .join(cluster.select("node", F.col("component").alias("key")), "node"))
         parts = (members.groupBy("key", "component").agg(F.count("*").alias("c"), F.count(F.when(~F.col("used"), 1)).alias("open")).groupBy("key")
                  .agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.sum("c").alias("c"), F.sum("open").alias("all_open"),
                       F.max_by("open", F.struct("c", "component")).alias("main_open"))

@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from panelwright.llm.common import Scratch, batches, table
 from panelwright.llm.words import Words, mix, slices, spans
 
-LEADERS = 8              # members of a block's group that all others are paired with at once
+LEADERS = 2              # members of a block's group that all others are paired with at once
 CELL_A, CELL_B = 256, 2048   # rows of the two sides of one block of the product over a crowded group
 COLUMNS = 2048           # columns of it that are multiplied at a time
 RANGES = 4               # column ranges of the accumulation
 COUNTERS = 1 << 16       # of the sketch that finds columns shared by very many rows
-HOT_SHARE = 0.005        # a column is very common from this share of the documents on
+HOT_SHARE = 0.001        # a column is very common from about this share of the documents on
 
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("counter", pa.int32())])
 KEYS = pa.schema([("key", pa.int64()), ("s1", pa.int64())])
@@ -84,7 +84,7 @@ def common_counters(sets: DataFrame) -> np.ndarray:
     for r in sets.where("counter is not null").groupBy("counter").agg(F.sum("s1").alias("n")).collect():
         count[r["counter"]] = r["n"]
     rows = sets.where("counter is null").count()
-    return count > 1.5 * count.mean() + max(32, HOT_SHARE * rows)
+    return count > count.mean() + 6 * np.sqrt(count.mean()) + max(32, HOT_SHARE * rows)
 
 
 def most_differences(smaller, percent: int):

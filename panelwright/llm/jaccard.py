@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from panelwright.llm.common import Scratch, batches, table
 from panelwright.llm.words import Words, mix, slices, spans
 
-LEADERS = 2              # members of a block's group that all others are paired with at once
+LEADERS = 1              # members of a block's group that all others are paired with at once
 CELL_A, CELL_B = 256, 2048   # rows of the two sides of one block of the product over a crowded group
 COLUMNS = 2048           # columns of it that are multiplied at a time
 RANGES = 4               # column ranges of the accumulation

@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
             yield pa.array(list(_pool(t, *sent.value)), pa.list_(pa.float32()))
 
     sizes = {r["label"]: r["count"] for r in labels.where(train_row()).select(F.col(label).alias("label")).groupBy("label").count().collect()}
-    rows = (docs.join(F.broadcast(chosen), "doc_id")                       # at most 2 x per_class ids
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")                       # at most 2 x per_class ids
             .select("doc_id", "label", F.arrow_udf(pooled, "array<float>")("text").alias("x")).toArrow())
     sent.unpersist()
     order = np.lexsort((mix(rows["doc_id"].to_numpy().astype(np.uint64), 3),))

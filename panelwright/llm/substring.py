@@ -94,7 +94,7 @@ def _kept(batch: pa.RecordBatch, window: int):
         keep = np.ones(len(w), bool)
         h = None
         for i in range(a, e):
-            at, n, c1 = _marks(batch.column("runs"), i, ("at", "n", "c1"))
+            at, n, c1 = _marks(batch.column("_runs"), i, ("at", "n", "c1"))
             if len(at):
                 h = w.hashes() if h is None else h
                 own = slice(w.first[i - a], w.first[i - a + 1])
@@ -127,7 +127,7 @@ def _digests(window: int):
 def _rewrite(window: int):
     def run(stream):
         for batch in stream:
-            names = [c for c in batch.schema.names if c != "runs"]
+            names = [c for c in batch.schema.names if c != "_runs"]
             for a, e, _, removed, texts in _kept(batch, window):
                 part = batch.slice(a, e - a)
                 old = part.column("text")
@@ -175,7 +175,7 @@ def removals(docs: DataFrame, s: Scratch, window: int = 50, start: int = 25) ->
     """(doc_id, runs): per document the runs of windows to remove, no row where there are none."""
     settled, still = mark_repeats(docs, s, window, start)
     late = s.store(_second_level(docs, still, s, window))
-    return s.store(settled.unionByName(late).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n", "c1")).alias("runs")))
+    return s.store(settled.unionByName(late).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n", "c1")).alias("_runs")))
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, start: int = 25) -> DataFrame:
@@ -188,7 +188,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, start: int = 25) -> DataFr
     """
     with Scratch(docs.sparkSession, "substring") as s:
         runs = removals(docs, s, window, start)
-        joined = docs.join(runs, "doc_id", "left").select(*docs.columns, "runs")
+        joined = docs.join(runs, "doc_id", "left").select(*docs.columns, "_runs")
         return s.result(joined.mapInArrow(_rewrite(window), docs.schema))
 
 

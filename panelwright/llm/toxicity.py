@@ -78,7 +78,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
             bound = np.searchsorted(np.concatenate(row), np.arange(len(t) + 1))
             yield pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(np.concatenate(cell)))
 
-    rows = (docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.arrow_udf(extract, "array<int>")("text").alias("x"))
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.arrow_udf(extract, "array<int>")("text").alias("x"))
             .toArrow())
     if not rows.num_rows:
         return np.zeros(0, np.int64), np.zeros(0), 0.0

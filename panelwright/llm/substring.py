@@ -149,8 +149,9 @@ def mark_repeats(docs: DataFrame, s: Scratch, window: int = 50, start: int = 25)
         _runs(start, window), "anchor long, c1 long, c2 long, doc_id long, at int, n int")
     alive = (runs.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
              .where("lo < hi").select("anchor"))
-    alive = s.store(runs.join(alive, "anchor"))
-    first = alive.groupBy("c1", "c2").agg(F.min("doc_id").alias("first"))
+    # The grouped side is stored before it is joined: a join of two plain exchanges lets Spark split the rows of a hot key.
+    alive = s.store(runs.join(s.store(alive), "anchor"))
+    first = s.store(alive.groupBy("c1", "c2").agg(F.min("doc_id").alias("first")))
     alive = s.store(alive.join(first, ["c1", "c2"]))
     settled = alive.where("doc_id > first").select("doc_id", "at", "n", "c1")
     source = alive.where("doc_id = first")
@@ -166,7 +167,7 @@ def _second_level(docs: DataFrame, still: DataFrame, s: Scratch, window: int) ->
     """Windows of the open runs whose words also start in an earlier document."""
     single = s.store(docs.select("doc_id", "text").join(still, "doc_id").mapInArrow(
         _expand(window), "w1 long, w2 long, doc_id long, at int"))
-    first = single.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    first = s.store(single.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last"))
     return single.join(first.drop("last"), ["w1", "w2"]).where("doc_id > first").select(
         "doc_id", "at", F.lit(1).alias("n"), F.col("w1").alias("c1"))
 

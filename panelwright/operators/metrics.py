@@ -195,7 +195,11 @@ def brier(df: DataFrame, label: str = "label", score: str = "score") -> DataFram
 
 
 def calibration_error(df: DataFrame, label: str = "label", score: str = "score", bins: int = 10) -> DataFrame:
-    """(brier_score, expected_calibration_error); bins are (lo, hi], a score of 0 lies in none."""
+    """(brier_score, expected_calibration_error); bins are (lo, hi], a score of 0 lies in none.
+
+    Rows without label or score don't count.
+    """
+    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     d = F.col(score) - F.col(label)
     per_bin = df.groupBy(F.when(F.col(score) > 0, F.ceil(F.col(score) * bins)).alias("bin")).agg(
         F.count("*").alias("n"), F.sum(score).alias("conf"), F.sum(label).alias("pos"),

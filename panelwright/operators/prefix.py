@@ -14,13 +14,30 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelwright.runtime import materialize, stored_rows
+from panelwright.runtime import materialize, null_safe_join, stored_rows
 
 ROWS_PER_RANGE = 250_000
 MAX_RANGES = 50_000
 
 
+def axis(df: DataFrame, order: str) -> Column:
+    """``order`` as a double that never falls where ``order`` rises: dates and times count units, text its first six bytes.
+
+    NaN, the largest value to Spark, becomes infinity; NULL stays NULL.
+    """
+    c, kind = F.col(order), df.schema[order].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(F.encode(c, "utf-8")), 1, 12), 12, "0"), 16, 10).cast("double")
+    value = c.cast("double")
+    return F.when(F.isnan(value), F.lit(math.inf)).otherwise(value)
+
+
 def range_cuts(hist: DataFrame, order: str, by: Sequence[str] = (),
                rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
     """Inner cut points of ``order``; empty when the largest group fits one range."""
@@ -42,16 +59,17 @@ def row_cuts(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE,
     probs = [i / n for i in range(1, n)]
     if not probs:
         return []
-    cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, max(10_000, 4 * n))).first()[0]
-    return sorted(set(cuts))
+    cuts = df.agg(F.percentile_approx(axis(df, order), probs, max(10_000, 4 * n))).first()[0]
+    return sorted({c for c in cuts or [] if math.isfinite(c)})
 
 
 def with_range(df: DataFrame, order: str, cuts: Sequence[float], out: str = "_range") -> DataFrame:
-    """Tag rows with the index of the half-open range [cut_i, cut_i+1) they fall in."""
+    """Tag rows with the index of the half-open range [cut_i, cut_i+1) they fall in; NULL, which Spark sorts first, has range -1."""
     if not cuts:
         return df.withColumn(out, F.lit(0.0))
-    stage = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_order_value", outputCol=out)
-    return stage.transform(df.withColumn("_order_value", F.col(order).cast("double"))).drop("_order_value")
+    stage = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_order_value", outputCol=out, handleInvalid="keep")
+    tagged = stage.transform(df.withColumn("_order_value", axis(df, order)))
+    return tagged.withColumn(out, F.when(F.col("_order_value").isNull(), F.lit(-1.0)).otherwise(F.col(out))).drop("_order_value")
 
 
 def running_sums(hist: DataFrame, order: str, sums: dict[str, str], by: Sequence[str] = (),
@@ -76,7 +94,7 @@ def running_sums(hist: DataFrame, order: str, sums: dict[str, str], by: Sequence
         F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}") for o in sums])
     inside = (Window.partitionBy(*by, "_range").orderBy(direction(order))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (tagged.join(offsets, [*by, "_range"])
+    return (null_safe_join(tagged, offsets, [*by, "_range"])
             .withColumns({o: F.sum(s).over(inside) + F.col(f"_o_{o}") for o, s in sums.items()})
             .drop("_range", *[f"_o_{o}" for o in sums]))
 

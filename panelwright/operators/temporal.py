@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.operators.prefix import row_cuts, running_sums, with_range
-from panelwright.runtime import lookup_join, materialize, require_columns, stored_rows
+from panelwright.runtime import materialize, null_safe_join, require_columns, stored_rows
 
 AGGREGATIONS = ("mean", "std", "min", "max", "trend")
 # An entity above this many rows is cut into pieces; below it its rows fit one window buffer.
@@ -78,8 +78,10 @@ def rolling_features(df: DataFrame, entity: str, period: str, features: Sequence
         order = [period, "_tie"]
         hot = materialize(df.groupBy(entity).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows), "hot")
         if stored_rows(hot):
-            calm = df.join(F.broadcast(hot), entity, "left_anti")    # at most rows / hot_rows entities
-            busy = df.join(F.broadcast(hot.drop("_n")), entity, "left_semi")
+            # At most rows / hot_rows entities; NULL is one like others.
+            same = df[entity].eqNullSafe(F.col("_hot"))
+            hot = F.broadcast(hot.select(F.col(entity).alias("_hot")))
+            calm, busy = df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
             done = calm.withColumns(_windowed(features, period, k, min_periods, aggs, lag, [entity], order))
             return done.unionByName(
                 _in_pieces(busy, entity, period, features, k, min_periods, aggs, lag, hot_rows)).drop("_tie")
@@ -118,10 +120,9 @@ def row_ordinal(df: DataFrame, entity: str, period: str, tie: str, out: str = "_
     tagged = with_range(df, tie, row_cuts(df, tie, rows_per_range), "_r")
     sizes = tagged.groupBy(entity, period, "_r").agg(F.count("*").alias("_m"))
     before = Window.partitionBy(entity, period).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (sizes.withColumn("_off", F.coalesce(F.sum("_m").over(before), F.lit(0)))
-               .join(starts, [entity, period])
+    offsets = (null_safe_join(sizes.withColumn("_off", F.coalesce(F.sum("_m").over(before), F.lit(0))), starts, [entity, period])
                .select(entity, period, "_r", (F.col("_start") + F.col("_off")).alias("_first")))
-    placed = lookup_join(tagged, materialize(offsets, "ordinal-first"), [entity, period, "_r"], "inner")
+    placed = null_safe_join(tagged, materialize(offsets, "ordinal-first"), [entity, period, "_r"])
     w = Window.partitionBy(entity, period, "_r").orderBy(tie)
     return placed.withColumn(out, F.col("_first") + F.row_number().over(w) - 1).drop("_first", "_r")
 

@@ -78,5 +78,5 @@ def analysis_job(scored: DataFrame, dimensions: Sequence[str], features: Sequenc
         part = json_records(table).select(F.lit(name).alias("section"), "record")
         out = part if out is None else out.unionByName(part)
     if path:
-        write_json(out.coalesce(1), path)
+        write_json(out, path)
     return out

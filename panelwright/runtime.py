@@ -79,6 +79,15 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of the same names in which NULL matches NULL; the keys are kept once."""
+    renamed = right.select(*[F.col(c).alias(f"_right_{c}" if c in on else c) for c in right.columns])
+    match = F.lit(True)
+    for c in on:
+        match = match & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    return left.join(renamed, match, how).drop(*[f"_right_{c}" for c in on])
+
+
 def one_row(df: DataFrame) -> dict:
     """The single row of an aggregate as a dict of scalars."""
     rows = df.limit(2).collect()

@@ -313,6 +313,33 @@ def components(edges: DataFrame, s: Scratch) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
+def _crowded(members: DataFrame, grams: DataFrame, percent: int, s: Scratch) -> DataFrame:
+    """Further links (a, b) within crowded groups: who is outside a group's main component still has to meet the others.
+
+    ``members`` has (key, node, used, component, first), ``first`` being the group's smallest node. Groups that share members are one
+    cluster, so a set is sent once for all of its groups; a member that led all its groups has met everyone.
+    """
+    cluster = components(members.select(F.col("first").alias("a"), F.col("node").alias("b")), s)
+    members = (members.groupBy("node").agg(F.bool_and("used").alias("used"), F.min("component").alias("component"))
+               .join(cluster.select("node", F.col("component").alias("key")), "node"))
+    parts = (members.groupBy("key", "component").agg(F.count("*").alias("c"), F.count(F.when(~F.col("used"), 1)).alias("open")).groupBy("key")
+             .agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.sum("c").alias("c"), F.sum("open").alias("all_open"),
+                  F.max_by("open", F.struct("c", "component")).alias("main_open"))
+             .withColumn("x", F.col("all_open") - F.col("main_open")).where("x > 0")
+             .select("key", "main", F.ceil(F.col("x") / CELL_A).cast("int").alias("m"), F.ceil(F.col("c") / CELL_B).cast("int").alias("k")))
+    crowd = s.store(members.join(parts, "key"))
+
+    def dealt(df: DataFrame, by: str, across: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("node"), F.col(by)).cast("int")
+        out = df.withColumn("o", F.explode(F.sequence(F.lit(0), F.col(across) - 1)))
+        i, j = (part, F.col("o")) if by == "m" else (F.col("o"), part)
+        out = out.select("key", i.alias("i"), j.alias("j"), "node", "component").join(grams, "node")
+        return out.select(*[F.col(c).alias(c) for c in out.columns]).groupBy("key", "i", "j")   # columns of their own for either side
+
+    return dealt(crowd.where("component <> main and not used"), "m", "k").cogroup(dealt(crowd, "k", "m")).applyInArrow(
+        _cell(percent), "a long, b long")
+
+
 def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text, any other columns).
 
@@ -349,31 +376,14 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
         links = s.store(pairs.join(own("a"), "a").join(own("b"), "b").select("a", "b", "ga", "gb").mapInArrow(
             _linked(percent), "a long, b long"))
         found_in = s.store(components(links, s))
-        # Crowded groups: who is outside the main component still has to meet the others. Groups that share members are one cluster, so a
-        # set is sent once for all of its groups; a member that led all its groups has met everyone.
         members = members.join(found_in, "node", "left").withColumn("component", F.coalesce("component", "node"))
         unsettled = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("first")).where("x < y")
         members = s.store(members.join(unsettled.select("key", "first"), "key"))
-        cluster = components(members.select(F.col("first").alias("a"), F.col("node").alias("b")), s)
-        members = (members.groupBy("node").agg(F.bool_and("used").alias("used"), F.min("component").alias("component"))
-                   .join(cluster.select("node", F.col("component").alias("key")), "node"))
-        parts = (members.groupBy("key", "component").agg(F.count("*").alias("c"), F.count(F.when(~F.col("used"), 1)).alias("open")).groupBy("key")
-                 .agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.sum("c").alias("c"), F.sum("open").alias("all_open"),
-                      F.max_by("open", F.struct("c", "component")).alias("main_open"))
-                 .withColumn("x", F.col("all_open") - F.col("main_open")).where("x > 0")
-                 .select("key", "main", F.ceil(F.col("x") / CELL_A).cast("int").alias("m"), F.ceil(F.col("c") / CELL_B).cast("int").alias("k")))
-        crowd = s.store(members.join(parts, "key"))
-
-        def dealt(df: DataFrame, by: str, across: str) -> DataFrame:
-            part = F.pmod(F.xxhash64("node"), F.col(by)).cast("int")
-            out = df.withColumn("o", F.explode(F.sequence(F.lit(0), F.col(across) - 1)))
-            i, j = (part, F.col("o")) if by == "m" else (F.col("o"), part)
-            out = out.select("key", i.alias("i"), j.alias("j"), "node", "component").join(grams, "node")
-            return out.select(*[F.col(c).alias(c) for c in out.columns]).groupBy("key", "i", "j")   # columns of their own for either side
-
-        late = s.store(dealt(crowd.where("component <> main and not used"), "m", "k").cogroup(dealt(crowd, "k", "m")).applyInArrow(
-            _cell(percent), "a long, b long"))
-        found_in = s.store(components(links.unionByName(late), s))
+        if not members.isEmpty():
+            late = s.store(_crowded(members, grams, percent, s))
+            # The components found so far stand for all links they came from.
+            known = found_in.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found_in = s.store(components(known.unionByName(late), s)) if not late.isEmpty() else found_in
         whole = sets.join(classes.drop("n"), ["s1", "s2"], "left").join(found_in, "node", "left")
         return s.result(whole.select(
             "doc_id", F.col("n").cast("long").alias("n_shingles"),

@@ -118,12 +118,13 @@ def clip(x: Column, lo: float, hi: float) -> Column:
 
 
 def threshold_label(score: Column, threshold: float | Column) -> Column:
-    return F.when(score >= threshold, 1).otherwise(0)
+    """1 or 0; NULL for a row without a score."""
+    return F.when(score >= threshold, 1).when(score.isNotNull(), 0)
 
 
 def confidence_band(p: Column) -> Column:
     return (F.when((p < 0.2) | (p > 0.8), "High")
-            .when((p < 0.4) | (p > 0.6), "Medium").otherwise("Low"))
+            .when((p < 0.4) | (p > 0.6), "Medium").when(p.isNotNull(), "Low"))
 
 
 def error_class(label: Column, pred: Column) -> Column:

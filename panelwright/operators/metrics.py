@@ -12,17 +12,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.prefix import ROWS_PER_RANGE, running_sums
-from panelwright.runtime import div0, lookup_join, materialize, safe_div
+from panelwright.runtime import div0, materialize, null_safe_join, safe_div
 
 
 def score_histogram(df: DataFrame, label: str = "label", score: str = "score", pred: str | None = "pred",
                     by: Sequence[str] = ()) -> DataFrame:
     """(by, score, pos, neg[, hit, alarm]): class counts per distinct score.
 
-    ``hit`` and ``alarm`` count the positives and negatives with prediction 1. Rows without a label or
-    a score are left out.
+    ``hit`` and ``alarm`` count the positives and negatives with prediction 1. Rows without a label, a
+    score (NULL or NaN) or, where predictions are asked for, a prediction are left out.
     """
-    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    if pred is not None:
+        df = df.where(F.col(pred).isNotNull())
     y = F.col(label).cast("long")
     aggs = [F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")]
     if pred is not None:
@@ -96,7 +98,7 @@ def classification_metrics(df: DataFrame, label: str = "label", score: str = "sc
     if min_rows > 0 and by:
         big = (hist.groupBy(*by).agg(F.sum(F.col("pos") + F.col("neg")).alias("_n"))
                .where(F.col("_n") >= min_rows).drop("_n"))
-        hist = lookup_join(hist, big, by, "left_semi")
+        hist = null_safe_join(hist, big, by)
     ranked = running_sums(hist, "score", {"tp": "pos", "fp": "neg"}, by=by, descending=True,
                           rows_per_range=rows_per_range)
     r = _ranking(*[F.col(x) for x in ("pos", "neg", "tp", "fp")])

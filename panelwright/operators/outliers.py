@@ -129,8 +129,11 @@ def score_isolation_forest(df: DataFrame, forest: DataFrame, features: Sequence[
 def isolation_outliers(df: DataFrame, key: str, features: Sequence[str], contamination: float = 0.05, trees: int = 100,
                        sample_size: int = 256, seed: int = 42) -> DataFrame:
     """Standardise, fit, score, and add ``anomaly`` and ``is_outlier`` for the ``contamination`` share
-    of highest scores. ``key`` only drives the sampling."""
+    of highest scores. ``key`` only drives the sampling. Columns without any value are left out."""
     parameters = scaling_parameters(df, features)
+    features = [c for c in features if c in parameters]
+    if not features:
+        raise ValueError("no feature has a value")
     x = F.array(*[(F.col(c).cast("double") - a) / w for c, (a, w) in ((c, parameters[c]) for c in features)])
     n = df.count()
     prepared = df.withColumn("_x", x)

@@ -43,8 +43,8 @@ def roles(period: Column, first: Column, cut: int, gap: int, disjoint: bool = Tr
 
 
 def period_cube(df: DataFrame, entity: str, period: str, label: str) -> DataFrame:
-    """(period, _first, n, pos): everything a cut needs, one row per period pair."""
-    return with_first_period(df.select(entity, period, label), entity, period).groupBy(period, "_first").agg(
+    """(period, _first, n, pos): everything a cut needs, one row per period pair. Rows without a period play no role."""
+    return with_first_period(df.select(entity, period, label).where(F.col(period).isNotNull()), entity, period).groupBy(period, "_first").agg(
         F.count("*").alias("n"), F.sum(label).alias("pos"))
 
 

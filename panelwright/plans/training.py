@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import statistics
+import time
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -98,8 +99,7 @@ def fit_model(train: DataFrame, config: dict, c: Columns) -> tuple[PipelineModel
     """Preparation and classifier as one pipeline for new rows."""
     pre, ready, features = prepare(train, config, c)
     name, settings = _algorithm(config)
-    weighted = "weight" if config.get("imbalance", {}).get("method") == "class_weight" else None
-    learner = make_classifier(name, settings, config.get("random_seed", 42), label=c.label, weight=weighted)
+    learner = make_classifier(name, settings, config.get("random_seed", 42), label=c.label, weight=_weight(config))
     vectors = VectorAssembler(inputCols=features, outputCol="features")
     fitted = learner.fit(vectors.transform(ready))
     return PipelineModel(stages=[*pre.stages, vectors, fitted]), features
@@ -147,17 +147,23 @@ def draw_trial(rng: random.Random, algorithms: list[str]) -> tuple[str, dict]:
     return name, out
 
 
+def _weight(config: dict) -> str | None:
+    return "weight" if config.get("imbalance", {}).get("method") == "class_weight" else None
+
+
 def search(df: DataFrame, config: dict, c: Columns | None = None) -> DataFrame:
     """Seeded random search over algorithms and settings, best trial first.
 
     (trial, algorithm, settings, metric, value, folds, pruned). The preparation of each fold does not
     depend on the trial and is stored once. A trial is stopped when its running mean falls below the
-    median of the earlier trials at the same fold, after five full trials.
+    median of the earlier trials at the same fold, after five full trials. Folds on which the metric is
+    undefined are passed over; after ``timeout_sec`` no further trial starts.
     """
     c = c or Columns()
     hpo = config.get("hpo", {})
     metric = {"f1": "f1_score"}.get(hpo.get("opt_metric", "pr_auc"), hpo.get("opt_metric", "pr_auc"))
     rng = random.Random(config.get("random_seed", 42))
+    weighted, limit, began = _weight(config), hpo.get("timeout_sec"), time.monotonic()
     folds = []
     for train, val in make_splits(df, config, c):
         pre, ready, features = prepare(train, config, c)
@@ -167,21 +173,27 @@ def search(df: DataFrame, config: dict, c: Columns | None = None) -> DataFrame:
     history: list[list[float]] = []
     rows = []
     for trial in range(int(hpo.get("n_trials", 30))):
+        if limit and rows and time.monotonic() - began > limit:
+            break
         name, settings = draw_trial(rng, list(hpo.get("algorithms", list(SPACE))))
         values: list[float] = []
         pruned = False
         for train, val in folds:
-            fitted = make_classifier(name, settings, config.get("random_seed", 42), label=c.label).fit(train)
+            fitted = make_classifier(name, settings, config.get("random_seed", 42), label=c.label, weight=weighted).fit(train)
             s = with_probability(fitted.transform(val)).select(F.col(c.label).alias("label"), "score")
             s = s.withColumn("pred", (F.col("score") >= 0.5).cast("int"))
-            values.append(float(metrics.classification_metrics(s).first()[metric] or 0.0))
+            found = metrics.classification_metrics(s).first()[metric]
+            if found is None:
+                continue
+            values.append(float(found))
             mean = statistics.fmean(values)
             earlier = [statistics.fmean(h[:len(values)]) for h in history if len(h) >= len(values)]
             if len(history) >= 5 and earlier and mean < statistics.median(earlier):
                 pruned = len(values) < len(folds)
                 break
         history.append(values)
-        rows.append((trial, name, {k: str(v) for k, v in settings.items()}, metric, statistics.fmean(values), len(values), pruned))
+        rows.append((trial, name, {k: str(v) for k, v in settings.items()}, metric,
+                     statistics.fmean(values) if values else None, len(values), pruned))
     table = df.sparkSession.createDataFrame(
         rows, "trial int, algorithm string, settings map<string,string>, metric string, value double, folds int, pruned boolean")
     return table.orderBy("pruned", F.desc("value"), "trial")

@@ -60,8 +60,8 @@ def load_artifacts(spark: SparkSession, path: str) -> Artifacts:
 
 
 def describe_model(spark: SparkSession, a: Artifacts) -> DataFrame:
-    """(item, value): type, threshold, feature count, the first 20 names, algorithm, flattened config."""
+    """(item, value): type, threshold, feature count, all names, algorithm, flattened config."""
     rows = [("model_type", type(a.model.stages[-1]).__name__), ("threshold", str(a.threshold)), ("algorithm", a.version),
-            ("n_features", str(len(a.features))), ("features", ",".join(a.features[:20]))]
+            ("n_features", str(len(a.features))), ("features", ",".join(a.features))]
     rows += [(f"config.{k}", v) for k, v in flatten_rows(a.config)]
     return spark.createDataFrame(rows, "item string, value string")

@@ -52,3 +52,39 @@ def test_small_fractions_find_rows(spark):
     n = sample_rows(spark.range(2_000_000), 5e-5, key=["id"]).count()
     assert 60 <= n <= 140
     assert sample_rows(spark.range(1000), 1.0, key=["id"]).agg(F.count("*")).first()[0] == 1000
+
+
+@pytest.mark.parametrize("rows_per_range", [1000, 4])
+def test_metrics_leave_out_incomplete_rows_everywhere(spark, rows_per_range):
+    whole = [(g, i % 2, i / 20, int(i > 9)) for g in ("x", None) for i in range(20)]
+    odd = [("x", 1, 0.05, None), ("x", 0, float("nan"), 1), (None, None, 0.5, 1), (None, 1, None, 0), ("y", 1, 0.5, 1)]
+    schema = "g string, label int, score double, pred int"
+    got, want = (metrics.classification_metrics(spark.createDataFrame(r, schema), by=["g"], min_rows=5, rows_per_range=rows_per_range)
+                 for r in (whole + odd, whole))
+    assert rows_of(got) == rows_of(want) and got.count() == 2
+    assert {r["sample_size"] for r in got.collect()} == {20}
+
+
+def test_rows_without_a_period_play_no_role(spark):
+    from panelwright.operators.split import StratifiedTemporalSplitter
+
+    rows = [(e, y, (e + y) % 3 == 0) for e in range(60) for y in range(2000 + e % 6, 2010)]
+    tables = [spark.createDataFrame([(e, y, int(t)) for e, y, t in r], "id int, year int, target int")
+              for r in (rows, rows + [(e, None, True) for e in range(70)])]
+    splitter = StratifiedTemporalSplitter(n_splits=2, period="year", entity="id", label="target")
+    assert splitter.cuts(tables[0]) == splitter.cuts(tables[1])
+
+
+def test_outliers_with_an_empty_column(spark):
+    from panelwright.operators.outliers import isolation_outliers
+
+    df = spark.range(200).selectExpr("id", "double(id % 17) a", "cast(null as double) b")
+    assert isolation_outliers(df, "id", ["a", "b"], trees=5).count() == 200
+
+
+def test_a_missing_score_has_no_class(spark):
+    from panelwright.functions.rules import confidence_band, threshold_label
+
+    df = spark.createDataFrame([(None,), (0.5,), (0.9,)], "p double")
+    assert [tuple(r) for r in df.select(threshold_label(F.col("p"), 0.6), confidence_band(F.col("p"))).collect()] == [
+        (None, None), (0, "Low"), (1, "High")]

@@ -22,6 +22,7 @@ CELL_A, CELL_B = 256, 2048   # rows of the two sides of one block of the product
 COLUMNS = 2048           # columns of it that are multiplied at a time
 RANGES = 4               # column ranges of the accumulation
 COUNTERS = 1 << 16       # of the sketch that finds columns shared by very many rows
+EDGES_PER_TASK = 1 << 20   # of a round of the component search, about
 HOT_SHARE = 0.001        # a column is very common from about this share of the documents on
 
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("counter", pa.int32())])
@@ -290,10 +291,12 @@ def components(edges: DataFrame, s: Scratch) -> DataFrame:
     the edges are stars: no node points at two others, and none that is pointed at points further. As edges point at
     smaller nodes, a star's centre is its component's smallest. The edges stay in tables; one row reaches the driver.
     """
-    def settled(e: DataFrame) -> bool:
+    def unsettled(e: DataFrame) -> tuple[int, int]:
+        """Nodes at which the edges are no stars yet; all edges."""
         ends = e.select(F.explode(F.array("a", "b")).alias("node"), F.col("a"))
         turns = ends.groupBy("node").agg(F.count_if(F.col("node") == F.col("a")).alias("up"), F.count("*").alias("n"))
-        return not turns.where("up > 1 or (up = 1 and n > 1)").count()
+        bad, n = turns.agg(F.count_if(F.expr("up > 1 or (up = 1 and n > 1)")), F.sum("up")).first()
+        return bad, n or 0
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else e
@@ -305,8 +308,13 @@ def components(edges: DataFrame, s: Scratch) -> DataFrame:
                 .unionByName(low.select("a", F.col("low").alias("b"))).where("a > b").distinct())
 
     e = s.store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
-    while not settled(e):
-        e = s.store(star(star(e, True), False))
+    cores = e.sparkSession.sparkContext.defaultParallelism
+    while True:
+        bad, n = unsettled(e)
+        if not bad:
+            break
+        # A round at most doubles the edges. They are written in parts of some size, however many shuffle partitions there are.
+        e = s.store(star(star(e, True), False).coalesce(max(cores, 2 * n // EDGES_PER_TASK)))
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 

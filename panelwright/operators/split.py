@@ -14,6 +14,8 @@ from panelwright.runtime import lookup_join, materialize
 
 # Cells of the (period, first period) cube a driver may hold: 500 periods.
 MAX_CELLS = 250_000
+# Periods that may stand in for a wanted cut, by their distance from it, the preferred ones first.
+NEARBY = (0, -1, 1, -2, 2)
 
 
 @dataclass(frozen=True)
@@ -92,31 +94,23 @@ class StratifiedTemporalSplitter:
     def cuts(self, df: DataFrame) -> list[Split]:
         """The chosen cuts; empty when only the chronological fallback applies. One aggregation."""
         cube = _Cube(df, self.entity, self.period, self.label, self.gap, self.group_disjoint)
-        periods = cube.periods
-        if len(periods) < 3:
+        known = set(cube.periods)
+        if len(known) < 3:
             return []
-
-        def measure(cut):
+        aims = [int(q) for q in np.quantile(cube.periods[1:-1], np.linspace(0.2, 0.8, self.n_splits))]
+        gaps: dict[int, float] = {}
+        found: dict[int, Split] = {}
+        for cut in known.union(aims):
             n_train, n_val, rate = cube.measure(cut)
-            if n_train == 0 or n_val == 0:
-                return None
-            return abs(rate - cube.overall), Split(int(cut), self.gap, n_train, n_val)
-
-        inner = periods[1:-1] or periods
-        wanted = np.unique(np.quantile(inner, np.linspace(0.2, 0.8, self.n_splits)).astype(int))
-        chosen: list[Split] = []
-        for cut in wanted:
-            best = measure(cut)
-            if best is None:
-                continue
-            for near in (cut - 1, cut + 1, cut - 2, cut + 2):
-                other = measure(near) if near in periods else None
-                if other is not None and other[0] < best[0]:
-                    best = other
-            # Equal sizes mean equal sets here: training sets are nested in the cut.
-            if all((s.n_train, s.n_val) != (best[1].n_train, best[1].n_val) for s in chosen):
-                chosen.append(best[1])
-        return chosen[:self.n_splits]
+            if n_train and n_val:
+                gaps[cut], found[cut] = abs(rate - cube.overall), Split(cut, self.gap, n_train, n_val)
+        # An aim takes the smallest gap within two periods; among equal gaps the earlier entry of NEARBY. Aims without rows on both sides fall out.
+        picks = [min((aim + d for d in NEARBY if aim + d in found and (not d or aim + d in known)), key=gaps.get) for aim in aims if aim in found]
+        # Equal sizes mean equal sets here: training sets are nested in the cut.
+        different: dict[tuple[int, int], Split] = {}
+        for p in picks:
+            different.setdefault((found[p].n_train, found[p].n_val), found[p])
+        return list(different.values())[:self.n_splits]
 
     def split(self, df: DataFrame, order: Sequence[str] | None = None) -> list[tuple[DataFrame, DataFrame]]:
         """(train, validation) frames; the chronological fallback when no cut works."""

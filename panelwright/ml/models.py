@@ -9,9 +9,12 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.runtime import materialize
+from panelwright.sources.readers import sample_rows
+
 log = logging.getLogger(__name__)
 
 # Boosting names of a configuration file all mean Spark's gradient-boosted trees.
@@ -88,34 +91,44 @@ def feature_importances(model: PipelineModel, features: Sequence[str]) -> DataFr
             .orderBy(F.desc("importance"), "feature"))
 
 
-def shapley_attributions(classifier, df: DataFrame, features: Sequence[str], key: Sequence[str], rows: int = 200,
-                         background: int = 50, permutations: int = 8, seed: int = 42) -> DataFrame:
-    """(feature, mean_abs_attribution): sampled Shapley values of the score, largest first.
+def shapley_attributions(classifier, df: DataFrame, features: Sequence[str], key: Sequence[str], rows: int | None = None,
+                         background: int = 50, permutations: int = 8, seed: int = 42, fraction: float = 1.0) -> DataFrame:
+    """(feature, mean_abs_attribution, n_rows): Shapley values of the score, largest first, averaged over ``n_rows`` rows.
 
-    For a few sampled rows and random feature orders, features are switched one by one from a
-    background row to the row's own values; the score change belongs to the switched feature. The
-    rows * permutations * (features + 1) combinations are scored in one distributed batch.
+    Every row is explained unless the caller asks for a ``fraction`` or a number of ``rows``. For random feature
+    orders, features are switched one by one from a background row to the row's own values; the score change
+    belongs to the switched feature. The rows * permutations * (features + 1) combinations are scored in one
+    distributed batch; the sums of a row are formed in the task that scores it. Orders and background rows are
+    hashes of the key; the ``background`` rows (a fixed number) stand for the table.
     """
     d = len(features)
     vec = F.array(*[F.col(c).cast("double") for c in features])
-    base = df.select(F.xxhash64(*key, F.lit(seed)).alias("h"), F.xxhash64(*key, F.lit(seed + 1)).alias("g"), vec.alias("x"))
-    picked = base.orderBy("h").limit(rows).select(F.col("h").alias("id"), "x")
+    base = df.select(*[F.xxhash64(*key, F.lit(seed + i)).alias(c) for i, c in enumerate("hg")], vec.alias("x"))
+    # The stored number tells rows apart that share a key or a hash.
+    base = materialize(base.withColumn("id", F.monotonically_increasing_id()), "explained")
     back = [r["x"] for r in base.orderBy("g").limit(background).collect()]              # a small fixed number
+    if not back:
+        return df.sparkSession.createDataFrame([], "feature string, mean_abs_attribution double, n_rows long")
+    picked = sample_rows(base, fraction, ["h"], seed)
+    if rows is not None:
+        picked = picked.orderBy("h").limit(rows)
     backs = F.array(*[F.array(*[F.lit(float(v)) for v in b]) for b in back])
-    paths = (picked.withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-             .withColumn("b", F.element_at(backs, (F.pmod(F.xxhash64("id", "perm", F.lit(seed)), F.lit(len(back))) + 1).cast("int")))
+    paths = (picked.select("id", "h", "x", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
+             .withColumn("b", F.element_at(backs, (F.pmod(F.xxhash64("h", "perm", F.lit(seed)), F.lit(len(back))) + 1).cast("int")))
              .withColumn("order", F.array_sort(F.transform(
                  F.sequence(F.lit(0), F.lit(d - 1)),
-                 lambda f: F.struct(F.xxhash64(F.col("id"), F.col("perm"), f).alias("r"), f.alias("f")))))
+                 lambda f: F.struct(F.xxhash64(F.col("h"), F.col("perm"), f).alias("r"), f.alias("f")))))
              .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(d))))
              .withColumn("switched", F.transform(F.slice("order", F.lit(1), F.col("step")), lambda s: s["f"])))
-    mixed = paths.withColumn("features", array_to_vector(F.transform(
-        "x", lambda v, i: F.when(F.array_contains(F.col("switched"), i), v).otherwise(F.get(F.col("b"), i)))))
-    scored = with_probability(classifier.transform(mixed.select(
-        "id", "perm", "step", F.when(F.col("step") > 0, F.get(F.col("order"), F.col("step") - 1)["f"]).alias("f"), "features")))
-    w = Window.partitionBy("id", "perm").orderBy("step")                        # features + 1 rows
-    deltas = scored.withColumn("delta", F.col("score") - F.lag("score").over(w)).where(F.col("step") > 0)
-    per_row = deltas.groupBy("id", "f").agg(F.avg("delta").alias("phi"))
+    mixed = paths.select("id", F.get(F.col("order"), F.col("step") - 1)["f"].alias("f"), F.get(F.col("order"), F.col("step"))["f"].alias("next"),
+                         array_to_vector(F.transform("x", lambda v, i: F.when(F.array_contains(F.col("switched"), i), v)
+                                                     .otherwise(F.get(F.col("b"), i)))).alias("features"))
+    scored = with_probability(classifier.transform(mixed))
+    # A step's score counts for the feature just switched and against the one switched next.
+    signed = scored.select("id", F.inline(F.array(F.struct(F.col("f"), F.col("score").alias("s")),
+                                                  F.struct(F.col("next").alias("f"), (-F.col("score")).alias("s")))))
+    per_row = signed.where(F.col("f").isNotNull()).groupBy("id", "f").agg((F.sum("s") / permutations).alias("phi"))
     names = F.array(*[F.lit(c) for c in features])
     return (per_row.groupBy(F.get(names, F.col("f")).alias("feature"))
-            .agg(F.avg(F.abs("phi")).alias("mean_abs_attribution")).orderBy(F.desc("mean_abs_attribution"), "feature"))
+            .agg(F.avg(F.abs("phi")).alias("mean_abs_attribution"), F.count("*").alias("n_rows"))
+            .orderBy(F.desc("mean_abs_attribution"), "feature"))

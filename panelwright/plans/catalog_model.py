@@ -242,7 +242,7 @@ def attributions(spark, sf):
     ready = p
     for stage in model.stages[:-2]:
         ready = stage.transform(ready)
-    return models.shapley_attributions(model.stages[-1], ready, features, ["entity", "period"], rows=50, permutations=4)
+    return models.shapley_attributions(model.stages[-1], ready, features, ["entity", "period"], permutations=4)
 
 
 @query("select_by_importance")

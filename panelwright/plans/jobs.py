@@ -57,7 +57,9 @@ def training_job(spark: SparkSession, data: str, out: str, config: dict, columns
         ready = df
         for stage in result.model.stages[:-2]:
             ready = stage.transform(ready)
-        write_csv(shapley_attributions(classifier_of(result.model), ready, result.features, columns.keys), f"{out}/attributions")
+        table = shapley_attributions(classifier_of(result.model), ready, result.features, columns.keys,
+                                     fraction=config["explain"].get("fraction", 1.0))
+        write_csv(table, f"{out}/attributions")
     ledger.log_artifact("model", f"{out}/model")
     return result
 

@@ -133,6 +133,19 @@ def test_attributions_add_up(spark):
     assert got["a"] > 0.2 > got["b"]
 
 
+def test_attributions_explain_every_row(spark):
+    # One row in 600 is moved by b; the keys repeat.
+    df = spark.createDataFrame([(i // 2, float(i % 7), 1.0 if i == 300 else 0.0, i % 2) for i in range(600)],
+                               "id int, a double, b double, label int")
+    data = models.assemble(df, ["a", "b"])
+    clf = models.make_classifier("logistic_regression", {"maxIter": 20}).fit(data)
+    table = {r["feature"]: r for r in models.shapley_attributions(clf, df, ["a", "b"], ["id"], permutations=2).collect()}
+    assert {f: r["n_rows"] for f, r in table.items()} == {"a": 600, "b": 600}
+    assert table["b"]["mean_abs_attribution"] > 0
+    part = models.shapley_attributions(clf, df, ["a", "b"], ["id"], permutations=2, fraction=0.5).first()
+    assert 200 < part["n_rows"] < 400
+
+
 def test_derived_request_columns(spark):
     df = spark.createDataFrame([(2023, 65.0, 28.3, None), (2023, 20.0, 17.0, "given")], "year int, age double, bmi double, bmi_category string")
     a, b = derive_request_columns(df).collect()

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.runtime import materialize
+from panelwright.runtime import materialize, stored_rows
 from panelwright.sources.readers import sample_rows
 
 log = logging.getLogger(__name__)
@@ -64,10 +66,10 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 def model_columns(df: DataFrame, keys: Sequence[str], label: str) -> list[str]:
-    """Numeric columns that feed the learner: neither keys nor label."""
-    from panelwright.operators.impute import columns_by_kind
+    """Numeric columns, then vectors, that feed the learner: neither keys nor label."""
+    from panelwright.operators.impute import columns_by_kind, vector_columns
 
-    return columns_by_kind(df, [*keys, label])[0]
+    return columns_by_kind(df, [*keys, label])[0] + vector_columns(df)
 
 
 def with_probability(df: DataFrame, out: str = "score") -> DataFrame:
@@ -81,12 +83,19 @@ def classifier_of(model: PipelineModel):
 
 
 def feature_importances(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    """(feature, importance), largest first; coefficients' magnitudes for a linear model."""
+    """(feature, importance), largest first; coefficients' magnitudes for a linear model.
+
+    The slots of a vector feature are added up.
+    """
     from pyspark.sql import SparkSession
 
     last = classifier_of(model)
     weights = last.featureImportances.toArray() if hasattr(last, "featureImportances") else abs(last.coefficients.toArray())
-    rows = [(f, float(w)) for f, w in zip(features, weights, strict=True)]
+    slots = {f"{f}_onehot": n + 1 for s in model.stages for f, n in getattr(s, "fitted", {}).get("sizes", {}).items()}
+    ends = list(accumulate(slots.get(f, 1) for f in features))
+    if ends[-1:] != [len(weights)]:
+        raise ValueError(f"{len(weights)} weights for {ends[-1:]} inputs")
+    rows = [(f, float(sum(weights[end - slots.get(f, 1):end]))) for f, end in zip(features, ends, strict=True)]
     return (SparkSession.active().createDataFrame(rows, "feature string, importance double")
             .orderBy(F.desc("importance"), "feature"))
 
@@ -102,19 +111,27 @@ def shapley_attributions(classifier, df: DataFrame, features: Sequence[str], key
     hashes of the key; the ``background`` rows (a fixed number) stand for the table.
     """
     d = len(features)
-    vec = F.array(*[F.col(c).cast("double") for c in features])
-    base = df.select(*[F.xxhash64(*key, F.lit(seed + i)).alias(c) for i, c in enumerate("hg")], vec.alias("x"))
+    vectors = [c for c in features if isinstance(df.schema[c].dataType, VectorUDT)]      # each is switched as a whole
+    numbers = [c for c in features if c not in vectors]
+    if [*numbers, *vectors] != list(features):
+        raise ValueError("vector features come last")
+    vec = F.array(*[F.col(c).cast("double") for c in numbers]).cast("array<double>")
+    own = [F.col(c).alias(f"_v{i}") for i, c in enumerate(vectors)]
+    base = df.select(*[F.xxhash64(*key, F.lit(seed + i)).alias(c) for i, c in enumerate("hg")], vec.alias("x"), *own)
     # The stored number tells rows apart that share a key or a hash.
     base = materialize(base.withColumn("id", F.monotonically_increasing_id()), "explained")
-    back = [r["x"] for r in base.orderBy("g").limit(background).collect()]              # a small fixed number
-    if not back:
+    n_back = min(background, stored_rows(base))
+    if not n_back:
         return df.sparkSession.createDataFrame([], "feature string, mean_abs_attribution double, n_rows long")
+    back = materialize(base.orderBy("g", "id").limit(n_back).select(                    # a small fixed number
+        (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("g", "id")) - 1).alias("back"), F.col("x").alias("b"),
+        *[F.col(f"_v{i}").alias(f"_b{i}") for i in range(len(vectors))]), "background")
     picked = sample_rows(base, fraction, ["h"], seed)
     if rows is not None:
         picked = picked.orderBy("h").limit(rows)
-    backs = F.array(*[F.array(*[F.lit(float(v)) for v in b]) for b in back])
-    paths = (picked.select("id", "h", "x", F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
-             .withColumn("b", F.element_at(backs, (F.pmod(F.xxhash64("h", "perm", F.lit(seed)), F.lit(len(back))) + 1).cast("int")))
+    paths = (picked.select(*[c for c in picked.columns if c != "g"], F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
+             .withColumn("back", F.pmod(F.xxhash64("h", "perm", F.lit(seed)), F.lit(n_back)).cast("int"))
+             .join(F.broadcast(back), "back")
              .withColumn("order", F.array_sort(F.transform(
                  F.sequence(F.lit(0), F.lit(d - 1)),
                  lambda f: F.struct(F.xxhash64(F.col("h"), F.col("perm"), f).alias("r"), f.alias("f")))))
@@ -122,7 +139,12 @@ def shapley_attributions(classifier, df: DataFrame, features: Sequence[str], key
              .withColumn("switched", F.transform(F.slice("order", F.lit(1), F.col("step")), lambda s: s["f"])))
     mixed = paths.select("id", F.get(F.col("order"), F.col("step") - 1)["f"].alias("f"), F.get(F.col("order"), F.col("step"))["f"].alias("next"),
                          array_to_vector(F.transform("x", lambda v, i: F.when(F.array_contains(F.col("switched"), i), v)
-                                                     .otherwise(F.get(F.col("b"), i)))).alias("features"))
+                                                     .otherwise(F.get(F.col("b"), i)))).alias("features" if not vectors else "_numbers"),
+                         *[F.when(F.array_contains(F.col("switched"), len(numbers) + i), F.col(f"_v{i}")).otherwise(F.col(f"_b{i}")).alias(
+                             f"_m{i}", metadata=df.schema[c].metadata) for i, c in enumerate(vectors)])
+    if vectors:
+        mixed = VectorAssembler(inputCols=["_numbers", *[f"_m{i}" for i in range(len(vectors))]], outputCol="features").transform(
+            mixed.withMetadata("_numbers", {"ml_attr": {"num_attrs": len(numbers)}}))
     scored = with_probability(classifier.transform(mixed))
     # A step's score counts for the feature just switched and against the one switched next.
     signed = scored.select("id", F.inline(F.array(F.struct(F.col("f"), F.col("score").alias("s")),

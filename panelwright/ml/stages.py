@@ -108,9 +108,9 @@ class _MapReader(MLReader):
         model = CategoricalEncoderModel()
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
-        if model.fitted["method"] != "one_hot":
-            model.tables = {f: self.sparkSession.read.parquet(f"{path}/maps/{i}")
-                            for i, f in enumerate(model.fitted["features"])}
+        mapped = model.fitted.get("sizes", {}) if model.fitted["method"] == "one_hot" else model.fitted["features"]
+        model.tables = {f: self.sparkSession.read.parquet(f"{path}/maps/{i}")
+                        for i, f in enumerate(model.fitted["features"]) if f in mapped}
         return model
 
 
@@ -133,7 +133,10 @@ class CategoricalEncoder(_Options, Estimator, DefaultParamsReadable, DefaultPara
         if method == "label_encoding":
             model.tables = {f: materialize(encode.label_map(df, f), "label-map") for f in features}
         elif method == "one_hot":
-            state["categories"] = {f: encode.categories(df, f) for f in features}
+            found = {f: encode.categories(df, f) for f in features}
+            model.tables = {f: v for f, v in found.items() if isinstance(v, DataFrame)}
+            state["categories"] = {f: v for f, v in found.items() if f not in model.tables}
+            state["sizes"] = {f: table.count() for f, table in model.tables.items()}
         else:
             raise ValueError(f"unknown encoding method: {method}")
         return model
@@ -181,7 +184,7 @@ class CategoricalEncoderModel(_Fitted):
                 policy = "error" if s["handle_unknown"] == "error" else "keep"
                 df = encode.label_encode(df, f, self.tables[f], policy, out=f)
             else:
-                df = encode.one_hot(df, f, s["categories"][f])
+                df = encode.one_hot(df, f, s["categories"].get(f, self.tables.get(f)), s.get("sizes", {}).get(f))
         return df
 
 
@@ -202,7 +205,7 @@ class DataScalerModel(_Fitted):
 
 
 class FeatureSelector(_Options, Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Keep the keys, the label, text columns and the selected numeric columns."""
+    """Keep the keys, the label, text and vector columns and the selected numeric columns."""
 
     DEFAULTS = {"method": "recursive_elimination", "max_features": 50, "label": "target", "keys": ["patient_id", "year"]}
 
@@ -210,7 +213,7 @@ class FeatureSelector(_Options, Estimator, DefaultParamsReadable, DefaultParamsW
         keep = [*self.opt("keys"), self.opt("label")]
         numeric, text = impute.columns_by_kind(df, keep)
         chosen = select.select_features(df, numeric, self.opt("method"), self.opt("label"), self.opt("max_features"))
-        return FeatureSelectorModel({"features": chosen, "keep": [*keep, *text], "dropped": [c for c in numeric if c not in chosen]})
+        return FeatureSelectorModel({"features": chosen, "keep": [*keep, *text, *impute.vector_columns(df)], "dropped": [c for c in numeric if c not in chosen]})
 
 
 class FeatureSelectorModel(_Fitted):

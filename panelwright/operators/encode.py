@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.runtime import BROADCAST_ROWS, lookup_join, materialize, safe_div, stored_rows
 
+# Values of a column that become columns of their own; more become one sparse vector.
 MAX_ONE_HOT = 1_000
 
 
@@ -125,16 +127,34 @@ def label_encode(df: DataFrame, feature: str, table: DataFrame | None = None, un
     return joined.withColumn(out, F.when(F.col("_code").isNotNull(), F.col("_code")).otherwise(missing)).drop("_code")
 
 
-def categories(df: DataFrame, feature: str, limit: int = MAX_ONE_HOT) -> list[str]:
-    """The sorted distinct values; an error when there are more than ``limit``, since each becomes a column."""
-    rows = df.where(F.col(feature).isNotNull()).select(F.col(feature).cast("string").alias("v")).distinct().limit(limit + 1).collect()
+def categories(df: DataFrame, feature: str, limit: int = MAX_ONE_HOT) -> list[str] | DataFrame:
+    """The sorted distinct values as text; a stored (feature, value) map of them when there are more than ``limit``."""
+    text = df.select(F.col(feature).cast("string").alias(feature)).where(F.col(feature).isNotNull())
+    rows = text.distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{feature} has more than {limit} categories; use target encoding")
-    return sorted(r["v"] for r in rows)
+        return materialize(label_map(text, feature), "one-hot-map")
+    return sorted(r[feature] for r in rows)
 
 
-def one_hot(df: DataFrame, feature: str, values: Sequence[str]) -> DataFrame:
-    """``{feature}_{value}`` per value and ``{feature}_nan``; the original column is dropped."""
+def one_hot(df: DataFrame, feature: str, values: Sequence[str] | DataFrame, size: int | None = None) -> DataFrame:
+    """``{feature}_{value}`` per value and ``{feature}_nan``; the original column is dropped.
+
+    With a map instead of a list, one sparse vector ``{feature}_onehot``: a slot per value in the map's order and a
+    last one for missing cells. ``size``, the map's number of values, is counted if not given.
+    """
+    if isinstance(values, DataFrame):
+        return _one_hot_vector(df, feature, values, values.count() if size is None else size)
     x = F.col(feature).cast("string")
     flags = {f"{feature}_{v}": F.coalesce(x == v, F.lit(False)).cast("int") for v in values}
     return df.withColumns({**flags, f"{feature}_nan": x.isNull().cast("int")}).drop(feature)
+
+
+def _one_hot_vector(df: DataFrame, feature: str, table: DataFrame, size: int) -> DataFrame:
+    out = f"{feature}_onehot"
+    coded = lookup_join(df.withColumn(feature, F.col(feature).cast("string")), table.select(feature, F.col("value").alias("_code")), [feature])
+    # A number beyond the slots is a value the map does not hold; it gets no flag, as with columns.
+    slot = F.when(F.col(feature).isNull(), size).otherwise(F.coalesce("_code", F.lit(size + 1))).cast("double")
+    encoder = OneHotEncoder(inputCols=["_slot"], outputCols=[out], handleInvalid="keep", dropLast=True).fit(
+        df.sparkSession.createDataFrame([(float(size),)], "_slot double"))
+    return encoder.transform(coded.withColumn("_slot", slot)).drop(feature, "_code", "_slot").withMetadata(
+        out, {"ml_attr": {"num_attrs": size + 1}})

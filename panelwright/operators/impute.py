@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +16,10 @@ NUMERIC = ("median", "mean", "constant")
 CATEGORICAL = ("most_frequent", "constant")
 
 
+def vector_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, VectorUDT)]
+
+
 def columns_by_kind(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
     """(numeric, text) column names; booleans count as neither, cast them first."""
     fields = [f for f in df.schema if f.name not in exclude]

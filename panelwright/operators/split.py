@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from panelwright.operators.prefix import ROWS_PER_RANGE, rank_cutoff
-from panelwright.runtime import lookup_join, materialize
+from panelwright.operators.prefix import ROWS_PER_RANGE, rank_cutoff, running_sums
+from panelwright.runtime import lookup_join, materialize, safe_div, stored_rows
 
-# Cells of the (period, first period) cube a driver may hold: 500 periods.
-MAX_CELLS = 250_000
 # Periods that may stand in for a wanted cut, by their distance from it, the preferred ones first.
 NEARBY = (0, -1, 1, -2, 2)
 
@@ -44,66 +44,94 @@ def roles(period: Column, first: Column, cut: int, gap: int, disjoint: bool = Tr
     return F.when(period <= cut - gap, "train").when(after, "val")
 
 
-def period_cube(df: DataFrame, entity: str, period: str, label: str) -> DataFrame:
-    """(period, _first, n, pos): everything a cut needs, one row per period pair. Rows without a period play no role."""
-    return with_first_period(df.select(entity, period, label).where(F.col(period).isNotNull()), entity, period).groupBy(period, "_first").agg(
-        F.count("*").alias("n"), F.sum(label).alias("pos"))
+def cut_marks(df: DataFrame, entity: str, period: str, label: str, gap: int, disjoint: bool) -> DataFrame:
+    """(at, train, val, pos, all_pos, known), stored: what changes when the cut reaches ``at``; a few rows per period.
 
+    A row trains for every cut from its period + gap on. It validates for every cut below its period and, with
+    disjoint entities, below its entity's first period + gap; so both need one number per row. ``known`` marks
+    the periods themselves. Rows without a period play no role.
+    """
+    rows = with_first_period(df.select(entity, period, label).where(F.col(period).isNotNull()), entity, period)
+    whole = isinstance(df.schema[period].dataType, T.IntegralType)
+    p, first = [F.col(c).cast("long" if whole else "double") for c in (period, "_first")]
+    until = F.when(first.isNotNull(), F.least(p, first + gap)) if disjoint else p
+    y = F.coalesce(F.col(label).cast("double"), F.lit(0.0))
 
-class _Cube:
-    """The period cube on the driver (bounded), from which any cut is measured."""
+    def mark(at: Column, train: int, val: int, pos: Column, all_pos: Column, known: int) -> Column:
+        return F.struct(at.cast(p_type).alias("at"), F.lit(train).alias("train"), F.lit(val).alias("val"), pos.alias("pos"),
+                        all_pos.alias("all_pos"), F.lit(known).alias("known"))
 
-    def __init__(self, df: DataFrame, entity: str, period: str, label: str, gap: int, disjoint: bool):
-        rows = period_cube(df, entity, period, label).limit(MAX_CELLS + 1).collect()
-        if len(rows) > MAX_CELLS:
-            raise ValueError("too many distinct periods for period cuts; use a coarser period")
-        cells = np.array([(r[period], r["_first"], r["n"], r["pos"] or 0) for r in rows], dtype=float).reshape(-1, 4)
-        self.period, self.first, self.n, self.pos = cells.T
-        self.gap, self.disjoint = gap, disjoint
-        self.periods = sorted({int(p) for p in self.period})
-        self.overall = self.pos.sum() / self.n.sum() if len(cells) else 0.0
+    p_type, none = "long" if whole else "double", F.lit(0.0)
+    marks = rows.select(F.inline(F.array(mark(p + gap, 1, 0, none, y, 0), mark(until, 0, 1, y, none, 0),
+                                         mark(p.cast("long"), 0, 0, none, none, 1))))
+    return materialize(marks.where(F.col("at").isNotNull()).groupBy("at").agg(
+        *[F.sum(c).alias(c) for c in ("train", "val", "pos", "all_pos")], F.max("known").alias("known")), "cut-marks")
 
-    def measure(self, cut: int) -> tuple[int, int, float | None]:
-        """(training rows, validation rows, validation prevalence) of a cut."""
-        train = self.period <= cut - self.gap
-        val = self.period > cut
-        if self.disjoint:
-            val &= self.first > cut - self.gap
-        n_val = int(self.n[val].sum())
-        return int(self.n[train].sum()), n_val, float(self.pos[val].sum() / n_val) if n_val else None
 
+def _whole(marks: DataFrame) -> tuple[int, float, float]:
+    """(validating rows, their positives, share of positives among all rows)."""
+    t = marks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("train", "val", "pos", "all_pos")]).first()
+    return t["val"], t["pos"], t["all_pos"] / t["train"] if t["train"] else 0.0
 
-def candidate_table(df: DataFrame, entity: str, period: str, label: str, gap: int = 1, disjoint: bool = True) -> DataFrame:
+
+def candidate_table(df: DataFrame, entity: str, period: str, label: str, gap: int = 1, disjoint: bool = True,
+                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """(cut, n_train, n_val, val_rate, prevalence_gap) for every period as a cut."""
-    cube = _Cube(df, entity, period, label, gap, disjoint)
-    rows = []
-    for cut in cube.periods:
-        n_train, n_val, rate = cube.measure(cut)
-        rows.append((cut, n_train, n_val, rate, None if rate is None else float(abs(rate - cube.overall))))
-    return df.sparkSession.createDataFrame(rows, "cut int, n_train long, n_val long, val_rate double, prevalence_gap double")
+    marks = cut_marks(df, entity, period, label, gap, disjoint)
+    val, pos, overall = _whole(marks)
+    sums = running_sums(marks, "at", {"n_train": "train", "_val": "val", "_pos": "pos"}, rows_per_range=rows_per_range)
+    kind = "int" if not isinstance(df.schema[period].dataType, T.LongType) else "long"
+    n_val = F.lit(val) - F.col("_val")
+    rate = safe_div(F.lit(pos) - F.col("_pos"), n_val)
+    return sums.where("known = 1").select(
+        F.col("at").cast(kind).alias("cut"), F.col("n_train").cast("long").alias("n_train"), n_val.cast("long").alias("n_val"),
+        rate.alias("val_rate"), F.abs(rate - F.lit(overall)).alias("prevalence_gap"))
+
+
+def _at_rank(hist: DataFrame, order: str, known: str, ranks: Sequence[int], rows_per_range: int) -> dict[int, object]:
+    """{rank: value} of the ``known`` rows with the given ranks (a few), counted from 1."""
+    ranked = running_sums(hist, order, {"_rank": known}, rows_per_range=rows_per_range)
+    found = ranked.where((F.col(known) == 1) & F.col("_rank").isin(sorted(set(ranks)))).select("_rank", order).collect()
+    return {int(r["_rank"]): r[order] for r in found}
 
 
 class StratifiedTemporalSplitter:
     """Cut periods near given quantiles whose validation prevalence is closest to the overall one."""
 
     def __init__(self, n_splits: int = 5, test_size: float = 0.2, gap: int = 1, period: str = "year",
-                 entity: str = "patient_id", label: str = "target", group_disjoint: bool = True):
+                 entity: str = "patient_id", label: str = "target", group_disjoint: bool = True, rows_per_range: int = ROWS_PER_RANGE):
+        self.rows_per_range = rows_per_range
         self.n_splits, self.test_size, self.gap = n_splits, test_size, gap
         self.period, self.entity, self.label, self.group_disjoint = period, entity, label, group_disjoint
 
     def cuts(self, df: DataFrame) -> list[Split]:
-        """The chosen cuts; empty when only the chronological fallback applies. One aggregation."""
-        cube = _Cube(df, self.entity, self.period, self.label, self.gap, self.group_disjoint)
-        known = set(cube.periods)
-        if len(known) < 3:
+        """The chosen cuts; empty when only the chronological fallback applies. What is collected grows with ``n_splits`` only."""
+        marks = cut_marks(df, self.entity, self.period, self.label, self.gap, self.group_disjoint)
+        inner = marks.where("known = 1").count() - 2
+        if inner < 1:
             return []
-        aims = [int(q) for q in np.quantile(cube.periods[1:-1], np.linspace(0.2, 0.8, self.n_splits))]
+        # The wanted quantiles of the periods between the first and the last one, from the two neighbours of each.
+        places = [q * (inner - 1) for q in np.linspace(0.2, 0.8, self.n_splits)]
+        at = _at_rank(marks, "at", "known", [r + 2 for x in places for r in (math.floor(x), math.ceil(x))], self.rows_per_range)
+        aims = []
+        for x in places:
+            low, high = int(at[math.floor(x) + 2]), int(at[math.ceil(x) + 2])
+            aims.append(int(np.quantile([low, high], x - math.floor(x))))
+        val, pos, overall = _whole(marks)
+        wanted = sorted({aim + d for aim in aims for d in NEARBY})
+        cuts = df.sparkSession.createDataFrame([(w,) for w in wanted], "cut long")
+        reached = marks.join(F.broadcast(cuts), F.col("at") <= F.col("cut")).groupBy("cut").agg(
+            *[F.sum(c).alias(c) for c in ("train", "val", "pos")],
+            F.max(F.when(F.col("at") == F.col("cut"), F.col("known"))).alias("known")).collect()
+        known: set[int] = set()
         gaps: dict[int, float] = {}
         found: dict[int, Split] = {}
-        for cut in known.union(aims):
-            n_train, n_val, rate = cube.measure(cut)
+        for r in reached:
+            cut, n_train, n_val = r["cut"], int(r["train"]), int(val - r["val"])
+            if r["known"]:
+                known.add(cut)
             if n_train and n_val:
-                gaps[cut], found[cut] = abs(rate - cube.overall), Split(cut, self.gap, n_train, n_val)
+                gaps[cut], found[cut] = abs((pos - r["pos"]) / n_val - overall), Split(cut, self.gap, n_train, n_val)
         # An aim takes the smallest gap within two periods; among equal gaps the earlier entry of NEARBY. Aims without rows on both sides fall out.
         picks = [min((aim + d for d in NEARBY if aim + d in found and (not d or aim + d in known)), key=gaps.get) for aim in aims if aim in found]
         # Equal sizes mean equal sets here: training sets are nested in the cut.
@@ -145,14 +173,14 @@ def chronological(df: DataFrame, order: Sequence[str], test_size: float = 0.2, g
     return tagged.where("role = 'train'").drop("role"), tagged.where("role = 'val'").drop("role")
 
 
-def last_periods_role(df: DataFrame, period: str, gap: int = 1) -> DataFrame:
+def last_periods_role(df: DataFrame, period: str, gap: int = 1, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add ``role``: the last fifth of the distinct periods validates."""
-    periods = sorted(r[0] for r in df.where(F.col(period).isNotNull()).select(period).distinct().limit(MAX_CELLS + 1).collect())
-    if len(periods) > MAX_CELLS:
-        raise ValueError("too many distinct periods; use a coarser period")
-    if len(periods) < 2:
+    periods = materialize(df.where(F.col(period).isNotNull()).select(period).distinct().withColumn("_one", F.lit(1)), "periods")
+    n = stored_rows(periods)
+    if n < 2:
         raise ValueError("needs at least two periods; use the chronological split")
-    cut = periods[int(len(periods) * 0.8)]
+    rank = int(n * 0.8) + 1
+    cut = _at_rank(periods, period, "_one", [rank], rows_per_range)[rank]
     return df.withColumn("role", F.when(F.col(period) <= cut - gap, "train").when(F.col(period) > cut, "val"))
 
 

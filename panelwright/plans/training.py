@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from panelwright.ml.models import make_classifier, model_columns, with_probability
 from panelwright.ml.stages import build_stages, fit_stages
 from panelwright.operators import metrics
+from panelwright.operators.impute import vector_columns
 from panelwright.operators.resample import class_weights, smote
 from panelwright.operators.split import StratifiedTemporalSplitter
 from panelwright.operators.thresholds import optimize_threshold
@@ -84,6 +85,8 @@ def prepare(train: DataFrame, config: dict, c: Columns) -> tuple[PipelineModel,
     imbalance = config.get("imbalance", {})
     if imbalance.get("method") == "smote":
         s = imbalance.get("smote", {})
+        if vector_columns(ready):
+            raise ValueError(f"smote takes numeric columns only, not {vector_columns(ready)}; use class weights")
         ready = ready.withColumn("_key", F.xxhash64(*c.keys))
         ready = smote(ready.select("_key", c.label, *features), features, "_key", c.label,
                       s.get("sampling_strategy", 0.1), s.get("k_neighbors", 5), s.get("random_state", 42))

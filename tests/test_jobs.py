@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from panelwright.functions import rules as R
@@ -146,6 +147,30 @@ def test_attributions_explain_every_row(spark):
     assert 200 < part["n_rows"] < 400
 
 
+def test_one_hot_of_many_values(spark):
+    rows = [(f"e{i}", 2018 + i % 3, f"v{i % 1500:04d}" if i % 10 else None, float(i % 7), int(i % 1500 < 700)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "patient_id string, year int, kind string, x double, target int")
+    model = stages.CategoricalEncoder(method="one_hot").fit(df)
+    path = new_path(spark, "encoder")
+    model.save(path)
+    new = df.unionByName(df.limit(1).withColumns({"kind": F.lit("unseen"), "patient_id": F.lit("new")}))
+    out = {r["patient_id"]: r["kind_onehot"] for r in stages.CategoricalEncoderModel.load(path).transform(new).collect()}
+    names = sorted({r[2] for r in rows} - {None})
+    assert len(names) == 1350 and len(out) == 3001
+    for e, _, kind, _, _ in rows:
+        assert (out[e].size, list(out[e].indices)) == (1351, [1350 if kind is None else names.index(kind)])
+    assert not len(out["new"].indices)
+    ready = model.transform(df)
+    features = models.model_columns(ready, ["patient_id", "year"], "target")
+    assert features == ["x", "kind_onehot"]
+    clf = models.make_classifier("logistic_regression", {"maxIter": 10}).fit(models.assemble(ready, features).withColumnRenamed("target", "label"))
+    table = models.feature_importances(PipelineModel(stages=[model, clf]), features).collect()
+    assert table[0]["feature"] == "kind_onehot"
+    got = {r["feature"]: (r["mean_abs_attribution"], r["n_rows"]) for r in models.shapley_attributions(
+        clf, ready, features, ["patient_id"], permutations=1).collect()}
+    assert got["kind_onehot"][0] > got["x"][0] and got["x"][1] == 3000
+
+
 def test_derived_request_columns(spark):
     df = spark.createDataFrame([(2023, 65.0, 28.3, None), (2023, 20.0, 17.0, "given")], "year int, age double, bmi double, bmi_category string")
     a, b = derive_request_columns(df).collect()

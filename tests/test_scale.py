@@ -193,3 +193,36 @@ def test_partitioning_does_not_change_results(spark, sf):
         a = temporal.rolling_features(p, "entity", "period", ["amt"], 3, 1, ["mean", "std"])
         b = temporal.rolling_features(q, "entity", "period", ["amt"], 3, 1, ["mean", "std"])
         assert rows(a, 4) == rows(b, 4)
+
+
+def test_splits_of_many_periods(spark):
+    # 1,200 days with gaps; entities start at every day, so the (period, first period) pairs are far above 250,000.
+    rows = spark.range(1200 * 1200).select(
+        (F.col("id") % 1200).alias("first"), (F.col("id") / 1200).cast("int").alias("step")).where("first + step < 1200").select(
+        F.col("first").alias("entity"), (F.col("first") + F.col("step") + F.floor((F.col("first") + F.col("step")) / 7) * 2).cast("int").alias("day"),
+        ((F.col("first") * 7 + F.col("step")) % 11 == 0).cast("int").alias("label"))
+    d = rows.toPandas()
+    first = d.groupby("entity")["day"].transform("min")
+    for gap, disjoint, size in ((1, True, 250_000), (3, True, 500), (2, False, 250_000)):
+        table = split.candidate_table(rows, "entity", "day", "label", gap, disjoint, size).toPandas().set_index("cut")
+        assert sorted(table.index) == sorted(d["day"].unique())
+        for cut in list(table.index[::150]) + [d["day"].min(), d["day"].max()]:
+            val = d[(d["day"] > cut) & ((first > cut - gap) | (not disjoint))]
+            got = table.loc[cut]
+            assert (got["n_train"], got["n_val"]) == ((d["day"] <= cut - gap).sum(), len(val))
+            assert np.isnan(got["val_rate"]) if val.empty else abs(got["val_rate"] - val["label"].mean()) < 1e-12
+    days = sorted(d["day"].unique())
+    role = split.last_periods_role(rows, "day", 1, 500).groupBy("role").agg(F.max("day").alias("hi"), F.min("day").alias("lo")).collect()
+    found = {r["role"]: (r["lo"], r["hi"]) for r in role}
+    cut = days[int(len(days) * 0.8)]
+    assert found["val"] == (min(x for x in days if x > cut), days[-1]) and found["train"] == (days[0], max(x for x in days if x <= cut - 1))
+    cuts = split.StratifiedTemporalSplitter(4, period="day", entity="entity", label="label", rows_per_range=500).cuts(rows)
+    aims = [int(q) for q in np.quantile(days[1:-1], np.linspace(0.2, 0.8, 4))]
+    overall = d["label"].mean()
+    for s, aim in zip(cuts, aims, strict=True):
+        near = []
+        for cut in (aim + x for x in split.NEARBY if aim + x in days or x == 0):
+            val = d[(d["day"] > cut) & (first > cut - 1)]
+            near.append((abs(val["label"].mean() - overall), cut, (d["day"] <= cut - 1).sum(), len(val)))
+        best = min(near, key=lambda x: x[0])
+        assert (s.cut, s.n_train, s.n_val) == best[1:]

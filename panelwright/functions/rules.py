@@ -35,7 +35,8 @@ def flag(condition: Column) -> Column:
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in floating columns becomes NULL."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in floats}
+    return df.withColumns({c: F.when(~F.isnan(x), x) for c, x in quoted.items()}) if floats else df
 
 
 def right_closed_bin(x: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:

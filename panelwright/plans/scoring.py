@@ -15,6 +15,9 @@ from panelwright.sources.artifacts import Artifacts
 
 Scorer = Callable[[DataFrame], DataFrame]
 
+# Columns that a request may leave to derive_request_columns.
+DERIVED = {"birth_year", "age_group", "bmi_category"}
+
 
 def derive_request_columns(df: DataFrame) -> DataFrame:
     """Birth year, and the age and weight groups where the request does not bring them."""
@@ -26,10 +29,14 @@ def derive_request_columns(df: DataFrame) -> DataFrame:
 
 
 def model_scorer(artifacts: Artifacts, keep: Sequence[str], probability: str = "probability") -> Scorer:
-    """Align the rows with the model's input columns, run the pipeline, keep ``keep`` and the probability."""
+    """Derive the request columns the model knows, align the rows with its input columns, run the pipeline; keep ``keep`` and the probability."""
     aligner = ColumnAligner(columns=[c for c in artifacts.inputs if c not in keep], keep=list(keep))
 
+    derives = not DERIVED.isdisjoint(artifacts.inputs)
+
     def score(df: DataFrame) -> DataFrame:
+        if derives and {"year", "age", "bmi"} <= set(df.columns):
+            df = derive_request_columns(df)
         return with_probability(artifacts.model.transform(aligner.transform(df)), probability).select(*keep, probability)
 
     return score

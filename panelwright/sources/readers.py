@@ -1,4 +1,4 @@
-"""Sources: Parquet, CSV, sampled scans, JSON requests, period coercion."""
+"""Sources: Parquet, CSV, sampled scans, JSON requests, period coercion. NaN becomes NULL in all of them."""
 
 from __future__ import annotations
 
@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelwright.functions.rules import nan_to_null
+
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """A file, a directory or a partitioned tree; partition columns come last."""
-    return spark.read.parquet(path)
+    return nan_to_null(spark.read.parquet(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -20,7 +22,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     wide = T.StructType([
         T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, T.IntegralType) else f.dataType)
         for f in schema])
-    return spark.read.schema(wide).option("header", True).csv(path)
+    return nan_to_null(spark.read.schema(wide).option("header", True).csv(path))
 
 
 def load_data(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -72,7 +74,7 @@ REQUEST_SCHEMA = T.StructType([
 
 def read_requests(spark: SparkSession, path: str, schema: T.StructType = REQUEST_SCHEMA) -> DataFrame:
     """JSON files, one request per line."""
-    return spark.read.schema(schema).json(path)
+    return nan_to_null(spark.read.schema(schema).json(path))
 
 
 def parse_requests(df: DataFrame, body: str, schema: T.StructType = REQUEST_SCHEMA,
@@ -81,7 +83,7 @@ def parse_requests(df: DataFrame, body: str, schema: T.StructType = REQUEST_SCHE
     ``batch_field``. Other columns are kept; the request fields are appended."""
     rest = [c for c in df.columns if c != body]
     if batch_field is None:
-        return df.select(*rest, F.from_json(body, schema).alias("_r")).select(*rest, "_r.*")
+        return nan_to_null(df.select(*rest, F.from_json(body, schema).alias("_r")).select(*rest, "_r.*"))
     outer = T.StructType([T.StructField(batch_field, T.ArrayType(schema))])
-    return (df.select(*rest, F.from_json(body, outer).alias("_r"))
-            .select(*rest, F.inline(F.col(f"_r.{batch_field}"))))
+    return nan_to_null(df.select(*rest, F.from_json(body, outer).alias("_r"))
+                       .select(*rest, F.inline(F.col(f"_r.{batch_field}"))))

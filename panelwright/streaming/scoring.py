@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from panelwright.functions.rules import nan_to_null
 from panelwright.operators.quality import Rule
 from panelwright.plans.scoring import Scorer, answer
 
@@ -18,7 +19,7 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return nan_to_null(reader.load(path))
 
 
 def event_time(df: DataFrame, ts: str) -> DataFrame:

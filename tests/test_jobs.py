@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from panelwright.functions import rules as R
@@ -178,6 +179,35 @@ def test_derived_request_columns(spark):
     assert (b["age_group"], b["bmi_category"]) == ("18-30", "given")
 
 
+def test_nan_is_null_after_ingest(spark):
+    from panelwright.operators import impute
+
+    path = new_path(spark, "nan")
+    df = spark.createDataFrame([(2020, 1.0, 0.5), (2020, 3.0, float("nan")), (2021, float("nan"), None)], "year int, `a.b` double, c double")
+    df.write.parquet(path)
+    want = [(1.0, 0.5), (3.0, None), (None, None)]
+    for got in (readers.read_parquet(spark, path), readers.load_data(spark, path, period="year")):
+        assert [(r["a.b"], r["c"]) for r in got.orderBy("year", F.col("`a.b`").asc_nulls_last()).collect()] == want
+    loaded = readers.load_data(spark, path).withColumnRenamed("a.b", "a")
+    assert impute.numeric_fills(loaded, ["a", "c"], "mean") == {"a": 2.0, "c": 0.5}
+    body = '{"patient_id": "P1", "age": NaN, "bmi": 20.5}'
+    text = spark.createDataFrame([(body,)], "body string")
+    text.write.text(path + ".json")
+    for got in (readers.read_requests(spark, path + ".json"), readers.parse_requests(text, "body")):
+        assert [(r["age"], r["bmi"]) for r in got.collect()] == [(None, 20.5)]
+
+
+def test_scorer_derives_request_columns(spark):
+    class Model:
+        def transform(self, df):
+            p = F.when(F.col("age_group") == "61-75", F.col("birth_year") / 10000.0).otherwise(0.0)
+            return df.withColumn("probability", array_to_vector(F.array(1.0 - p, p)))
+
+    df = spark.createDataFrame([("P1", 2023, 65.0, 28.3)], "patient_id string, year int, age double, bmi double")
+    scorer = model_scorer(art.Artifacts(Model(), inputs=["age", "birth_year", "age_group"]), ["patient_id", "year"])
+    assert abs(scorer(df).first()["probability"] - 0.1958) < 1e-12
+
+
 def test_stream_equals_batch_over_several_batches(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet")
     source = new_path(spark, "stream-in")

@@ -130,6 +130,38 @@ def test_rules(odd_docs, odd_rows):
         assert not (r.kept and r.base_failed)
 
 
+def test_kept_against_zstandard(spark, odd_rows):
+    import random
+
+    import zstandard
+
+    rnd = random.Random(5)
+    noise = ["".join(chr(rnd.randrange(0x4E00, 0x9000)) for _ in range(12)) for _ in range(600)]
+    prose = [rnd.choice(["the", "river", "town", "walks", "along", "bright", "cold", "stone"]) + rnd.choice(["", "s", "ed", "ing"]) + str(rnd.randrange(300))
+             for _ in range(6000)]
+    rows = [(i, t or "") for i, t in odd_rows if i < 80] + [
+        (100 + k, " ".join(prose[:60 * k] + noise[:30 * k] + prose[60 * k:200 * k])) for k in range(1, 20)] + [
+        (200 + k, " ".join(prose[:20 * k])) for k in range(3, 60, 4)]
+
+    def passes(data):
+        def inside(part, bands):
+            low, high = next((lo, hi) for most, lo, hi in bands if len(part) <= most)
+            return low <= len(part) / len(zstandard.ZstdCompressor(level=3).compress(part)) <= high
+
+        if len(data) < 256:
+            return True
+        parts = [data[at:at + 4096] for at in range(0, len(data), 4096)] if len(data) > 4096 else []
+        judged = [inside(p, quality_rules.BANDS[:4]) for p in parts if len(p) >= 256]
+        return inside(data, quality_rules.BANDS) and judged.count(False) < max(1, 0.3 * len(judged))
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_id(quality_rules.quality_report(docs))
+    want = {i: not got[i].base_failed and passes(t.encode()) for i, t in rows}
+    assert {i: got[i].kept for i in want} == want
+    assert {k for i, k in want.items() if not got[i].base_failed} == {True, False}
+    assert {r.doc_id for r in quality_rules.passing(docs).collect()} == {i for i, k in want.items() if k}
+
+
 def test_bands_tell_noise_and_repetition_from_prose(spark):
     import random
 

@@ -218,9 +218,11 @@ def smote_counts(spark, sf):
 
 
 def smote_rows(spark, sf):
-    e = table(spark, sf, "embeddings").select(
-        "vec_id", (F.col("label") < 2).cast("int").alias("label"), *[F.col("embedding")[i].alias(f"x{i}") for i in range(8)])
-    return resample.smote(e, [f"x{i}" for i in range(8)], "vec_id", ratio=0.5)
+    e = table(spark, sf, "embeddings")
+    size = e.agg(F.max(F.size("embedding"))).first()[0] or 0
+    names = [f"x{i}" for i in range(size)]
+    e = e.select("vec_id", (F.col("label") < 2).cast("int").alias("label"), *[F.col("embedding")[i].alias(c) for i, c in enumerate(names)])
+    return resample.smote(e, names, "vec_id", ratio=0.5)
 
 
 @query("isolation_outliers")

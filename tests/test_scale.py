@@ -168,6 +168,23 @@ def test_label_share_is_exact(spark, sf, prevalence):
         assert r["t"] == int(r["n"] * prevalence)
 
 
+def test_smote_query_uses_the_whole_embedding(spark, sf):
+    from panelwright.plans.catalog_features import smote_rows
+
+    out = smote_rows(spark, sf).toPandas()
+    names = [c for c in out.columns if c.startswith("x")]
+    assert len(names) == len(spark.read.parquet(f"{sf}/embeddings.parquet").first()["embedding"]) > 8
+    old = out[(out["is_synthetic"] == 0) & (out["label"] == 1)][names].to_numpy()
+    new = out[out["is_synthetic"] == 1][names].to_numpy()
+    between = np.linalg.norm(old[:, None] - old[None], axis=2)
+    assert len(new)
+    for x in new:
+        away = np.linalg.norm(old - x, axis=1)
+        detour = away[:, None] + away[None] - between
+        np.fill_diagonal(detour, np.inf)
+        assert detour.min() < 1e-6
+
+
 def test_splits_are_disjoint_and_ordered(spark, sf):
     p = materialize(order_panel(spark, sf), "p")
     splitter = split.StratifiedTemporalSplitter(5, period="period", entity="entity", label="label")

@@ -12,6 +12,7 @@ from panelwright.llm.quality_rules import op2_quality_rules
 from panelwright.llm.rans_files import op7_rans_files
 from panelwright.llm.substring import OP1_SQL, op1_substring_dedup
 from panelwright.llm.toxicity import op6_toxicity
+from panelwright.llm.vector_codes import OP11_SQL, op11_vector_codes
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_cross_polytope": op9_cross_polytope,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 SQL = {
     "op1_substring_dedup": OP1_SQL,
     "op4_chat_format": OP4_SQL,
+    "op11_vector_codes": OP11_SQL,
 }

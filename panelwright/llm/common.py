@@ -33,9 +33,17 @@ class Scratch:
         return self
 
     def __exit__(self, *error) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        self._delete(self.root)
+
+    def _delete(self, name: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def drop(self, number: int) -> None:
+        """Delete the table that was the ``number``-th to be stored (0: none); nothing may read it any more."""
+        if number:
+            self._delete(f"{self.root}/{number}")
+
     def _write(self, df: DataFrame, path: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

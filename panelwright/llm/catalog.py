@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from panelwright.llm.byte_bpe import op10_byte_bpe
 from panelwright.llm.chat_format import OP4_SQL, op4_chat_format
+from panelwright.llm.importance import OP12_SQL, op12_importance
 from panelwright.llm.jaccard import op5_ngram_jaccard
 from panelwright.llm.neighbours import op9_cross_polytope
 from panelwright.llm.packing import op8_packing
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_cross_polytope": op9_cross_polytope,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_vector_codes": op11_vector_codes,
+    "op12_importance": op12_importance,
 }
 
 SQL = {
     "op1_substring_dedup": OP1_SQL,
     "op4_chat_format": OP4_SQL,
     "op11_vector_codes": OP11_SQL,
+    "op12_importance": OP12_SQL,
 }

@@ -6,13 +6,18 @@ import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwright.runtime import new_path
 from panelwright.sources.readers import read_parquet
 
+PLACED_ROWS = 200_000        # rows of one range of a global order, about
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf_dir}/{name}.parquet")
@@ -80,6 +85,38 @@ def batches(fn: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: pa.Sc
     return run
 
 
+def _places():
+    """Rows of a sorted partition with the partition's number and their place in it."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in stream:
+            n = len(batch)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n))],
+                                             [*batch.schema.names, "_part", "_place"])
+            at += n
+
+    return run
+
+
+def numbered(df: DataFrame, s: Scratch, *order: Column, rows: int = PLACED_ROWS) -> DataFrame:
+    """``df`` with each row's place in the order, from 0 (_place).
+
+    Ranges of about ``rows`` rows are sorted on their own and stored with the places in them; a range's first place is the number of
+    rows in those before. One number a range reaches the driver. Rows that are equal in all of ``order`` share a range.
+    """
+    ranges = max(1, -(-df.count() // rows))
+    schema = T.StructType([*df.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_place", T.LongType())])
+    told = s.store(df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(_places(), schema))
+    sizes = sorted((r["_part"], r["n"]) for r in told.groupBy("_part").agg(F.count("*").alias("n")).collect())
+    before, starts = 0, []
+    for part, n in sizes:
+        starts.append((part, before))
+        before += n
+    first = F.broadcast(df.sparkSession.createDataFrame(starts, "_part int, _first long"))                     # one row a range
+    return told.join(first, "_part").withColumn("_place", F.col("_place") + F.col("_first")).drop("_part", "_first")
+
+
 def train_row(doc_id: str = "doc_id") -> Column:
     """Whether labels of this row may be learnt: crc32 of the id's decimal text, modulo 3, is not 1."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 != 1, F.lit(False))

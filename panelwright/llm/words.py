@@ -69,6 +69,16 @@ def filled(column: pa.Array) -> pa.Array:
     return pc.fill_null(column, "") if column.null_count else column
 
 
+def text_slices(column: pa.Array, limit: int = 4 * SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(first row, end row) of consecutive runs of rows of a filled column of about ``limit`` bytes; a longer text is a run of its own."""
+    off = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1)
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
+        yield at, end
+        at = end
+
+
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive runs of rows of about ``limit`` bytes."""
     column = filled(column)

@@ -6,6 +6,7 @@ from panelwright.llm.byte_bpe import op10_byte_bpe
 from panelwright.llm.chat_format import OP4_SQL, op4_chat_format
 from panelwright.llm.importance import OP12_SQL, op12_importance
 from panelwright.llm.jaccard import op5_ngram_jaccard
+from panelwright.llm.mixing import op13_mixing
 from panelwright.llm.neighbours import op9_cross_polytope
 from panelwright.llm.packing import op8_packing
 from panelwright.llm.quality_model import op3_quality_classifier
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
     "op11_vector_codes": op11_vector_codes,
     "op12_importance": op12_importance,
+    "op13_mixing": op13_mixing,
 }
 
 SQL = {

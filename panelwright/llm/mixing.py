@@ -81,7 +81,7 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, target: float, most: int =
         if left == before:
             return passes, extra                                                   # nothing that is left fits
     open_ = order[(sizes[order] > 0) & (sizes[order] <= left) & (extra[order] < counts[order])]
-    extra[open_] += fit_sum(sizes[open_].tolist(), (counts - extra)[open_].tolist(), left)
+    extra[open_] += np.array(fit_sum(sizes[open_].tolist(), (counts - extra)[open_].tolist(), left), np.int64)
     return passes, extra
 
 

@@ -32,6 +32,12 @@ def flag(condition: Column) -> Column:
     return holds(condition).cast("int")
 
 
+def number(column: str | Column) -> Column:
+    """A column as double with NULL for NaN: what is learnt, ranked or averaged counts both as missing."""
+    x = F.col("`" + column.replace("`", "``") + "`") if isinstance(column, str) else column
+    return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in floating columns becomes NULL."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
@@ -123,9 +129,16 @@ def threshold_label(score: Column, threshold: float | Column) -> Column:
     return F.when(score >= threshold, 1).when(score.isNotNull(), 0)
 
 
+# A score outside the inner limits is a firm one, outside the outer limits a very firm one.
+BANDS = {"High": (0.2, 0.8), "Medium": (0.4, 0.6)}
+
+
 def confidence_band(p: Column) -> Column:
-    return (F.when((p < 0.2) | (p > 0.8), "High")
-            .when((p < 0.4) | (p > 0.6), "Medium").when(p.isNotNull(), "Low"))
+    """'High', 'Medium' or 'Low'; NULL for a row without a score."""
+    ladder = F.when(p.isNull(), F.lit(None).cast("string"))
+    for name, (low, high) in BANDS.items():
+        ladder = ladder.when((p < low) | (p > high), name)
+    return ladder.otherwise("Low")
 
 
 def error_class(label: Column, pred: Column) -> Column:
@@ -162,10 +175,9 @@ def inject_nulls(df: DataFrame, key: Sequence[str], rates: dict[tuple[str, ...],
     key and the seed only, so it does not change with the partitioning."""
     out = {}
     for group, rate in rates.items():
-        draw = F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit(seed), F.lit("|".join(group))),
-                      F.lit(1_000_000))
+        draw = F.xxhash64(*[F.col(k) for k in key], F.lit(seed), F.lit("|".join(group))).bitwiseAND(F.lit(2 ** 53 - 1))
         for c in group:
-            out[c] = F.when(draw >= int(rate * 1_000_000), F.col(c))
+            out[c] = F.when(draw >= int(rate * 2 ** 53), F.col(c))             # as fine as a double
     return df.withColumns(out)
 
 

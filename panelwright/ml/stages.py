@@ -12,7 +12,7 @@ from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, Default
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.operators import encode, impute, scale, select, temporal
+from panelwright.operators import chained, encode, impute, scale, select, temporal
 from panelwright.runtime import materialize
 
 
@@ -50,23 +50,40 @@ class _Fitted(Model, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class MissingValueHandler(_Options, Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Fill numeric and text columns; optionally mark columns that had missing cells at fit time."""
+    """Fill numeric and text columns; optionally mark columns that had missing cells at fit time.
+
+    ``advanced`` = 'iterative' fills the numeric columns by chained regressions; what they cannot fill takes the strategy's value. Columns
+    with a share of missing cells above ``drop_threshold`` are dropped (none if it is None).
+    """
 
     DEFAULTS = {"numeric_strategy": "median", "categorical_strategy": "most_frequent", "add_indicator": True,
-                "numeric_constant": 0.0, "categorical_constant": "missing_value", "exclude": [], "exact": True}
+                "numeric_constant": 0.0, "categorical_constant": "missing_value", "exclude": [], "exact": True,
+                "advanced": None, "max_iter": 10, "drop_threshold": None}
 
     def _fit(self, df: DataFrame) -> MissingValueModel:
+        if self.opt("advanced") not in (None, "iterative"):
+            raise ValueError(f"unknown advanced imputation: {self.opt('advanced')}")
         numeric, text = impute.columns_by_kind(df, self.opt("exclude"))
+        limit = self.opt("drop_threshold")
+        dropped = impute.sparse_columns(df, [*numeric, *text], limit) if limit is not None and (numeric or text) else []
+        df = df.drop(*dropped)
+        numeric, text = ([c for c in cols if c not in dropped] for cols in (numeric, text))
+        chain = chained.chained_fill(df, numeric, self.opt("max_iter")).state() if self.opt("advanced") and numeric else None
         fills = {**impute.numeric_fills(df, numeric, self.opt("numeric_strategy"), self.opt("numeric_constant"), self.opt("exact")),
                  **impute.categorical_fills(df, text, self.opt("categorical_strategy"), self.opt("categorical_constant"))}
         marks = impute.columns_with_nulls(df, [c for c in df.columns if c not in self.opt("exclude")]) if self.opt("add_indicator") else []
         empty = [c for c in (*numeric, *text) if c not in fills]
-        return MissingValueModel({"fills": fills, "indicators": marks, "features": [*numeric, *text], "empty": empty})
+        return MissingValueModel({"fills": fills, "indicators": marks, "features": [*numeric, *text], "empty": empty, "chain": chain, "dropped": dropped})
 
 
 class MissingValueModel(_Fitted):
     def _transform(self, df: DataFrame) -> DataFrame:
-        return impute.fill(df, self.fitted["fills"], self.fitted["indicators"])
+        s = self.fitted
+        df = df.drop(*s.get("dropped", []))
+        marked = impute.fill(df, {}, s["indicators"])                     # marks first: afterwards nothing is missing
+        if s.get("chain"):
+            marked = chained.apply_chained(marked, chained.ChainedFill.of(s["chain"]))
+        return impute.fill(marked, s["fills"])
 
 
 class TemporalFeatureEngineer(_Options, Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -252,7 +269,12 @@ def build_stages(config: dict, entity: str = "patient_id", period: str = "year",
     """The preparation stages of a configuration: fill, roll, encode, scale, select."""
     engineering = config.get("feature_engineering", {})
     keys = [entity, period]
-    stages: list = [BooleanToInt(), MissingValueHandler(add_indicator=False, exclude=[*keys, label])]
+    missing = config.get("missing_values", {})
+    advanced = missing.get("advanced_imputation", {})
+    stages: list = [BooleanToInt(), MissingValueHandler(
+        add_indicator=False, exclude=[*keys, label], numeric_strategy=missing.get("numeric_strategy", "median"),
+        categorical_strategy=missing.get("categorical_strategy", "most_frequent"), drop_threshold=missing.get("drop_threshold"),
+        advanced=advanced.get("method", "iterative") if advanced.get("enabled") else None, max_iter=advanced.get("max_iter", 10))]
     if engineering.get("rolling_window_years"):
         stages.append(TemporalFeatureEngineer(
             entity=entity, period=period, window_years=engineering["rolling_window_years"], exclude=["age", label],

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.functions.rules import flag
+from panelwright.functions.rules import flag, number
 from panelwright.operators.quantiles import exact_quantiles
+from panelwright.runtime import quoted
 
 NUMERIC = ("median", "mean", "constant")
 CATEGORICAL = ("most_frequent", "constant")
@@ -42,11 +43,11 @@ def numeric_fills(df: DataFrame, cols: Sequence[str], strategy: str = "median",
     if strategy == "constant":
         return {c: float(constant) for c in cols}
     if strategy == "mean":
-        row = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
+        row = df.agg(*[F.avg(number(c)).alias(c) for c in cols]).first().asDict()
     elif exact:
         row = {r["feature"]: r["value"] for r in exact_quantiles(df, cols, [0.5]).collect()}  # one per column
     else:
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c) for c in cols]).first().asDict()
+        row = df.agg(*[F.percentile_approx(number(c), 0.5, 100_000).alias(c) for c in cols]).first().asDict()
     return {c: float(row[c]) for c in cols if row.get(c) is not None}
 
 
@@ -74,6 +75,14 @@ def columns_with_nulls(df: DataFrame, cols: Sequence[str]) -> list[str]:
     return [c for i, c in enumerate(cols) if row[i] > 0]
 
 
+def sparse_columns(df: DataFrame, cols: Sequence[str], limit: float = 0.5) -> list[str]:
+    """The columns whose share of missing cells (NULL or NaN) is above ``limit``; none in an empty table."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    held = [F.count(number(c) if isinstance(kinds[c], (T.DoubleType, T.FloatType)) else F.col(quoted(c))).alias(f"n{i}") for i, c in enumerate(cols)]
+    row = df.agg(F.count("*").alias("n"), *held).first()
+    return [c for i, c in enumerate(cols) if row["n"] and 1 - row[f"n{i}"] / row["n"] > limit]
+
+
 def fill(df: DataFrame, fills: dict, indicators: Sequence[str] = ()) -> DataFrame:
     """Add ``{c}_was_missing`` for the indicator columns, then fill. Numeric columns become double."""
     marks = {f"{c}_was_missing": flag(F.col(c).isNull()) for c in indicators if c in df.columns}

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.functions.rules import number
 from panelwright.operators.prefix import ROWS_PER_RANGE, running_sums
 from panelwright.runtime import div0, materialize, null_safe_join, safe_div
 
@@ -22,7 +23,7 @@ def score_histogram(df: DataFrame, label: str = "label", score: str = "score", p
     ``hit`` and ``alarm`` count the positives and negatives with prediction 1. Rows without a label, a
     score (NULL or NaN) or, where predictions are asked for, a prediction are left out.
     """
-    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+    df = scored_rows(df, label, score)
     if pred is not None:
         df = df.where(F.col(pred).isNotNull())
     y = F.col(label).cast("long")
@@ -191,17 +192,22 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     return counts.select(F.inline(F.array(zero, one, overall, macro, weighted)))
 
 
+def scored_rows(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """The rows that count in a metric of scores: those with a label and a score that is a number."""
+    return df.where(F.col(label).isNotNull() & number(score).isNotNull())
+
+
 def brier(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     d = F.col(score) - F.col(label)
-    return df.agg(F.avg(d * d).alias("brier_score"))
+    return scored_rows(df, label, score).agg(F.avg(d * d).alias("brier_score"))
 
 
 def calibration_error(df: DataFrame, label: str = "label", score: str = "score", bins: int = 10) -> DataFrame:
     """(brier_score, expected_calibration_error); bins are (lo, hi], a score of 0 lies in none.
 
-    Rows without label or score don't count.
+    Rows without a label or a score (NULL or NaN) don't count.
     """
-    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    df = scored_rows(df, label, score)
     d = F.col(score) - F.col(label)
     per_bin = df.groupBy(F.when(F.col(score) > 0, F.ceil(F.col(score) * bins)).alias("bin")).agg(
         F.count("*").alias("n"), F.sum(score).alias("conf"), F.sum(label).alias("pos"),
@@ -213,8 +219,11 @@ def calibration_error(df: DataFrame, label: str = "label", score: str = "score",
 
 
 def calibration_curve(df: DataFrame, label: str = "label", score: str = "score", bins: int = 10) -> DataFrame:
-    """(bin, n, mean_predicted, fraction_positive) of the non-empty bins; a score of 0 is in bin 1."""
-    return (df.groupBy(F.greatest(F.ceil(F.col(score) * bins), F.lit(1)).cast("int").alias("bin"))
+    """(bin, n, mean_predicted, fraction_positive) of the non-empty bins; a score of 0 is in bin 1.
+
+    Rows without a label or a score (NULL or NaN) don't count.
+    """
+    return (scored_rows(df, label, score).groupBy(F.greatest(F.ceil(F.col(score) * bins), F.lit(1)).cast("int").alias("bin"))
             .agg(F.count("*").alias("n"), F.avg(score).alias("mean_predicted"),
                  F.avg(label).alias("fraction_positive")))
 

@@ -1,9 +1,10 @@
 """Running sums and order statistics over a global order, without a single-task sort.
 
-All inputs are *histograms*: tables unique on (by, order) that carry additive counts. The order
-axis is cut into ranges holding about equally many rows; a range is summed on its own, the totals
-of the earlier ranges are added as an offset. The cut points are fixed numbers held by the driver,
-so a recomputed task always sees the same ranges.
+All inputs are *histograms*: tables unique on (by, order) that carry additive counts. The rows are dealt, in the order of
+(by, order), to ranges of about equal row counts. Spark samples the bounds from the columns themselves, so they have the columns' own
+types: long texts that begin alike, dates and decimals part as well as numbers do, and the rows of a large group lie in
+neighbouring ranges. The number of its range is stored with every row, so a recomputed task sees the same ranges. A range is summed
+on its own; the totals of the earlier ranges of a group are added, and are themselves summed by ranges where there are many.
 """
 
 from __future__ import annotations
@@ -11,120 +12,101 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from panelwright.runtime import materialize, null_safe_join, stored_rows
+from panelwright.runtime import materialize, null_safe_join, quoted, stored_rows
 
 ROWS_PER_RANGE = 250_000
-MAX_RANGES = 50_000
+# Totals of a group that one window may hold however small the ranges are; below it a further level costs more than it saves.
+LEAST_TOTALS = 16
 
 
-def axis(df: DataFrame, order: str) -> Column:
-    """``order`` as a double that never falls where ``order`` rises: dates and times count units, text its first six bytes.
+def in_ranges(df: DataFrame, order: Sequence[str], total: int, rows_per_range: int = ROWS_PER_RANGE, out: str = "_range") -> DataFrame:
+    """``df``, stored, with the number of the range each row lies in; ranges follow the ascending order, NULL first.
 
-    NaN, the largest value to Spark, becomes infinity; NULL stays NULL.
+    Rows that are equal in all columns of ``order`` share a range.
     """
-    c, kind = F.col(order), df.schema[order].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.substring(F.hex(F.encode(c, "utf-8")), 1, 12), 12, "0"), 16, 10).cast("double")
-    value = c.cast("double")
-    return F.when(F.isnan(value), F.lit(math.inf)).otherwise(value)
-
-
-def range_cuts(hist: DataFrame, order: str, by: Sequence[str] = (),
-               rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
-    """Inner cut points of ``order``; empty when the largest group fits one range."""
+    ranges = max(1, math.ceil(total / rows_per_range))
+    return materialize(df.repartitionByRange(ranges, *[F.col(quoted(c)) for c in order]).withColumn(out, F.spark_partition_id()), "ranges")
+
+
+def _sizes(hist: DataFrame, by: Sequence[str], rows_per_range: int) -> tuple[int, int]:
+    """(rows of the largest group, all rows); the count of a stored table that is small anyway comes from its files."""
     known = stored_rows(hist)
     if known is not None and known <= rows_per_range:
-        return []
-    largest = (hist.groupBy(*by).count() if by else hist.agg(F.count("*").alias("count")))
-    size, total = largest.agg(F.max("count"), F.sum("count")).first()
-    if not size or size <= rows_per_range:
-        return []
-    return row_cuts(hist, order, rows_per_range, total)
-
-
-def row_cuts(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE,
-             total: int | None = None) -> list[float]:
-    """Cut points that leave about ``rows_per_range`` rows of ``df`` between neighbours."""
-    total = df.count() if total is None else total
-    n = min(MAX_RANGES, math.ceil(total / rows_per_range))
-    probs = [i / n for i in range(1, n)]
-    if not probs:
-        return []
-    cuts = df.agg(F.percentile_approx(axis(df, order), probs, max(10_000, 4 * n))).first()[0]
-    return sorted({c for c in cuts or [] if math.isfinite(c)})
-
-
-def with_range(df: DataFrame, order: str, cuts: Sequence[float], out: str = "_range") -> DataFrame:
-    """Tag rows with the index of the half-open range [cut_i, cut_i+1) they fall in; NULL, which Spark sorts first, has range -1."""
-    if not cuts:
-        return df.withColumn(out, F.lit(0.0))
-    stage = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_order_value", outputCol=out, handleInvalid="keep")
-    tagged = stage.transform(df.withColumn("_order_value", axis(df, order)))
-    return tagged.withColumn(out, F.when(F.col("_order_value").isNull(), F.lit(-1.0)).otherwise(F.col(out))).drop("_order_value")
+        return known, known
+    groups = hist.groupBy(*by).agg(F.count("*").alias("_rows")) if by else hist.agg(F.count("*").alias("_rows"))
+    largest, total = groups.agg(F.max("_rows"), F.sum("_rows")).first()
+    return largest or 0, total or 0
 
 
 def running_sums(hist: DataFrame, order: str, sums: dict[str, str], by: Sequence[str] = (),
                  descending: bool = False, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add inclusive running sums ``{output: input}`` along ``order`` inside each ``by`` group.
 
-    ``hist`` is read several times: pass a materialized table.
+    ``hist`` is read several times: pass a materialized table. NULL comes first, or last if descending.
     """
-    by = list(by)
-    cuts = range_cuts(hist, order, by, rows_per_range)
+    return _sums(hist, order, sums, list(by), descending, rows_per_range, Window.currentRow)
+
+
+def _sums(hist: DataFrame, order: str, sums: dict[str, str], by: list[str], descending: bool, rows_per_range: int, end: int, level: int = 0) -> DataFrame:
+    """Running sums up to the row itself (``end`` 0) or the one before it (-1). ``level`` counts how often ranges were summed by ranges."""
+    largest, total = _sizes(hist, by, rows_per_range)
     direction = F.desc if descending else F.asc
-    if not cuts:
-        w = (Window.partitionBy(*(by or [F.lit(0)])).orderBy(direction(order))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return hist.withColumns({out: F.sum(src).over(w) for out, src in sums.items()})
-    tagged = with_range(hist, order, cuts)
-    totals = tagged.groupBy(*by, "_range").agg(*[F.sum(s).alias(f"_t_{o}") for o, s in sums.items()])
-    # At most one row per (group, range): the only place where a whole group is ordered at once.
-    before = (Window.partitionBy(*(by or [F.lit(0)])).orderBy(direction("_range"))
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*by, "_range", *[
-        F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}") for o in sums])
-    inside = (Window.partitionBy(*by, "_range").orderBy(direction(order))
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (null_safe_join(tagged, offsets, [*by, "_range"])
-            .withColumns({o: F.sum(s).over(inside) + F.col(f"_o_{o}") for o, s in sums.items()})
-            .drop("_range", *[f"_o_{o}" for o in sums]))
+    keys = [F.col(quoted(c)) for c in by]
+
+    def up_to(*group: Column):
+        return Window.partitionBy(*(group or [F.lit(0)])).orderBy(direction(quoted(order))).rowsBetween(Window.unboundedPreceding, end)
+
+    if largest <= rows_per_range:
+        return hist.withColumns({out: F.sum(quoted(src)).over(up_to(*keys)) for out, src in sums.items()})
+    part = f"_range{level}"
+    tagged = in_ranges(hist, [*by, order], total, rows_per_range, part)
+    totals = materialize(tagged.groupBy(*keys, part).agg(*[F.sum(quoted(s)).alias(f"_t_{o}") for o, s in sums.items()]), "range-totals")
+    # A group has one row for each range it touches.
+    before = _sums(totals, part, {f"_o_{o}": f"_t_{o}" for o in sums}, by, descending, max(LEAST_TOTALS, rows_per_range), -1, level + 1)
+    offsets = before.select(*keys, part, *[f"_o_{o}" for o in sums])
+    inside = up_to(*keys, F.col(part))
+
+    def whole(name: str, source: str) -> Column:                              # NULL until the first value, as in one window
+        own, earlier = F.sum(quoted(source)).over(inside), F.col(f"_o_{name}")
+        return F.coalesce(own + earlier, own, earlier)
+
+    return (null_safe_join(tagged, offsets, [*by, part]).withColumns({o: whole(o, s) for o, s in sums.items()})
+            .drop(part, *[f"_o_{o}" for o in sums]))
 
 
 def rank_cutoff(df: DataFrame, order: Sequence[tuple[str, bool]], n: int,
                 rows_per_range: int = ROWS_PER_RANGE) -> Column | None:
     """A predicate that holds for exactly the first ``n`` rows of ``df`` in the given order.
 
-    ``order`` lists (numeric column, descending) pairs; together they must be unique. The rows are
-    never sorted: per order column one histogram finds the value the n-th row has, and only rows
+    ``order`` lists (column, descending) pairs; together they must be unique. NULL comes after all values, in either
+    direction. The rows are never sorted: per order column one histogram finds the value the n-th row has, and only rows
     tied on it go on to the next column. None means the predicate holds for no row.
     """
     if n <= 0:
         return None
     rest, tied, accepted = df, None, F.lit(False)
     for name, descending in order:
-        hist = materialize(rest.groupBy(name).agg(F.count("*").alias("cnt")), "rank")
-        cum = running_sums(hist, name, {"cum": "cnt"}, descending=descending,
-                           rows_per_range=rows_per_range)
-        hit = cum.where(F.col("cum") >= n).orderBy("cum").limit(1).collect()
-        if not hit:                       # n exceeds the rows: take all of them
+        c = F.col(quoted(name))
+        hist = materialize(rest.groupBy(c.alias("_value")).agg(F.count("*").alias("_cnt")), "rank")
+        filled, empty = hist.agg(F.sum(F.when(F.col("_value").isNotNull(), F.col("_cnt"))), F.sum(F.when(F.col("_value").isNull(), F.col("_cnt")))).first()
+        filled, empty = filled or 0, empty or 0
+        if n > filled + empty:            # n exceeds the rows: take all of them
             return accepted | (tied if tied is not None else F.lit(True))
-        value, cum_n, cnt = hit[0][name], hit[0]["cum"], hit[0]["cnt"]
-        ahead = F.col(name) > F.lit(value) if descending else F.col(name) < F.lit(value)
-        equal = F.col(name) == F.lit(value)
-        scope = (lambda c: c if tied is None else tied & c)
-        accepted = accepted | scope(ahead)
-        if cum_n == n:
+        scope = (lambda x: x if tied is None else tied & x)
+        if n > filled:
+            accepted, equal, reached, own = accepted | scope(c.isNotNull()), c.isNull(), filled + empty, empty
+        else:
+            known = materialize(hist.where(F.col("_value").isNotNull()), "rank-known") if empty else hist
+            cum = running_sums(known, "_value", {"_cum": "_cnt"}, descending=descending, rows_per_range=rows_per_range)
+            value, reached, own = cum.where(F.col("_cum") >= n).orderBy("_cum").select("_value", "_cum", "_cnt").first()
+            ahead = c > F.lit(value) if descending else c < F.lit(value)
+            accepted, equal = accepted | scope(F.coalesce(ahead, F.lit(False))), c.eqNullSafe(F.lit(value))
+        if reached == n:
             return accepted | scope(equal)
-        n -= cum_n - cnt
+        n -= reached - own
         tied = scope(equal)
         rest = rest.where(equal)
     raise ValueError("the order columns do not identify a row; add a unique one")

@@ -9,8 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.operators.quantiles import exact_quantiles, long_form, quantiles_wide
-from panelwright.runtime import safe_div
+from panelwright.functions.rules import number
+from panelwright.operators.gram import gram_correlations
+from panelwright.operators.quantiles import exact_quantiles, statistics
+from panelwright.runtime import quoted, safe_div
+
+
+# Column pairs that one plan holds as aggregate expressions; beyond that the Gram matrix gives them.
+INLINE_PAIRS = 66
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -27,31 +33,26 @@ def _long(one_row: DataFrame, cols: Sequence[str], names: Sequence[str]) -> Data
         F.struct(F.lit(c).alias("feature"), *[F.col(f"`{n}|{c}`").alias(n) for n in names]) for c in cols])))
 
 
+def _quantile_columns(names: Sequence[str]) -> list[Column]:
+    return [F.col("quantiles")[i].alias(name) for i, name in enumerate(names)]
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None, **options) -> DataFrame:
     """(feature, count, mean, std, min, q25, q50, q75, max) per numeric column."""
-    cols = list(cols or numeric_columns(df))
-    parts = {"count": F.count, "mean": F.avg, "std": F.stddev_samp,
-             "min": lambda c: F.min(F.col(c).cast("double")), "max": lambda c: F.max(F.col(c).cast("double"))}
-    moments = _long(df.agg(*[f(c).alias(f"{n}|{c}") for c in cols for n, f in parts.items()]), cols, list(parts))
-    quartiles = quantiles_wide(exact_quantiles(df, cols, [0.25, 0.5, 0.75], **options),
-                               {0.25: "q25", 0.5: "q50", 0.75: "q75"})
-    return moments.join(quartiles, "feature")
+    told = statistics(df, list(cols or numeric_columns(df)), [0.25, 0.5, 0.75], **options)
+    return told.select("feature", "count", "mean", "std", "min", "max", *_quantile_columns(["q25", "q50", "q75"]))
 
 
 def describe_by(df: DataFrame, by: str, cols: Sequence[str], **options) -> DataFrame:
     """(by, feature, count, mean, std, median) per group of a low-cardinality column."""
-    df = df.where(F.col(by).isNotNull())
-    base = long_form(df, cols, [by]).groupBy(by, "feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    median = quantiles_wide(exact_quantiles(df, cols, [0.5], [by], **options), {0.5: "median"}, [by])
-    return base.join(median, [by, "feature"])
+    told = statistics(df.where(F.col(by).isNotNull()), cols, [0.5], [by], **options)
+    return told.select(by, "feature", "count", "mean", "std", *_quantile_columns(["median"]))
 
 
 def five_number(df: DataFrame, by: str, cols: Sequence[str], **options) -> DataFrame:
     """(by, feature, min, q25, median, q75, max): the data of a box plot."""
-    names = {0.0: "min", 0.25: "q25", 0.5: "median", 0.75: "q75", 1.0: "max"}
-    return quantiles_wide(exact_quantiles(df.where(F.col(by).isNotNull()), cols, list(names), [by], **options),
-                          names, [by])
+    told = statistics(df.where(F.col(by).isNotNull()), cols, [0.25, 0.5, 0.75], [by], **options)
+    return told.select(by, "feature", "min", "max", *_quantile_columns(["q25", "median", "q75"]))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -89,11 +90,23 @@ def label_crosstab(df: DataFrame, by: str, label: str = "label") -> DataFrame:
                           "positive_share": safe_div(F.col("positive"), F.col("total"))}))
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
-    """Counts of each given ``columns`` value per ``rows`` value, and their row shares."""
-    counted = df.groupBy(rows).pivot(columns, list(values)).count().fillna(0)
-    total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
-    return counted.withColumns({f"{v}_share": safe_div(F.col(f"`{v}`"), total) for v in values})
+def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence, other: str | None = None) -> DataFrame:
+    """Counts of each given ``columns`` value per ``rows`` value, and their shares among the row's cells that hold a value.
+
+    A value outside the list fails the job, or is counted under ``other`` where that is given; missing values are not counted.
+    """
+    c = F.col(quoted(columns))
+    listed = {str(v): F.count_if(c == v) for v in values}
+    rest = F.count_if(c.isNotNull() & ~c.isin(list(values)))
+    if other is None:
+        first = F.max(F.when(~c.isin(list(values)), c.cast("string")))
+        unlisted = F.raise_error(F.concat(F.lit(f"{columns} holds a value outside the list: "), first)).cast("long")
+        rest = F.when(rest == 0, F.lit(0).cast("long")).otherwise(unlisted)
+    counted = df.groupBy(F.col(quoted(rows))).agg(*[n.alias(v) for v, n in listed.items()], rest.alias(other or "_rest"))
+    names = [*listed, other or "_rest"]
+    total = sum((F.col(quoted(v)) for v in names), F.lit(0))
+    shares = counted.withColumns({f"{v}_share": safe_div(F.col(quoted(v)), total) for v in (names if other else listed)})
+    return shares if other else shares.drop("_rest")
 
 
 def period_trend(df: DataFrame, period: str, label: str, means: Sequence[str]) -> DataFrame:
@@ -104,15 +117,14 @@ def period_trend(df: DataFrame, period: str, label: str, means: Sequence[str]) -
 
 def column_summary(df: DataFrame, column: str, **options) -> DataFrame:
     """(min, max, mean, std, median) of one column."""
-    c = F.col(column).cast("double")
-    median = exact_quantiles(df, [column], [0.5], **options).select("value").scalar()
-    return df.agg(F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"),
-                  F.stddev_samp(c).alias("std")).withColumn("median", median)
+    return statistics(df, [column], [0.5], **options).select("min", "max", "mean", "std", *_quantile_columns(["median"]))
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(a, b, r) for every column pair, rows with a missing side left out; one aggregation."""
+    """(a, b, r) for every column pair, rows with a missing side left out; one aggregation, of column blocks where there are many pairs."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if len(pairs) > INLINE_PAIRS:
+        return gram_correlations(df, cols).drop("n")
     row = df.agg(*[_pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
@@ -120,7 +132,7 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _pearson(a: str, b: str) -> Column:
-    r = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+    r = F.corr(number(a), number(b))
     return F.when(~F.isnan(r), r)
 
 
@@ -165,7 +177,7 @@ def complete_rows(df: DataFrame) -> DataFrame:
 
 def iqr_fences(df: DataFrame, cols: Sequence[str], factor: float = 1.5, **options) -> DataFrame:
     """(feature, q1, q3, low, high) per column."""
-    q = quantiles_wide(exact_quantiles(df, cols, [0.25, 0.75], **options), {0.25: "q1", 0.75: "q3"})
+    q = statistics(df, cols, [0.25, 0.75], **options).select("feature", *_quantile_columns(["q1", "q3"]))
     iqr = F.col("q3") - F.col("q1")
     return q.withColumns({"low": F.col("q1") - factor * iqr, "high": F.col("q3") + factor * iqr})
 
@@ -174,7 +186,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], factor: float = 1.5, **opti
     """(feature, q1, q3, low, high, n_outliers, percent) per column; percent of all rows."""
     fences = {r["feature"]: r for r in iqr_fences(df, cols, factor, **options).collect()}   # one row per column
     row = df.agg(F.count("*").alias("n"), *[
-        F.count_if((F.col(c) < fences[c]["low"]) | (F.col(c) > fences[c]["high"])).alias(f"o{i}")
+        F.count_if((number(c) < fences[c]["low"]) | (number(c) > fences[c]["high"])).alias(f"o{i}")
         for i, c in enumerate(cols)])
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), *[F.lit(fences[c][k]).alias(k) for k in ("q1", "q3", "low", "high")],
@@ -185,7 +197,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], factor: float = 1.5, **opti
 def outlier_rows(df: DataFrame, column: str, factor: float = 1.5, **options) -> DataFrame:
     """The rows outside the fences of one column."""
     f = iqr_fences(df, [column], factor, **options).first()
-    return df.where((F.col(column) < f["low"]) | (F.col(column) > f["high"]))
+    return df.where((number(column) < f["low"]) | (number(column) > f["high"]))
 
 
 def outlier_label_stats(df: DataFrame, flag: str, label: str = "label") -> DataFrame:
@@ -201,7 +213,7 @@ def mean_outlier_rate(outliers: DataFrame) -> DataFrame:
 def two_sample_tests(df: DataFrame, cols: Sequence[str], label: str = "label") -> DataFrame:
     """(feature, t, effect, dof, p_value): pooled two-sample t of label 1 against label 0, the
     standardised mean difference, and the two-sided p-value."""
-    row = df.agg(*[g(F.when(F.col(label) == k, F.col(c).cast("double"))).alias(f"{n}{k}|{c}")
+    row = df.agg(*[g(F.when(F.col(label) == k, number(c))).alias(f"{n}{k}|{c}")
                    for c in cols for k in (0, 1)
                    for n, g in (("n", F.count), ("m", F.avg), ("v", F.var_samp))])
     names = [f"{n}{k}" for k in (0, 1) for n in "nmv"]
@@ -256,7 +268,7 @@ def percentile_threshold(df: DataFrame, column: str, p: float, **options) -> Dat
 
 def histogram(df: DataFrame, column: str, bins: int = 30, by: str | None = None) -> DataFrame:
     """(by, bin, lo, hi, n) over equal-width bins between the column's extremes; the last bin is closed."""
-    c = F.col(column).cast("double")
+    c = number(column)
     lo, hi = df.agg(F.min(c), F.max(c)).first()
     if lo is None:
         raise ValueError(f"{column} has no values")

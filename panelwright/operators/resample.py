@@ -34,14 +34,19 @@ def _draw(seed: int, *parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def smote(df: DataFrame, features: Sequence[str], key: str, label: str = "label", ratio: float = 0.1, k: int = 5,
+def neighbors_for(rows: int) -> int:
+    """Neighbours to draw from when none are configured. One for every 50 rows, at most 3."""
+    return min(3, max(1, rows // 50))
+
+
+def smote(df: DataFrame, features: Sequence[str], key: str, label: str = "label", ratio: float = 0.1, k: int | None = 5,
           seed: int = 42, minority: int = 1) -> DataFrame:
     """Append synthetic minority rows with ``is_synthetic`` = 1.
 
     Each new row lies between a minority row and one of its k nearest minority neighbours, at a
     random share of the way. New rows are spread evenly over the minority rows; which rows get one
     more, the neighbour and the share depend on the key and the seed only. Columns other than the
-    features and the label are NULL in synthetic rows.
+    features and the label are NULL in synthetic rows. With ``k`` None the number of rows decides it.
     """
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).where(
         F.col(label).isin(0, 1)).collect()}
@@ -50,6 +55,7 @@ def smote(df: DataFrame, features: Sequence[str], key: str, label: str = "label"
     tagged = df.withColumn("is_synthetic", F.lit(0))
     if new == 0:
         return tagged
+    k = neighbors_for(n_min + n_maj) if k is None else k
     if n_min <= k:
         raise ValueError(f"{k} neighbours need more than {k} minority rows, found {n_min}")
     small = materialize(df.where(F.col(label) == minority).select(

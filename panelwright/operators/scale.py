@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.functions.rules import number
+
 METHODS = ("standard", "minmax")
 
 
@@ -18,7 +20,7 @@ def scaling_parameters(df: DataFrame, cols: Sequence[str], method: str = "standa
     if not cols:
         return {}
     low, high = (F.avg, F.stddev_pop) if method == "standard" else (F.min, F.max)
-    row = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}|{c}") for c in cols for n, f in (("a", low), ("b", high))]).first()
+    row = df.agg(*[f(number(c)).alias(f"{n}|{c}") for c in cols for n, f in (("a", low), ("b", high))]).first()
     out = {}
     for c in cols:
         a, b = row[f"a|{c}"], row[f"b|{c}"]

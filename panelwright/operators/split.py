@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.operators.prefix import ROWS_PER_RANGE, rank_cutoff, running_sums
-from panelwright.runtime import lookup_join, materialize, safe_div, stored_rows
+from panelwright.runtime import lookup_join, materialize, quoted, safe_div, stored_rows
 
 # Periods that may stand in for a wanted cut, by their distance from it, the preferred ones first.
 NEARBY = (0, -1, 1, -2, 2)
@@ -140,9 +140,9 @@ class StratifiedTemporalSplitter:
             different.setdefault((found[p].n_train, found[p].n_val), found[p])
         return list(different.values())[:self.n_splits]
 
-    def split(self, df: DataFrame, order: Sequence[str] | None = None) -> list[tuple[DataFrame, DataFrame]]:
-        """(train, validation) frames; the chronological fallback when no cut works."""
-        cuts = self.cuts(df)
+    def split(self, df: DataFrame, order: Sequence[str] | None = None, cuts: list[Split] | None = None) -> list[tuple[DataFrame, DataFrame]]:
+        """(train, validation) frames; the chronological fallback when no cut works. ``cuts`` are found unless given."""
+        cuts = self.cuts(df) if cuts is None else cuts
         if not cuts:
             return [chronological(df, order or [self.period, self.entity], self.test_size, self.gap)]
         # Stored once: every fold is then a filter on two columns that reaches the scan.
@@ -156,16 +156,17 @@ class StratifiedTemporalSplitter:
 
 def chronological_role(df: DataFrame, order: Sequence[str], test_size: float = 0.2, gap: int = 1,
                        rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Add ``role`` by row order: the first n·(1 - test_size) - gap rows train, the last rows from
-    n·(1 - test_size) on validate, the gap between has none."""
-    n = df.count()
-    cut = int(n * (1 - test_size))
+    """Add ``role`` by row order: of the n rows with a period (``order``'s first column), the first n·(1 - test_size) - gap train, those
+    from n·(1 - test_size) on validate, the gap between has none. Rows without a period have no role and no place."""
+    dated = F.col(quoted(order[0])).isNotNull()
+    known = df.where(dated)
+    cut = int(known.count() * (1 - test_size))
     keys = [(c, False) for c in order]
-    train = rank_cutoff(df, keys, max(0, cut - gap), rows_per_range)
-    before_val = rank_cutoff(df, keys, cut, rows_per_range)
-    role = F.when(train if train is not None else F.lit(False), "train")
+    train = rank_cutoff(known, keys, max(0, cut - gap), rows_per_range)
+    before_val = rank_cutoff(known, keys, cut, rows_per_range)
+    role = F.when(dated & train if train is not None else F.lit(False), "train")
     late = ~before_val if before_val is not None else F.lit(True)
-    return df.withColumn("role", role.when(late, "val"))
+    return df.withColumn("role", role.when(dated & late, "val"))
 
 
 def chronological(df: DataFrame, order: Sequence[str], test_size: float = 0.2, gap: int = 1):

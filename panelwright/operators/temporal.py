@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.operators.prefix import row_cuts, running_sums, with_range
+from panelwright.operators.prefix import LEAST_TOTALS, in_ranges, running_sums
 from panelwright.runtime import materialize, null_safe_join, require_columns, stored_rows
 
 AGGREGATIONS = ("mean", "std", "min", "max", "trend")
@@ -110,21 +110,17 @@ def row_ordinal(df: DataFrame, entity: str, period: str, tie: str, out: str = "_
                 rows_per_range: int = HOT_ENTITY_ROWS) -> DataFrame:
     """0, 1, 2, … per entity in (period, tie) order, for entities and periods of any size.
 
-    Counts of earlier periods and earlier tie ranges come from histograms; only the rows of one
-    (entity, period, tie range) are ordered together. ``df`` is read several times: pass a
-    materialized table.
+    The rows are dealt to ranges in the order of all three; a row's number is its place among its entity's rows of the range, after those of
+    the ranges before. ``df`` is read several times: pass a materialized table.
     """
-    hist = materialize(df.groupBy(entity, period).agg(F.count("*").alias("_cnt")), "ordinal-hist")
-    cum = running_sums(hist, period, {"_cum": "_cnt"}, by=[entity], rows_per_range=rows_per_range)
-    starts = cum.select(entity, period, (F.col("_cum") - F.col("_cnt")).alias("_start"))
-    tagged = with_range(df, tie, row_cuts(df, tie, rows_per_range), "_r")
-    sizes = tagged.groupBy(entity, period, "_r").agg(F.count("*").alias("_m"))
-    before = Window.partitionBy(entity, period).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (null_safe_join(sizes.withColumn("_off", F.coalesce(F.sum("_m").over(before), F.lit(0))), starts, [entity, period])
-               .select(entity, period, "_r", (F.col("_start") + F.col("_off")).alias("_first")))
-    placed = null_safe_join(tagged, materialize(offsets, "ordinal-first"), [entity, period, "_r"])
-    w = Window.partitionBy(entity, period, "_r").orderBy(tie)
-    return placed.withColumn(out, F.col("_first") + F.row_number().over(w) - 1).drop("_first", "_r")
+    total = stored_rows(df)
+    tagged = in_ranges(df, [entity, period, tie], df.count() if total is None else total, rows_per_range)
+    sizes = materialize(tagged.groupBy(entity, "_range").agg(F.count("*").alias("_m")), "ordinal-sizes")
+    sums = running_sums(sizes, "_range", {"_up_to": "_m"}, by=[entity], rows_per_range=max(LEAST_TOTALS, rows_per_range))
+    first = sums.select(entity, "_range", (F.col("_up_to") - F.col("_m")).alias("_first"))
+    w = Window.partitionBy(entity, "_range").orderBy(period, tie)
+    return (null_safe_join(tagged, first, [entity, "_range"])
+            .withColumn(out, F.col("_first") + F.row_number().over(w) - 1).drop("_first", "_range"))
 
 
 def entity_ordinal(df: DataFrame, entity: str, period: str, out: str = "ordinal", bounded_entities: bool = False) -> DataFrame:

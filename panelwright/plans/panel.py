@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions.rules import clip, logistic
-from panelwright.sources.readers import read_parquet
+from panelwright.sources.readers import scan_parquet
 
 FEATURES = ["n_orders", "amt", "avg_amt", "max_amt", "acctbal"]
 
@@ -17,9 +17,9 @@ def order_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     Orders are summed per (customer, year) before anything is joined: the map-side part of that
     aggregation removes a hot customer's rows, and after it a customer has at most one row per year.
     """
-    orders = read_parquet(spark, f"{sf_dir}/orders.parquet")
-    customer = read_parquet(spark, f"{sf_dir}/customer.parquet")
-    nation = read_parquet(spark, f"{sf_dir}/nation.parquet")
+    orders = scan_parquet(spark, f"{sf_dir}/orders.parquet")
+    customer = scan_parquet(spark, f"{sf_dir}/customer.parquet")
+    nation = scan_parquet(spark, f"{sf_dir}/nation.parquet")
     yearly = (orders.groupBy(F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("period"))
               .agg(F.count("*").alias("n_orders"), F.sum("o_totalprice").alias("amt"),
                    F.avg("o_totalprice").alias("avg_amt"), F.max("o_totalprice").alias("max_amt"),
@@ -44,8 +44,8 @@ def scored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents scored by length; slices are language and source."""
-    documents = read_parquet(spark, f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
-    labels = read_parquet(spark, f"{sf_dir}/labels.parquet")
+    documents = scan_parquet(spark, f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
+    labels = scan_parquet(spark, f"{sf_dir}/labels.parquet")
     return (documents.join(labels, "doc_id")
             .select("doc_id", "lang", "source", F.col("quality").alias("label"), "toxic",
                     F.round(clip(F.col("n_chars") / 20000.0, 0.0, 1.0), 3).alias("score"))

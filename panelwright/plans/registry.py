@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.sources.readers import read_parquet
+from panelwright.sources.readers import scan_parquet
 
 Plan = Callable[[SparkSession, str], DataFrame]
 
@@ -54,7 +54,7 @@ def query(name: str, sql: str | None = None, digits: dict[str, int] | None = Non
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return scan_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 # The panel and the scored sets in SQL, as built in panelwright.plans.panel.

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import random
 import statistics
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -17,7 +20,7 @@ from panelwright.ml.stages import build_stages, fit_stages
 from panelwright.operators import metrics
 from panelwright.operators.impute import vector_columns
 from panelwright.operators.resample import class_weights, smote
-from panelwright.operators.split import StratifiedTemporalSplitter
+from panelwright.operators.split import StratifiedTemporalSplitter, chronological, last_periods_role
 from panelwright.operators.thresholds import optimize_threshold
 from panelwright.runtime import materialize
 
@@ -64,11 +67,22 @@ def split_label(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 
 
 def make_splits(df: DataFrame, config: dict, c: Columns) -> list[tuple[DataFrame, DataFrame]]:
+    """(train, validation) per fold. Where no cut leaves rows on both sides, the last fifth of the periods validates; where that leaves a
+    side empty too, the last rows do."""
     cv = config.get("cross_validation", {})
+    gap = cv.get("gap", 1)
     splitter = StratifiedTemporalSplitter(
-        cv.get("n_splits", 5), cv.get("test_size", 0.2), cv.get("gap", 1), c.period, c.entity, c.label,
-        cv.get("group_disjoint", True))
-    return splitter.split(df)
+        cv.get("n_splits", 5), cv.get("test_size", 0.2), gap, c.period, c.entity, c.label, cv.get("group_disjoint", True))
+    cuts = splitter.cuts(df)
+    if cuts:
+        return splitter.split(df, cuts=cuts)
+    periods = df.where(F.col(c.period).isNotNull()).select(c.period).distinct().limit(2).count()
+    if periods > 1:
+        tagged = materialize(last_periods_role(df, c.period, gap), "last-periods")
+        sides = {r["role"] for r in tagged.where("role is not null").select("role").distinct().collect()}      # two at most
+        if len(sides) == 2:
+            return [(tagged.where("role = 'train'").drop("role"), tagged.where("role = 'val'").drop("role"))]
+    return [chronological(df, [c.period, c.entity], cv.get("test_size", 0.2), gap)]
 
 
 def _algorithm(config: dict) -> tuple[str, dict]:
@@ -89,7 +103,7 @@ def prepare(train: DataFrame, config: dict, c: Columns) -> tuple[PipelineModel,
             raise ValueError(f"smote takes numeric columns only, not {vector_columns(ready)}; use class weights")
         ready = ready.withColumn("_key", F.xxhash64(*c.keys))
         ready = smote(ready.select("_key", c.label, *features), features, "_key", c.label,
-                      s.get("sampling_strategy", 0.1), s.get("k_neighbors", 5), s.get("random_state", 42))
+                      s.get("sampling_strategy", 0.1), s.get("k_neighbors"), s.get("random_state", 42))
         ready = materialize(ready.select(c.label, *features), "rebalanced")
     elif imbalance.get("method") == "class_weight":
         ready = class_weights(ready, c.label)
@@ -154,12 +168,32 @@ def _weight(config: dict) -> str | None:
     return "weight" if config.get("imbalance", {}).get("method") == "class_weight" else None
 
 
+@dataclass
+class _Trials:
+    """The values of all trials so far, fold by fold, as trials running side by side report them."""
+    history: dict[int, list[float]] = field(default_factory=dict)
+    finished: int = 0
+    lock: threading.Lock = field(default_factory=threading.Lock)
+
+    def report(self, trial: int, values: list[float]) -> bool:
+        """Record a trial's values; whether it should stop: its mean is below the median of the others at the same fold, after five full trials."""
+        with self.lock:
+            others = [statistics.fmean(h[:len(values)]) for t, h in self.history.items() if t != trial and len(h) >= len(values)]
+            self.history[trial] = list(values)
+            return self.finished >= 5 and bool(others) and statistics.fmean(values) < statistics.median(others)
+
+    def done(self) -> None:
+        with self.lock:
+            self.finished += 1
+
+
 def search(df: DataFrame, config: dict, c: Columns | None = None) -> DataFrame:
     """Seeded random search over algorithms and settings, best trial first.
 
     (trial, algorithm, settings, metric, value, folds, pruned). The preparation of each fold does not
-    depend on the trial and is stored once. A trial is stopped when its running mean falls below the
-    median of the earlier trials at the same fold, after five full trials. Folds on which the metric is
+    depend on the trial and is stored once. ``hpo.parallel`` trials run side by side as jobs of the same cluster, each in a scheduling pool of
+    its own (fair where the session is); settings are drawn before any starts, so they do not depend on it. A trial is stopped when its running mean falls below the
+    median of the other trials at the same fold, as far as they have come, after five full trials. Folds on which the metric is
     undefined are passed over; after ``timeout_sec`` no further trial starts.
     """
     c = c or Columns()
@@ -173,12 +207,15 @@ def search(df: DataFrame, config: dict, c: Columns | None = None) -> DataFrame:
         vectors = VectorAssembler(inputCols=features, outputCol="features")
         folds.append((vectors.transform(materialize(ready, "search-train")),
                       vectors.transform(materialize(pre.transform(val), "search-val"))))
-    history: list[list[float]] = []
-    rows = []
-    for trial in range(int(hpo.get("n_trials", 30))):
-        if limit and rows and time.monotonic() - began > limit:
-            break
-        name, settings = draw_trial(rng, list(hpo.get("algorithms", list(SPACE))))
+    drawn = [draw_trial(rng, list(hpo.get("algorithms", list(SPACE)))) for _ in range(int(hpo.get("n_trials", 30)))]
+    trials = _Trials()
+    spark = df.sparkSession
+
+    def run(trial: int) -> tuple | None:
+        if limit and trials.history and time.monotonic() - began > limit:
+            return None
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{trial}")
+        name, settings = drawn[trial]
         values: list[float] = []
         pruned = False
         for train, val in folds:
@@ -189,16 +226,21 @@ def search(df: DataFrame, config: dict, c: Columns | None = None) -> DataFrame:
             if found is None:
                 continue
             values.append(float(found))
-            mean = statistics.fmean(values)
-            earlier = [statistics.fmean(h[:len(values)]) for h in history if len(h) >= len(values)]
-            if len(history) >= 5 and earlier and mean < statistics.median(earlier):
+            if trials.report(trial, values):
                 pruned = len(values) < len(folds)
                 break
-        history.append(values)
-        rows.append((trial, name, {k: str(v) for k, v in settings.items()}, metric,
-                     statistics.fmean(values) if values else None, len(values), pruned))
-    table = df.sparkSession.createDataFrame(
-        rows, "trial int, algorithm string, settings map<string,string>, metric string, value double, folds int, pruned boolean")
+        trials.done()
+        return (trial, name, {k: str(v) for k, v in settings.items()}, metric, statistics.fmean(values) if values else None, len(values), pruned)
+
+    parallel = max(1, int(hpo.get("parallel", 1)))
+    if parallel == 1:
+        found = [run(i) for i in range(len(drawn))]
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    else:
+        with ThreadPoolExecutor(parallel) as pool:
+            found = list(pool.map(inheritable_thread_target(spark)(run), range(len(drawn))))
+    table = spark.createDataFrame(
+        [r for r in found if r], "trial int, algorithm string, settings map<string,string>, metric string, value double, folds int, pruned boolean")
     return table.orderBy("pruned", F.desc("value"), "trial")
 
 

@@ -9,10 +9,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A lookup table with at most this many rows is broadcast; larger ones take a salted shuffle join.
+# A lookup table with at most this many rows, and bytes of JSON text, is broadcast.
 BROADCAST_ROWS = 200_000
-# Copies of the lookup side in a salted join: one hot key is spread over this many tasks.
-SALTS = 32
+BROADCAST_BYTES = 64 << 20
+# A key that holds more than one part in so many of the rows is hot; there are at most so many of them.
+HOT_SHARE = 256
+# Rows below which no key is worth a join of its own.
+HOT_LEAST = 10_000
 
 _local_dirs: dict[str, str] = {}
 
@@ -56,35 +59,61 @@ def stored_rows(df: DataFrame) -> int | None:
     return df._stored_rows
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows."""
+def quoted(name: str) -> str:
+    """A column name for ``F.col``, also with dots or backticks in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def at_most(df: DataFrame, rows: int, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows that take at most ``size`` bytes as JSON text.
+
+    At most ``rows`` + 1 rows are looked at; a stored table that has more is known to without a look.
+    """
     known = stored_rows(df)
-    return known <= rows if known is not None else df.limit(rows + 1).count() <= rows
+    if known is not None and known > rows:
+        return False
+    text = F.octet_length(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
+    n, total = df.limit(rows + 1).agg(F.count("*"), F.sum(text.cast("long"))).first()
+    return n <= rows and (total or 0) <= size
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE, least: int = HOT_LEAST) -> list[int]:
+    """Hashes of the keys that hold more than 1/``share`` of the rows, and more than ``least``: at most ``share`` numbers.
+
+    One pass in which every task keeps a bounded frequent-items sketch; sketches merge, and miss no such key.
+    """
+    key = F.xxhash64(*[F.col(quoted(c)) for c in on])
+    found = df.select(key.alias("_key")).agg(
+        F.count("*").alias("n"), F.expr(f"approx_top_k(_key, {share}, {32 * share})").alias("top")).first()
+    limit = max(least, found["n"] / share)
+    return sorted(r["item"] for r in found["top"] or [] if r["count"] > limit)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
-    """Equi-join ``left`` with a lookup table whose keys are unique.
+def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", broadcast_rows: int = BROADCAST_ROWS,
+                broadcast_bytes: int = BROADCAST_BYTES, share: int = HOT_SHARE, least: int = HOT_LEAST) -> DataFrame:
+    """Equi-join ('left', 'inner', 'left_semi', 'left_anti') ``left`` with a lookup table whose keys are unique.
 
-    The lookup's row count is checked first. Within ``broadcast_rows`` it is broadcast and the
-    left side does not move. Beyond it both sides are shuffled on (key, salt), so that one key
-    holding a large share of the left rows is spread over ``salts`` tasks. Null keys never match.
+    The lookup's rows and bytes are checked first. Within the limits it is broadcast and the left side does not move. Beyond them a
+    sketch over the left keys names the hot ones: rows that hold one, equal or not, stay where they are and meet the few lookup rows of hot
+    keys, which are broadcast; all other rows are shuffled on the key, once. Null keys never match.
     """
     on = list(on)
-    if at_most(right, broadcast_rows):
+    if at_most(right, broadcast_rows, broadcast_bytes):
         return left.join(F.broadcast(right), on, how)
-    # The salt is a function of the row, so a recomputed task sends every row to the same place.
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    hot = hot_keys(left, on, share, least)
+    if not hot:
+        return left.join(right, on, how)
+    is_hot = F.xxhash64(*[F.col(quoted(c)) for c in on]).isin(hot)         # at most ``share`` numbers
+    few, many = right.where(is_hot), right.where(~is_hot)
+    return left.where(~is_hot).join(many, on, how).unionByName(left.where(is_hot).join(F.broadcast(few), on, how))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on columns of the same names in which NULL matches NULL; the keys are kept once."""
-    renamed = right.select(*[F.col(c).alias(f"_right_{c}" if c in on else c) for c in right.columns])
+    renamed = right.select(*[F.col(quoted(c)).alias(f"_right_{c}" if c in on else c) for c in right.columns])
     match = F.lit(True)
     for c in on:
-        match = match & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+        match = match & F.col(quoted(c)).eqNullSafe(F.col(quoted(f"_right_{c}")))
     return left.join(renamed, match, how).drop(*[f"_right_{c}" for c in on])
 
 

@@ -1,19 +1,36 @@
-"""Sources: Parquet, CSV, sampled scans, JSON requests, period coercion. NaN becomes NULL in all of them."""
+"""Sources: Parquet, CSV, sampled scans, JSON requests, period coercion.
+
+NaN becomes NULL in all of them but ``scan_parquet``, whose columns are the file's own, so that filters on them reach the file. The
+operators count NaN as missing wherever they learn, rank or average.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions.rules import nan_to_null
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A file, a directory or a partitioned tree; partition columns come last."""
-    return nan_to_null(spark.read.parquet(path))
+def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A file, a directory or a partitioned tree as it is; partition columns come last."""
+    return spark.read.parquet(path)
+
+
+def read_parquet(spark: SparkSession, path: str, where: str | Column | None = None) -> DataFrame:
+    """The same with NULL for NaN, and only the rows that ``where`` holds for.
+
+    The condition is asked twice: of the file's own columns, where it can be pushed into the scan, and again of the cleaned ones, as NaN
+    is larger than any number to a scan and must not pass as one. It may be false for NULL only, as comparisons are.
+    """
+    raw = scan_parquet(spark, path)
+    if where is None:
+        return nan_to_null(raw)
+    condition = F.expr(where) if isinstance(where, str) else where
+    return nan_to_null(raw.where(condition)).where(condition)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -27,14 +44,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def load_data(spark: SparkSession, path: str, schema: T.StructType | None = None,
               sample_fraction: float = 1.0, key: Sequence[str] = (), seed: int = 42,
-              period: str | None = None) -> DataFrame:
-    """Read by suffix, sample early, coerce the period to a whole number."""
+              period: str | None = None, where: str | Column | None = None) -> DataFrame:
+    """Read by suffix, filter and sample early, coerce the period to a whole number."""
     if path.endswith(".csv"):
         if schema is None:
             raise ValueError("a CSV source needs a schema")
         df = read_csv(spark, path, schema)
+        df = df if where is None else df.where(where)
     else:
-        df = read_parquet(spark, path)
+        df = read_parquet(spark, path, where)
     if sample_fraction < 1.0:
         df = sample_rows(df, sample_fraction, key, seed)
     return coerce_period(df, period) if period else df

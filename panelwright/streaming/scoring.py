@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from panelwright.functions.rules import nan_to_null
+from panelwright.functions.rules import nan_to_null, number
 from panelwright.operators.quality import Rule
 from panelwright.plans.scoring import Scorer, answer
 
@@ -53,14 +53,27 @@ def score_stream(df: DataFrame, scorer: Scorer, keep: Sequence[str], sink: str,
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+LATENCIES = {"latency_p50": 0.5, "latency_p95": 0.95}
+SKETCH = 800             # items of a latency sketch: its ranks are off by about 0.3 percent
+
+
 def health_counters(df: DataFrame, ts: str, is_error: Column | None = None, window: str = "1 hour",
-                    delay: str = "10 minutes", by: Sequence[str] = ()) -> DataFrame:
-    """(window_start, by, processed, errors) per event-time window; late rows within ``delay`` count."""
+                    delay: str = "10 minutes", by: Sequence[str] = (), latency: str | None = None) -> DataFrame:
+    """(window_start, by, processed, errors) per event-time window; late rows within ``delay`` count.
+
+    With a ``latency`` column also its total and its median and 95th percentile: the window's state then holds a sketch of bounded size that
+    merges across tasks and batches. While a window has fewer values than the sketch's items, the percentiles are values of the window.
+    """
     error = F.lit(False) if is_error is None else is_error
+    told = [F.count("*").alias("processed"), F.count_if(error).alias("errors")]
+    names = ["processed", "errors"]
+    if latency is not None:
+        value = number(latency)
+        told += [F.sum(value).alias("latency_total"), F.kll_sketch_agg_double(value, SKETCH).alias("_sketch")]
+        names += ["latency_total", *[F.kll_sketch_get_quantile_double("_sketch", F.lit(p)).alias(n) for n, p in LATENCIES.items()]]
     return (event_time(df, ts).withWatermark(ts, delay)
-            .groupBy(F.window(ts, window).alias("w"), *by)
-            .agg(F.count("*").alias("processed"), F.count_if(error).alias("errors"))
-            .select(F.col("w.start").alias("window_start"), *by, "processed", "errors"))
+            .groupBy(F.window(ts, window).alias("w"), *by).agg(*told)
+            .select(F.col("w.start").alias("window_start"), *by, *names))
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

@@ -101,16 +101,16 @@ def test_row_ordinal_of_copies_is_a_permutation(spark):
     assert out.withColumn("p", F.lag("year").over(w)).where("p > year").count() == 0
 
 
-def test_salted_lookup_equals_broadcast(spark):
+def test_shuffled_lookup_equals_broadcast(spark):
     left = spark.range(300).select((F.col("id") % 5).alias("k"), "id", F.when(F.col("id") % 2 == 0, 0).otherwise(1).alias("h"))
     left = left.withColumn("k", F.when(F.col("id") % 11 == 0, None).otherwise(F.col("k")))
     right = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, v string")
     for how in ("left", "inner"):
         a = lookup_join(left, right, ["k"], how)
-        b = lookup_join(left, right, ["k"], how, broadcast_rows=0, salts=4)
+        b = lookup_join(left, right, ["k"], how, broadcast_rows=0, share=4, least=10)
         key = lambda r: (r["id"], str(r["v"]))
         assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
-    semi = lookup_join(left, right.select("k"), ["k"], "left_semi", broadcast_rows=0, salts=4)
+    semi = lookup_join(left, right.select("k"), ["k"], "left_semi", broadcast_rows=0, share=4, least=10)
     assert semi.count() == left.where("k in (0, 1, 2)").count()
 
 

@@ -49,7 +49,8 @@ def shortest_pack_first(histogram: dict[int, int], room: int = ROOM) -> list[tup
     """[(pattern, count)]: a pattern is ((length, how many), ...), longest first; ``count`` sequences follow it.
 
     Lengths are placed longest first. Each goes into the shortest open packs that hold it, a whole pattern count at a time, and
-    the pattern splits where fewer items than packs are left; several fit into one pack at once. New packs open only when none holds it.
+    the pattern splits where fewer items than packs are left. New packs open only when none holds it; the first takes further items of
+    the length until it is full, as it is then the only one that holds any, then the next, and the last one what is left.
     The work depends on ``room`` alone, never on the counts.
     """
     open_: dict[int, list[list]] = defaultdict(list)                     # used length -> [pattern, count]
@@ -58,7 +59,10 @@ def shortest_pack_first(histogram: dict[int, int], room: int = ROOM) -> list[tup
         while left:
             used = min((u for u, v in open_.items() if v), default=room)
             if used + length > room:
-                open_[length].append([((length, 1),), left])
+                each = room // length
+                for packs, items in ((left // each, each), (1, left % each)):
+                    if packs and items:
+                        open_[items * length].append([((length, items),), packs])
                 break
             pattern, count = open_[used].pop()
             take = min(left, count)

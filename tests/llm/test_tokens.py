@@ -89,6 +89,57 @@ def test_byte_pairs(odd_docs, odd_rows):
     assert all(bytes(r.b).decode() == (r.text or "") for r in back)
 
 
+def item_by_item(histogram, room):
+    """Fill of each pack when one item after the other, longest first, goes to the shortest pack that holds it."""
+    packs, heap = [], defaultdict(list)                                # used -> packs
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            used = min((u for u, ps in heap.items() if ps and u + length <= room), default=None)
+            place = heap[used].pop() if used is not None else len(packs)
+            if used is None:
+                packs.append(0)
+            packs[place] += length
+            heap[packs[place]].append(place)
+    return sorted(packs)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_packing_equals_item_by_item(seed):
+    rnd = np.random.default_rng(seed)
+    room = int(rnd.choice([32, 100, 256]))
+    lengths = rnd.choice(np.arange(1, room + 1), size=int(rnd.integers(1, 9)), replace=False)
+    histogram = {int(n): int(rnd.integers(1, 120)) for n in lengths}
+    patterns = packing.shortest_pack_first(histogram, room)
+    placed = defaultdict(int)
+    for pattern, count in patterns:
+        for n, k in pattern:
+            placed[n] += k * count
+    assert dict(placed) == histogram
+    assert sorted(sum(n * k for n, k in p) for p, c in patterns for _ in range(c)) == item_by_item(histogram, room)
+
+
+@pytest.mark.parametrize("histogram,sequences", [({100: 1000}, 50), ({3: 1000}, 2), ({1024: 1000}, 500), ({300: 50, 40: 3000}, 67), ({1: 2049}, 2)])
+def test_few_lengths_share_packs(histogram, sequences):
+    assert sum(c for _, c in packing.shortest_pack_first(histogram)) == sequences
+
+
+def test_equal_documents_share_sequences(spark):
+    docs = spark.createDataFrame([(i, "word " * 60 + ".") for i in range(300)], "doc_id long, text string")
+    rows = packing.pack(docs).collect()
+    n = rows[0].doc_tokens
+    assert len(rows) == 300 and all(r.doc_tokens == n == r.length for r in rows)
+    used = defaultdict(list)
+    for r in rows:
+        used[r.sequence_id].append((r.offset, r.length, r.padded_length))
+    assert sorted(used) == list(range(-(-300 // (2048 // n))))
+    for parts in used.values():
+        end = 0
+        for offset, length, _ in sorted(parts):
+            assert offset == end
+            end += length
+        assert {p for *_, p in parts} == {end if end & (end - 1) == 0 else 2048}
+
+
 def test_perfect_hash():
     keys = [f"key {i}".encode() for i in range(3000)]
     table = byte_bpe.PerfectHash(keys)

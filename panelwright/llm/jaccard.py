@@ -25,7 +25,10 @@ COUNTERS = 1 << 16       # of the sketch that finds columns shared by very many
 EDGES_PER_TASK = 1 << 20   # of a round of the component search, about
 HOT_SHARE = 0.001        # a column is very common from about this share of the documents on
 
-SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("counter", pa.int32())])
+SHARES = 64              # hash ranges of the columns whose counts bound an overlap before the sets are multiplied
+MOST_COUNT = 255         # of a range in the bound; more counts as no bound
+
+SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("counter", pa.int32()), ("shares", pa.binary())])
 KEYS = pa.schema([("key", pa.int64()), ("s1", pa.int64())])
 GROUPS = pa.schema([("key", pa.int64()), ("a1", pa.int64()), ("b1", pa.int64()), ("place", pa.int32())])
 
@@ -59,8 +62,31 @@ def _counter(gram: np.ndarray) -> np.ndarray:
     return (mix(gram, 15) >> np.uint64(48)).astype(np.int64)
 
 
+def _shares(row: np.ndarray, gram: np.ndarray, rows: int) -> list[bytes]:
+    """Per row how many of its columns lie in each of ``SHARES`` hash ranges, a byte each."""
+    cell = row * SHARES + (mix(gram, 16) >> np.uint64(58)).astype(np.int64)
+    count = np.minimum(np.bincount(cell, minlength=rows * SHARES), MOST_COUNT).astype(np.uint8).reshape(rows, SHARES)
+    return [c.tobytes() for c in count]
+
+
+def _within(percent: int):
+    """Of each batch of pairs those whose overlap can still reach its bound: it is at most the sum of the smaller counts of each range."""
+
+    def run(stream):
+        for batch in stream:
+            n = len(batch)
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(n, SHARES) for c in ("ca", "cb"))
+            na, nb = batch.column("na").to_numpy().astype(np.int64), batch.column("nb").to_numpy().astype(np.int64)
+            low = np.minimum(a, b)
+            most = np.where((low == MOST_COUNT).any(axis=1), np.minimum(na, nb), low.sum(axis=1, dtype=np.int64))
+            keep = pa.array((most >= -(-percent * (na + nb) // (100 + percent))))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+
+    return run
+
+
 def _sets(size: int):
-    """Per document its set size and 128-bit digest; at the end of a partition how many of its sets fall on each counter (n)."""
+    """Per document its set size, 128-bit digest and counts by hash range; at the end of a partition how many of its sets fall on each counter (n)."""
 
     def run(stream):
         total = np.zeros(COUNTERS, np.int64)
@@ -71,10 +97,12 @@ def _sets(size: int):
                 total += np.bincount(_counter(gram), minlength=COUNTERS)
                 columns = [batch.column("doc_id").slice(a, e - a), np.diff(first).astype(np.int32),
                            _totals(mix(gram, 1), first).view(np.int64), _totals(mix(gram, 2), first).view(np.int64)]
-                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.nulls(e - a, pa.int32())], schema=SETS)
+                yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.nulls(e - a, pa.int32()),
+                                                  pa.array(_shares(row, gram, e - a), pa.binary())], schema=SETS)
         used = np.flatnonzero(total)
         none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.nulls(len(used), pa.int32()), pa.array(total[used]), none, pa.array(used, pa.int32())], schema=SETS)
+        yield pa.RecordBatch.from_arrays([none, pa.nulls(len(used), pa.int32()), pa.array(total[used]), none, pa.array(used, pa.int32()),
+                                          pa.nulls(len(used), pa.binary())], schema=SETS)
 
     return run
 
@@ -314,7 +342,9 @@ def components(edges: DataFrame, s: Scratch) -> DataFrame:
         if not bad:
             break
         # A round at most doubles the edges. They are written in parts of some size, however many shuffle partitions there are.
+        before = s.tables
         e = s.store(star(star(e, True), False).coalesce(max(cores, 2 * n // EDGES_PER_TASK)))
+        s.drop(before)
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
@@ -355,23 +385,25 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
     """
     spark, rows = docs.sparkSession, docs.select("doc_id", "text")
     with Scratch(spark, "jaccard") as s:
-        told = s.store(rows.mapInArrow(_sets(size), "doc_id long, n int, s1 long, s2 long, counter int"))
-        sets = told.where("counter is null").drop("counter")
+        told = s.store(rows.mapInArrow(_sets(size), "doc_id long, n int, s1 long, s2 long, counter int, shares binary"))
+        sets = told.where("counter is null").drop("counter", "shares")
         common = spark.sparkContext.broadcast(common_counters(told))       # COUNTERS flags
-        classes = s.store(sets.where("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(
-            F.min("doc_id").alias("node"), F.min("n").alias("n")))
+        classes = s.store(told.where("counter is null and n > 0 and doc_id is not null").groupBy("s1", "s2").agg(
+            F.min("doc_id").alias("node"), F.min("n").alias("n"), F.min("shares").alias("shares")))
         keys = rows.where("doc_id is not null").mapInArrow(_keys(size, percent, common), "key long, s1 long")
         found = s.store(keys.repartition("key").sortWithinPartitions("key", "s1").mapInArrow(
             _groups(), "key long, a1 long, b1 long, place int"))
+        found_at = s.tables
 
         def side(c: str) -> DataFrame:
-            return classes.select(F.col("s1").alias(f"{c}1"), F.col("node").alias(c), F.col("n").alias(f"n{c}"))
+            return classes.select(F.col("s1").alias(f"{c}1"), F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("shares").alias(f"c{c}"))
 
         fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
         pairs = s.store(found.where("place is null").select("a1", "b1").distinct().join(side("a"), "a1").join(side("b"), "b1")
-                        .where(fits).select("a", "b"))
+                        .where(fits).select("a", "b", "na", "nb", "ca", "cb").mapInArrow(_within(percent), "a long, b long"))
         members = s.store(found.where("place is not null").join(side("a"), "a1").select(
             "key", F.col("a").alias("node"), (F.col("place") < LEADERS).alias("used")))
+        s.drop(found_at)
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(members.select("node"))
         grams = s.store(rows.join(nodes.distinct(), rows.doc_id == F.col("node"), "left_semi").mapInArrow(
             _grams(size), "node long, grams binary"))
@@ -390,7 +422,7 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
             # The components found so far stand for all links they came from.
             known = found_in.select(F.col("node").alias("a"), F.col("component").alias("b"))
             found_in = s.store(components(known.unionByName(late), s)) if not late.isEmpty() else found_in
-        whole = sets.join(classes.drop("n"), ["s1", "s2"], "left").join(found_in, "node", "left")
+        whole = sets.join(classes.drop("n", "shares"), ["s1", "s2"], "left").join(found_in, "node", "left")
         return s.result(whole.select(
             "doc_id", F.col("n").cast("long").alias("n_shingles"),
             F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id")).alias("component_id")))

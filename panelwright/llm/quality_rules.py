@@ -10,18 +10,18 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import table
+from panelwright.llm.common import table, whole_rows
 from panelwright.llm.words import SLICE_BYTES, Words, covered, slices, windows
 
 CHUNK = 4096             # bytes of a fixed chunk; the last one of a text may be shorter
-LEAST = 256              # texts or last chunks below this size have no meaningful ratio and are not judged by it
+LEAST = 256              # a last chunk below this size says little: it is judged as part of the one before it
 LEVEL = 3
 
 # (size up to, lowest ratio, highest ratio) of original to compressed bytes. Longer texts share more, so the band moves up
 # with the size. Below the band a text is incompressible (random strings, encoded data), above it repetitive.
-BANDS = ((512, 1.15, 2.9), (1024, 1.25, 3.3), (2048, 1.4, 3.6), (4096, 1.5, 4.2), (16384, 1.6, 5.0), (65536, 1.7, 6.0),
+BANDS = ((255, 1.2, 2.6), (512, 1.15, 2.9), (1024, 1.25, 3.3), (2048, 1.4, 3.6), (4096, 1.5, 4.2), (16384, 1.6, 5.0), (65536, 1.7, 6.0),
          (float("inf"), 1.7, 8.0))
-CHUNK_BANDS = BANDS[:4]
+CHUNK_BANDS = BANDS[:5]
 BAD_CHUNKS = 0.3         # share of a text's judged chunks outside their band from which the text goes
 
 _SYMBOL = np.zeros(256, bool)
@@ -44,20 +44,21 @@ def ratio(press: zstandard.ZstdCompressor, data: bytes) -> float:
 
 
 def _compression(press: zstandard.ZstdCompressor, data: bytes) -> tuple[float | None, int, int, bool]:
-    """Whole-text ratio, judged chunks, chunks outside their band, and whether the text passes both rules."""
-    if len(data) < LEAST:
+    """Whole-text ratio, chunks, chunks outside their band, and whether the text passes both rules. An empty text has no ratio and passes."""
+    if not data:
         return None, 0, 0, True
     whole = ratio(press, data)
     low, high = band(len(data))
     passes = low <= whole <= high
     judged = bad = 0
     if len(data) > CHUNK:
-        for at in range(0, len(data), CHUNK):
-            part = data[at:at + CHUNK]
-            if len(part) >= LEAST:
-                low, high = band(len(part), CHUNK_BANDS)
-                judged += 1
-                bad += not low <= ratio(press, part) <= high
+        ends = [*range(CHUNK, len(data), CHUNK), len(data)]
+        if ends[-1] - ends[-2] < LEAST:
+            del ends[-2]
+        for at, end in zip([0, *ends], ends, strict=False):
+            low, high = band(min(end - at, CHUNK), CHUNK_BANDS)
+            judged += 1
+            bad += not low <= ratio(press, data[at:end]) <= high
     return whole, judged, bad, passes and bad < max(1, BAD_CHUNKS * judged)
 
 
@@ -121,9 +122,12 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns."""
-    return (docs.select(F.struct(*docs.columns).alias("_row"), judged(F.col("text")).alias("_q"))
-            .where("_q.kept").select("_row.*"))
+    """The rows of ``docs`` that pass, with all their columns.
+
+    Null and empty texts fail the base rules and go; rows are judged one by one, so repeated rows stay or go together, null ids change nothing, and
+    columns of any other name are kept as they are. An empty table stays empty.
+    """
+    return whole_rows(docs, judged(F.col("text"))).where("_value.kept").select("_row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

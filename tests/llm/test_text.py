@@ -148,10 +148,12 @@ def test_kept_against_zstandard(spark, odd_rows):
             low, high = next((lo, hi) for most, lo, hi in bands if len(part) <= most)
             return low <= len(part) / len(zstandard.ZstdCompressor(level=3).compress(part)) <= high
 
-        if len(data) < 256:
+        if not data:
             return True
         parts = [data[at:at + 4096] for at in range(0, len(data), 4096)] if len(data) > 4096 else []
-        judged = [inside(p, quality_rules.BANDS[:4]) for p in parts if len(p) >= 256]
+        if parts and len(parts[-1]) < 256:                       # a short end belongs to the chunk before it
+            parts[-2:] = [parts[-2] + parts[-1]]
+        judged = [inside(p, quality_rules.BANDS) if len(p) <= 4096 else 1.5 <= len(p) / len(zstandard.ZstdCompressor(level=3).compress(p)) <= 4.2 for p in parts]
         return inside(data, quality_rules.BANDS) and judged.count(False) < max(1, 0.3 * len(judged))
 
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -162,6 +164,22 @@ def test_kept_against_zstandard(spark, odd_rows):
     assert {r.doc_id for r in quality_rules.passing(docs).collect()} == {i for i, k in want.items() if k}
 
 
+def test_short_texts_are_judged_too(spark):
+    """Fifty words fit in 99 bytes; such texts have a band of their own."""
+    import random
+
+    rnd = random.Random(3)
+    prose = " ".join(rnd.choice("the of and to in is it he was for on are as with his at be by or".split()) for _ in range(58))
+    noise = " ".join("".join(chr(rnd.randrange(33, 127)) for _ in range(3)) for _ in range(60))
+    loop = ("ab cd ef " * 25).strip()
+    more = "".join(chr(rnd.randrange(97, 110)) if rnd.random() < 0.8 else " " for _ in range(4096 + 100))
+    docs = spark.createDataFrame([(1, prose), (2, noise), (3, loop), (4, more)], "doc_id long, text string")
+    got = by_id(docs.select("doc_id", quality_rules.judged(docs["text"]).alias("q")).select("doc_id", "q.*"))
+    assert max(len(x) for x in (prose, noise, loop)) < 256
+    assert 1.2 <= got[1].ratio <= 2.6 and got[1].kept and got[2].ratio < 1.2 and not got[2].kept and not got[3].kept and got[3].ratio > 2.6
+    assert got[4].n_chunks == 1
+
+
 def test_bands_tell_noise_and_repetition_from_prose(spark):
     import random
 

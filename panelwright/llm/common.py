@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.runtime import new_path
+from panelwright.runtime import new_path, quoted
 from panelwright.sources.readers import read_parquet
 
 PLACED_ROWS = 200_000        # rows of one range of a global order, about
@@ -122,6 +122,17 @@ def train_row(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 != 1, F.lit(False))
 
 
+def whole_rows(docs: DataFrame, value: Column) -> DataFrame:
+    """(_row, _value): each row as one struct, whatever its columns are called, and a value of it."""
+    return docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"), value.alias("_value"))
+
+
+def labelled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, label, text) of the chosen ids: one row each, the smallest of its texts, so repeated rows neither multiply nor depend on their order."""
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")                    # the sample's documented size
+    return found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text"))
+
+
 def labelled_sample(labels: DataFrame, label: str, per_class: int, keep: Sequence[int] = (0, 1)) -> DataFrame:
     """At most ``per_class`` training rows of each class, chosen by a hash of the id: (doc_id, label).
 

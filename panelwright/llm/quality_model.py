@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import labelled_sample, table, train_row
+from panelwright.llm.common import labelled_sample, labelled_texts, table, train_row, whole_rows
 from panelwright.llm.words import SPLIT, Words, mix, slices
 
 BUCKETS = 1 << 14        # units (runs of letters and digits, or of signs) share this many hashed vectors
@@ -175,8 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
             yield pa.array(list(_pool(t, *sent.value)), pa.list_(pa.float32()))
 
     sizes = {r["label"]: r["count"] for r in labels.where(train_row()).select(F.col(label).alias("label")).groupBy("label").count().collect()}
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")                       # at most 2 x per_class ids
-            .select("doc_id", "label", F.arrow_udf(pooled, "array<float>")("text").alias("x")).toArrow())
+    rows = (labelled_texts(docs, chosen).select("doc_id", "label", F.arrow_udf(pooled, "array<float>")("text").alias("x")).toArrow())        # INPUTS numbers for at most 2 x per_class ids
     sent.unpersist()
     order = np.lexsort((mix(rows["doc_id"].to_numpy().astype(np.uint64), 3),))
     x = np.array(rows["x"].combine_chunks().flatten().to_numpy(), float).reshape(-1, INPUTS)[order] if rows.num_rows else np.zeros((0, INPUTS))
@@ -208,10 +207,13 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` predicted to be of good quality, with all their columns."""
+    """The rows of ``docs`` predicted to be of good quality, with all their columns.
+
+    Null and empty texts get the score of a text without words. Rows are scored one by one: repeated rows stay or go together, null ids change
+    nothing, columns of any other name are kept as they are. An empty table stays empty; without labels all rows stay.
+    """
     model = fit(docs, labels)
-    score = scored(docs.sparkSession, model, F.col("text"))
-    return docs.select(F.struct(*docs.columns).alias("_row"), score.alias("_s")).where("_s >= 0.5").select("_row.*")
+    return whole_rows(docs, scored(docs.sparkSession, model, F.col("text"))).where("_value >= 0.5").select("_row.*")
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

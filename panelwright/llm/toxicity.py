@@ -7,12 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import labelled_sample, table, train_row
+from panelwright.llm.common import labelled_sample, labelled_texts, table, train_row
 from panelwright.llm.words import SPLIT, Words, mix, slices
 
 BITS = 20
+MOST_FEATURES = 12_000_000   # distinct features of a class's training texts, four bytes each
 PER_CLASS = 6_000        # labelled rows of each class to fit on, at most
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.5       # chosen on training rows: rare features stay at zero
 EPOCHS = 4
@@ -62,9 +64,13 @@ def train(samples: list[np.ndarray], y: np.ndarray, share: np.ndarray) -> tuple[
     return used[w != 0], w[w != 0], float(bias)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> tuple[np.ndarray, np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS,
+        most_features: int = MOST_FEATURES) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights from at most ``per_class`` labelled training rows of each class (their whole texts), in an order set by id hashes.
 
+    Rows of a class beyond its first ``most_features`` features in hash order are not learnt from, so 8 x ``most_features`` bytes reach the driver at
+    most. An id that several rows share counts once, with the smallest of its texts.
+
     Both classes weigh the same, so a score is the probability under an even prior.
     """
     chosen = labelled_sample(labels, label, per_class)
@@ -78,8 +84,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
             bound = np.searchsorted(np.concatenate(row), np.arange(len(t) + 1))
             yield pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(np.concatenate(cell)))
 
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.arrow_udf(extract, "array<int>")("text").alias("x"))
-            .toArrow())
+    found = labelled_texts(docs, chosen).select("doc_id", "label", F.arrow_udf(extract, "array<int>")("text").alias("x"))
+    so_far = W.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").rowsBetween(W.unboundedPreceding, 0)   # per_class rows
+    rows = found.withColumn("_sum", F.sum(F.size("x").cast("long")).over(so_far)).where(F.col("_sum") <= most_features).drop("_sum").toArrow()
     if not rows.num_rows:
         return np.zeros(0, np.int64), np.zeros(0), 0.0
     x = rows["x"].combine_chunks()

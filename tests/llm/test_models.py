@@ -65,3 +65,60 @@ def test_no_rows_and_no_labels(corpus, no_docs):
     assert toxicity.score_toxicity(no_docs, labels).count() == 0
     assert {r.score for r in quality_model.score_quality(docs, none).collect()} != set()
     assert {r.score for r in toxicity.score_toxicity(docs, none).collect()} == {0.5}
+
+
+def plain_weights(samples, y, share):
+    """FTRL-proximal, one coordinate after the other."""
+    z, n, zb, nb, bias = {}, {}, 0.0, 0.0, 0.0
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= toxicity.L1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * toxicity.L1) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for cells, label, s in zip(samples, y, share, strict=True):
+            w = {i: weight(i) for i in cells}
+            total = max(-35.0, min(35.0, sum(w.values()) + bias))
+            g = s * (1 / (1 + np.exp(-total)) - label)
+            for i in cells:
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((old + g * g) ** 0.5 - old ** 0.5) / toxicity.ALPHA * w[i]
+                n[i] = old + g * g
+            zb += g - ((nb + g * g) ** 0.5 - nb ** 0.5) / toxicity.ALPHA * bias
+            nb += g * g
+            bias = -zb / ((toxicity.BETA + nb ** 0.5) / toxicity.ALPHA)
+    return {i: weight(i) for i in z if weight(i)}, bias
+
+
+def test_weights_equal_plain_ftrl():
+    rnd = random.Random(1)
+    samples = [np.unique([rnd.randrange(40) for _ in range(rnd.randint(0, 12))]).astype(int) for _ in range(120)]
+    y = np.array([float(3 in s or 7 in s) for s in samples])
+    share = np.where(y == 1, 1.5, 0.75)
+    used, weights, bias = toxicity.train(samples, y, share)
+    want, want_bias = plain_weights([s.tolist() for s in samples], y, share)
+    assert set(used.tolist()) == set(want) and abs(bias - want_bias) < 1e-9
+    assert all(abs(w - want[i]) < 1e-9 for i, w in zip(used.tolist(), weights, strict=True))
+
+
+@pytest.mark.parametrize("model", [quality_model, toxicity])
+def test_repeated_rows_are_learnt_once(corpus, spark, model):
+    """An id that many rows share counts once, in whatever order the rows come."""
+    docs, labels = corpus
+    again = docs.where("doc_id in (0, 1, 2, 15)")
+    more = docs
+    for _ in range(5):
+        more = more.unionByName(again)
+    score = model.score_quality if model is quality_model else model.score_toxicity
+    if model is toxicity:                                                  # its features do not depend on the corpus
+        a, b = ({r.doc_id: r.score for r in score(d, labels).collect()} for d in (docs, more.repartition(7)))
+        assert a == b
+    assert score(more, labels).count() == more.count()
+
+
+def test_the_sample_is_bounded_in_features(corpus):
+    docs, labels = corpus
+    used, _, _ = toxicity.fit(docs, labels, most_features=2000)
+    everything, _, _ = toxicity.fit(docs, labels)
+    assert 0 < len(used) < len(everything)

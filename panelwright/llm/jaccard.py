@@ -11,20 +11,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.llm.common import Scratch, batches, table
 from panelwright.llm.words import Words, mix, slices, spans
 
 LEADERS = 1              # members of a block's group that all others are paired with at once
-CELL_A, CELL_B = 256, 2048   # rows of the two sides of one block of the product over a crowded group
+CELL_A, CELL_B = 1024, 2048  # rows of the two sides of one block of the product over a crowded group
 COLUMNS = 2048           # columns of it that are multiplied at a time
 RANGES = 4               # column ranges of the accumulation
 COUNTERS = 1 << 16       # of the sketch that finds columns shared by very many rows
 EDGES_PER_TASK = 1 << 20   # of a round of the component search, about
 HOT_SHARE = 0.001        # a column is very common from about this share of the documents on
 
+MOST_BITS = 27           # of the bitmap that spares other documents' texts a shuffle: 16 MB
 SHARES = 64              # hash ranges of the columns whose counts bound an overlap before the sets are multiplied
 MOST_COUNT = 255         # of a range in the bound; more counts as no bound
 
@@ -234,6 +235,35 @@ def _groups():
     return run
 
 
+def _slot(doc: str, bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(doc, F.lit(23)), 64 - bits)
+
+
+def flags_of(nodes: DataFrame, count: int) -> tuple[int, np.ndarray]:
+    """(bits, words): a bitmap in which the slots of all nodes are set, 16 or more slots a node up to 2^``MOST_BITS`` of them.
+
+    It only spares rows a shuffle that are surely no nodes; where it is too small for its nodes it spares fewer. Its words are all that reaches the driver.
+    """
+    bits = min(MOST_BITS, max(10, (16 * count).bit_length()))
+    slot = nodes.select(_slot("node", bits).alias("slot"))
+    words = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(max(1, (1 << bits) >> 6), np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return bits, out
+
+
+def _maybe(flags):
+    """Rows whose slot is set."""
+    def run(stream):
+        words = flags.value.view(np.uint64)
+        for batch in stream:
+            slot = batch.column("slot").to_numpy()
+            keep = (words[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(keep == 1)).select(["doc_id", "text"])
+
+    return run
+
+
 def _grams(size: int):
     def of(batch: pa.RecordBatch):
         for a, e, raw, off in slices(batch.column("text")):
@@ -405,8 +435,11 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
             "key", F.col("a").alias("node"), (F.col("place") < LEADERS).alias("used")))
         s.drop(found_at)
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(members.select("node"))
-        grams = s.store(rows.join(nodes.distinct(), rows.doc_id == F.col("node"), "left_semi").mapInArrow(
-            _grams(size), "node long, grams binary"))
+        nodes = s.store(nodes.distinct())
+        bits, words = flags_of(nodes, nodes.count())
+        flags = spark.sparkContext.broadcast(words)                        # at most 2^MOST_BITS bits
+        likely = rows.where("doc_id is not null").withColumn("slot", _slot("doc_id", bits)).mapInArrow(_maybe(flags), "doc_id long, text string")
+        grams = s.store(likely.join(nodes, likely["doc_id"] == nodes["node"], "left_semi").mapInArrow(_grams(size), "node long, grams binary"))
 
         def own(side: str) -> DataFrame:
             return grams.select(F.col("node").alias(side), F.col("grams").alias(f"g{side}"))
@@ -429,9 +462,12 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
 
 
 def one_of_each(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group (all columns); rows with a null doc_id stay."""
-    first = similar_groups(docs, size, percent).where("doc_id <> component_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that are the first of their group (all columns); rows with a null doc_id stay.
+
+    Rows that share a doc_id are one document, and go if any of their texts is linked to a smaller id.
+    """
+    gone = similar_groups(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import Scratch, batches, table
+from panelwright.llm.common import Scratch, batches, table, whole_rows
 from panelwright.llm.words import Words, lowest, slices, spans, windows
 
 RUNS = pa.schema([("anchor", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("doc_id", pa.int64()),
@@ -125,11 +125,15 @@ def _digests(window: int):
 
 
 def _rewrite(window: int):
+    """Whole rows, held as one struct each, with the repeats taken out of their text."""
+
     def run(stream):
         for batch in stream:
-            names = [c for c in batch.schema.names if c != "_runs"]
-            for a, e, _, removed, texts in _kept(batch, window):
-                part = batch.slice(a, e - a)
+            rows = pa.RecordBatch.from_struct_array(batch.column("_row"))
+            names = rows.schema.names
+            marked = pa.RecordBatch.from_arrays([rows.column("text"), batch.column("_runs")], ["text", "_runs"])
+            for a, e, _, removed, texts in _kept(marked, window):
+                part = rows.slice(a, e - a)
                 old = part.column("text")
                 new = pa.array([texts[k].decode() if removed[k] else old[k].as_py() for k in range(e - a)], pa.string())
                 yield pa.RecordBatch.from_arrays([new if c == "text" else part.column(c) for c in names], names)
@@ -189,7 +193,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, start: int = 25) -> DataFr
     """
     with Scratch(docs.sparkSession, "substring") as s:
         runs = removals(docs, s, window, start)
-        joined = docs.join(runs, "doc_id", "left").select(*docs.columns, "_runs")
+        joined = whole_rows(docs, F.col("doc_id")).join(runs, F.col("_value") == F.col("doc_id"), "left").select("_row", "_runs")
         return s.result(joined.mapInArrow(_rewrite(window), docs.schema))
 
 

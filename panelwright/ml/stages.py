@@ -132,9 +132,9 @@ class _MapReader(MLReader):
 
 
 class CategoricalEncoder(_Options, Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Encode every text column: 'target_encoding', 'label_encoding' or 'one_hot'."""
+    """Encode every text column: 'target_encoding', 'label_encoding' or 'one_hot'; ``one_hot_output`` is 'columns' or, for any number of values, 'vector'."""
 
-    DEFAULTS = {"method": "target_encoding", "handle_unknown": "ignore", "min_samples_leaf": 20, "cv_folds": 5,
+    DEFAULTS = {"one_hot_output": "columns", "method": "target_encoding", "handle_unknown": "ignore", "min_samples_leaf": 20, "cv_folds": 5,
                 "random_state": 42, "label": "target", "keys": ["patient_id", "year"]}
 
     def _features(self, df: DataFrame) -> list[str]:
@@ -150,7 +150,7 @@ class CategoricalEncoder(_Options, Estimator, DefaultParamsReadable, DefaultPara
         if method == "label_encoding":
             model.tables = {f: materialize(encode.label_map(df, f), "label-map") for f in features}
         elif method == "one_hot":
-            found = {f: encode.categories(df, f) for f in features}
+            found = {f: encode.categories(df, f, self.opt("one_hot_output")) for f in features}
             model.tables = {f: v for f, v in found.items() if isinstance(v, DataFrame)}
             state["categories"] = {f: v for f, v in found.items() if f not in model.tables}
             state["sizes"] = {f: table.count() for f, table in model.tables.items()}
@@ -282,7 +282,7 @@ def build_stages(config: dict, entity: str = "patient_id", period: str = "year",
             features=list(engineering.get("features", [])),
             bounded_entities=bool(engineering.get("bounded_entities", False))))
     enc = engineering.get("categorical_encoding", {})
-    stages.append(CategoricalEncoder(method=enc.get("method", "target_encoding"), cv_folds=enc.get("cv_folds", 5),
+    stages.append(CategoricalEncoder(method=enc.get("method", "target_encoding"), one_hot_output=enc.get("one_hot_output", "columns"), cv_folds=enc.get("cv_folds", 5),
                                      handle_unknown=enc.get("handle_unknown", "ignore"), label=label, keys=keys,
                                      random_state=config.get("random_seed", 42)))
     scaling = engineering.get("scaling", {})

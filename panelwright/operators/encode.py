@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from panelwright.runtime import BROADCAST_ROWS, lookup_join, materialize, safe_div, stored_rows
 
-# Values of a column that become columns of their own; more become one sparse vector.
+# Values of a column that become columns of their own.
 MAX_ONE_HOT = 1_000
 
 
@@ -127,12 +127,19 @@ def label_encode(df: DataFrame, feature: str, table: DataFrame | None = None, un
     return joined.withColumn(out, F.when(F.col("_code").isNotNull(), F.col("_code")).otherwise(missing)).drop("_code")
 
 
-def categories(df: DataFrame, feature: str, limit: int = MAX_ONE_HOT) -> list[str] | DataFrame:
-    """The sorted distinct values as text; a stored (feature, value) map of them when there are more than ``limit``."""
+def categories(df: DataFrame, feature: str, output: str = "columns", limit: int = MAX_ONE_HOT) -> list[str] | DataFrame:
+    """What ``one_hot`` needs: the sorted distinct values as text for 'columns', a stored (feature, value) map of them for 'vector'.
+
+    The output is the caller's choice and does not depend on the data; more than ``limit`` columns are refused, a vector holds any number.
+    """
+    if output not in ("columns", "vector"):
+        raise ValueError(f"unknown one-hot output: {output}")
     text = df.select(F.col(feature).cast("string").alias(feature)).where(F.col(feature).isNotNull())
+    if output == "vector":
+        return materialize(label_map(text, feature), "one-hot-map")
     rows = text.distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        return materialize(label_map(text, feature), "one-hot-map")
+        raise ValueError(f"{feature} has more than {limit} values for columns of their own; choose the vector output")
     return sorted(r[feature] for r in rows)
 
 

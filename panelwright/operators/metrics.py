@@ -10,10 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwright.functions.rules import number
 from panelwright.operators.prefix import ROWS_PER_RANGE, running_sums
-from panelwright.runtime import div0, materialize, null_safe_join, safe_div
+from panelwright.runtime import div0, materialize, null_safe_join, quoted, safe_div
 
 
 def score_histogram(df: DataFrame, label: str = "label", score: str = "score", pred: str | None = "pred",
@@ -156,6 +157,20 @@ def slice_metrics(df: DataFrame, dimensions: Sequence[str], label: str = "label"
     return classification_metrics(long, label, score, pred, ("dimension", "slice"), min_rows, rows_per_range)
 
 
+def missing_impact(df: DataFrame, features: Sequence[str], **options) -> DataFrame:
+    """(cases, all metrics): rows whose ``features`` are all there ('complete') against the others ('incomplete') and all of them ('all')."""
+    gaps = F.lit(False)
+    for c in features:
+        gaps = gaps | number_or_null(df, c).isNull()
+    both = df.withColumn("cases", F.explode(F.array(F.lit("all"), F.when(gaps, "incomplete").otherwise("complete"))))
+    return classification_metrics(both, by=["cases"], **options)
+
+
+def number_or_null(df: DataFrame, column: str) -> Column:
+    """The column, with NULL for NaN where it can hold one."""
+    return number(column) if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)) else F.col(quoted(column))
+
+
 def top_categories(df: DataFrame, column: str, n: int = 5) -> DataFrame:
     """The n most frequent values (ties by value), with their counts."""
     return (df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))

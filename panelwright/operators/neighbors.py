@@ -17,10 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelwright.runtime import materialize
+from panelwright.functions.rules import number
+from panelwright.runtime import lookup_join, materialize, stored_rows
 
 BLOCK = 4_096
 MAX_PIVOTS = 1_024
+SAMPLE = 512             # rows that give the scale of distances
+MEASURED = 1 << 22       # numbers of one array of vector differences, about
 
 
 def as_vector(df: DataFrame, features: Sequence[str] | str) -> Column:
@@ -30,13 +33,19 @@ def as_vector(df: DataFrame, features: Sequence[str] | str) -> Column:
     return F.array(*[F.col(c).cast("double") for c in features])
 
 
+def complete_points(df: DataFrame, key: str, features: Sequence[str] | str) -> DataFrame:
+    """(id, x) of the rows whose vector is there and holds numbers only."""
+    points = df.select(F.col(key).cast("long").alias("id"), as_vector(df, features).alias("x"))
+    return points.where(F.coalesce(F.col("id").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda v: number(v).isNotNull()), F.lit(False)))
+
+
 def nearest_neighbors(df: DataFrame, key: str, features: Sequence[str] | str, k: int = 5, pivots: int | None = None,
                       block: int = BLOCK) -> DataFrame:
     """(key, neighbor, distance, rank) with the k nearest other rows of every row; ties by key.
 
-    ``key`` is a unique whole number.
+    ``key`` is a unique whole number; rows without a complete vector take no part. In many dimensions see ``bucketed_neighbors``.
     """
-    points = materialize(df.select(F.col(key).cast("long").alias("id"), as_vector(df, features).alias("x")), "points")
+    points = materialize(complete_points(df, key, features), "points")
     n = points.count()
     count = pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(n) / 4)))
     sample = points.orderBy(F.xxhash64("id"), "id").limit(count).collect()          # at most MAX_PIVOTS rows
@@ -116,6 +125,7 @@ def _routes(celled: DataFrame, centers: np.ndarray, k: int):
 
 
 def _search(k: int):
+    """Per query of a block its ``k`` nearest candidates by exact distance, ties to the smaller id."""
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbor": pd.Series(dtype="int64"),
                               "distance": pd.Series(dtype="float64")})
@@ -133,17 +143,119 @@ def _search(k: int):
             # The product form is off by rounding: everything near the k-th value is measured again.
             kth = np.partition(rough, keep - 1, axis=1)[:, keep - 1]
             near = rough <= (kth + 1e-9 * (1.0 + xx + yy.max()))[:, None]
-            for r in range(len(part)):
-                at = np.flatnonzero(near[r])
-                at = at[cid[at] != qid[start + r]]
-                exact = np.sqrt(((y[at] - part[r]) ** 2).sum(axis=1))
-                order = np.lexsort((cid[at], exact))[:k]
-                ids.append(np.full(len(order), qid[start + r]))
-                others.append(cid[at][order])
-                dists.append(exact[order])
+            most = int(near.sum(axis=1).max())
+            step = max(1, MEASURED // (most * x.shape[1] + 1))
+            for at in range(0, len(part), step):
+                own, mask = part[at:at + step], near[at:at + step]
+                pick = np.argpartition(rough[at:at + step], most - 1, axis=1)[:, :most]
+                exact = np.sqrt(((y[pick] - own[:, None, :]) ** 2).sum(axis=2))
+                other = cid[pick]
+                exact[~np.take_along_axis(mask, pick, 1) | (other == qid[start + at:start + at + len(own), None])] = np.inf
+                order = np.lexsort((other, exact))[:, :k]
+                other, exact = np.take_along_axis(other, order, 1), np.take_along_axis(exact, order, 1)
+                r, j = np.nonzero(np.isfinite(exact))
+                ids.append(qid[start + at + r])
+                others.append(other[r, j])
+                dists.append(exact[r, j])
         if not ids:
             return empty
         return pd.DataFrame({"id": np.concatenate(ids), "neighbor": np.concatenate(others),
                              "distance": np.concatenate(dists)})
 
     return search
+
+
+# ---- many dimensions: buckets of random projections
+
+def collision(distance: float, width: float) -> float:
+    """The chance that two rows at this distance share the cell of one random projection cut into cells of this width."""
+    if distance <= 0:
+        return 1.0
+    c = width / distance
+    tail = 0.5 * math.erfc(c / math.sqrt(2.0))
+    return 1.0 - 2.0 * tail - math.sqrt(2.0 / math.pi) / c * (1.0 - math.exp(-c * c / 2.0))
+
+
+def certified_distance(width: float, projections: int, tables: int, miss: float) -> float:
+    """The largest distance at which a row is missed by all tables with a chance of at most ``miss``."""
+    need = 1.0 - miss ** (1.0 / tables)
+    low, high = 0.0, 64.0 * width
+    for _ in range(60):
+        middle = (low + high) / 2.0
+        low, high = (middle, high) if collision(middle, width) ** projections >= need else (low, middle)
+    return low
+
+
+def _keyed(width: float, dimensions: int, projections: int, tables: int, seed: int):
+    rng = np.random.default_rng([seed, dimensions, projections, tables])
+    turn, shift = rng.normal(size=(dimensions, tables * projections)), rng.random(tables * projections)
+    factor = rng.integers(1, 1 << 62, projections, dtype=np.int64) * 2 + 1
+
+    def keyed(batches):
+        for pdf in batches:
+            if len(pdf):
+                x = np.stack(pdf["x"].to_numpy())
+                place = np.floor(x @ turn / width + shift).astype(np.int64).reshape(len(x), tables, projections)
+                with np.errstate(over="ignore"):
+                    bucket = (place * factor).sum(axis=2)                  # equal places, equal buckets; others hardly ever
+                for table in range(tables):
+                    yield pdf.assign(table=np.int32(table), bucket=bucket[:, table])
+
+    return keyed
+
+
+def _in_buckets(points: DataFrame, asked: DataFrame, width: float, dimensions: int, k: int, projections: int, tables: int, block: int, seed: int) -> DataFrame:
+    """(id, neighbor, distance): the nearest of each row asked in each bucket that it lies in; crowded buckets in blocks of limited size."""
+    make = _keyed(width, dimensions, projections, tables, seed)
+    schema = "id long, x array<double>, table int, bucket long"
+    index, queries = (materialize(d.select("id", "x").mapInPandas(make, schema), "buckets") for d in (points, asked))
+    sizes = (index.groupBy("table", "bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("nc"))
+             .join(queries.groupBy("table", "bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("nq")), ["table", "bucket"]))
+    sizes = materialize(sizes, "bucket-sizes")
+
+    def dealt(df: DataFrame, own: str, parts: str, other: str, copies: str) -> DataFrame:
+        joined = lookup_join(df, sizes, ["table", "bucket"], "inner")
+        return joined.select("table", "bucket", "id", "x", F.pmod(F.xxhash64("id"), F.col(parts)).cast("int").alias(own),
+                             F.explode(F.sequence(F.lit(0), F.col(copies) - 1)).alias(other))
+
+    groups = ["table", "bucket", "qb", "cb"]
+    return dealt(queries, "qb", "nq", "cb", "nc").groupBy(*groups).cogroup(dealt(index, "cb", "nc", "qb", "nq").groupBy(*groups)).applyInPandas(
+        _search(k), "id long, neighbor long, distance double")
+
+
+def bucketed_neighbors(df: DataFrame, key: str, features: Sequence[str] | str, k: int = 5, projections: int = 6, tables: int = 8, rounds: int = 6,
+                       miss: float = 0.05, block: int = BLOCK, seed: int = 42) -> DataFrame:
+    """(key, neighbor, distance, rank, certified) with about the k nearest other rows of every row, for many dimensions.
+
+    Rows meet in buckets of ``projections`` random projections cut into cells, in ``tables`` independent tables, and are measured exactly
+    there. A row is certified once its k-th distance is so small that any nearer row would have been missed with a chance of at most ``miss``. Rows that are not
+    go on to a round with wider cells, ``rounds`` of them at most; then they keep what was found, uncertified. The first width comes from the distances
+    within at most SAMPLE rows chosen by hash; everything else covers all rows. ``key`` is a unique whole number; rows without a complete vector take no part.
+    """
+    points = materialize(complete_points(df, key, features), "points")
+    sample = [r["x"] for r in points.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(SAMPLE).collect()]
+    schema = f"`{key}` long, neighbor long, distance double, rank int, certified boolean"
+    if len(sample) < 2:
+        return df.sparkSession.createDataFrame([], schema)
+    x = np.array(sample)
+    apart = np.stack([np.sqrt(((x - r) ** 2).sum(axis=1)) for r in x])
+    near = np.sort(apart, axis=1)[:, min(k, len(x) - 1)]
+    scale = float(np.median(near)) or float(near.max()) or 1.0
+    reach = certified_distance(1.0, projections, tables, miss)
+    width = scale / reach / 2.0
+    open_, best = points, None
+    nearest = Window.partitionBy("id").orderBy("distance", "neighbor")
+    for _ in range(rounds):
+        found = _in_buckets(points, open_, width, x.shape[1], k, projections, tables, block, seed)
+        found = found if best is None else found.unionByName(best.drop("certified"))
+        ranked = found.groupBy("id", "neighbor").agg(F.min("distance").alias("distance")).withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+        limit = F.lit(width * reach)
+        kth = F.max(F.when(F.col("rank") == k, F.col("distance"))).over(Window.partitionBy("id"))
+        told = materialize(ranked.withColumn("certified", F.coalesce(kth <= limit, F.lit(False))), "nearest-so-far")
+        best = told.drop("rank")
+        done = told.where("certified").select("id").distinct()
+        open_ = materialize(points.join(done, "id", "left_anti"), "open")
+        if stored_rows(open_) == 0:
+            break
+        width *= 2.0
+    return told.select(F.col("id").alias(key), "neighbor", "distance", "rank", "certified")

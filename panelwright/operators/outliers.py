@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from panelwright.operators.neighbors import as_vector
 from panelwright.operators.quantiles import exact_quantiles
 from panelwright.operators.scale import scaling_parameters
-from panelwright.runtime import materialize
+from panelwright.runtime import materialize, stored_rows
 
 NODES = "tree int, node int, left int, right int, feature int, cut double, size int"
 
@@ -129,13 +129,14 @@ def score_isolation_forest(df: DataFrame, forest: DataFrame, features: Sequence[
 def isolation_outliers(df: DataFrame, key: str, features: Sequence[str], contamination: float = 0.05, trees: int = 100,
                        sample_size: int = 256, seed: int = 42) -> DataFrame:
     """Standardise, fit, score, and add ``anomaly`` and ``is_outlier`` for the ``contamination`` share
-    of highest scores. ``key`` only drives the sampling. Columns without any value are left out."""
+    of highest scores. ``key`` only drives the sampling. Columns without any value are left out. The input is evaluated once, and stored."""
+    df = materialize(df, "outlier-input")
     parameters = scaling_parameters(df, features)
     features = [c for c in features if c in parameters]
     if not features:
         raise ValueError("no feature has a value")
     x = F.array(*[(F.col(c).cast("double") - a) / w for c, (a, w) in ((c, parameters[c]) for c in features)])
-    n = df.count()
+    n = stored_rows(df)
     prepared = df.withColumn("_x", x)
     forest = fit_isolation_forest(prepared, key, "_x", trees, sample_size, seed)
     scored = materialize(score_isolation_forest(prepared, forest, "_x", min(sample_size, n)).drop("_x"), "anomaly")

@@ -171,6 +171,18 @@ def completeness(df: DataFrame) -> DataFrame:
     return df.agg(safe_div(filled * 100, F.count("*") * len(df.columns)).alias("completeness"))
 
 
+def completeness_flag(df: DataFrame, limit: float = 0.7) -> DataFrame:
+    """(completeness, complete_enough): percent of the cells that are filled, and whether that reaches ``limit``."""
+    return completeness(df).withColumn("complete_enough", F.col("completeness") >= 100 * limit)
+
+
+def missing_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(pattern, n, share): how often which columns are missing together, as a comma list of names; rows without gaps have the empty one."""
+    gaps = F.concat_ws(",", *[F.when(F.col(quoted(c)).isNull(), F.lit(c)) for c in cols])
+    counts = df.groupBy(gaps.alias("pattern")).agg(F.count("*").alias("n"))
+    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
+
+
 def complete_rows(df: DataFrame) -> DataFrame:
     return df.dropna("any")
 

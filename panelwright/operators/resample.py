@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.operators.neighbors import nearest_neighbors
 from panelwright.operators.prefix import rank_cutoff
-from panelwright.runtime import materialize
+from panelwright.runtime import lookup_join, materialize
 
 
 def class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
@@ -34,6 +36,11 @@ def _draw(seed: int, *parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def _between(first: int, width: int) -> Column:
+    """The slots from ``first`` on at the random share of the way."""
+    return F.transform(F.slice("_x", first + 1, width), lambda x, j: x + F.col("_u") * (F.get("_y", j + first) - x))
+
+
 def neighbors_for(rows: int) -> int:
     """Neighbours to draw from when none are configured. One for every 50 rows, at most 3."""
     return min(3, max(1, rows // 50))
@@ -44,7 +51,7 @@ def smote(df: DataFrame, features: Sequence[str], key: str, label: str = "label"
     """Append synthetic minority rows with ``is_synthetic`` = 1.
 
     Each new row lies between a minority row and one of its k nearest minority neighbours, at a
-    random share of the way. New rows are spread evenly over the minority rows; which rows get one
+    random share of the way; vector columns among the features mix slot by slot. New rows are spread evenly over the minority rows; which rows get one
     more, the neighbour and the share depend on the key and the seed only. Columns other than the
     features and the label are NULL in synthetic rows. With ``k`` None the number of rows decides it.
     """
@@ -58,8 +65,12 @@ def smote(df: DataFrame, features: Sequence[str], key: str, label: str = "label"
     k = neighbors_for(n_min + n_maj) if k is None else k
     if n_min <= k:
         raise ValueError(f"{k} neighbours need more than {k} minority rows, found {n_min}")
+    vectors = [f.name for f in df.schema if f.name in features and isinstance(f.dataType, VectorUDT)]
+    held = df.select(*[F.size(vector_to_array(c)).alias(c) for c in vectors]).first().asDict() if vectors else {}
+    width = [held.get(c, 1) for c in features]
+    parts = [vector_to_array(c) if c in vectors else F.array(F.col(c).cast("double")) for c in features]
     small = materialize(df.where(F.col(label) == minority).select(
-        F.col(key).cast("long").alias("_id"), F.array(*[F.col(c).cast("double") for c in features]).alias("_x"),
+        F.col(key).cast("long").alias("_id"), F.concat(*parts).alias("_x"),
         F.xxhash64(F.col(key), F.lit(seed)).alias("_h")), "minority")
     base, extra = divmod(new, n_min)
     more = rank_cutoff(small, [("_h", False), ("_id", False)], extra)
@@ -69,20 +80,21 @@ def smote(df: DataFrame, features: Sequence[str], key: str, label: str = "label"
     drawn = (wanted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
              .withColumn("rank", (F.floor(_draw(seed, F.col("_id"), F.col("_copy"), F.lit("who")) * k) + 1).cast("int")))
     pairs = drawn.join(near.select("_id", "neighbor", "rank"), ["_id", "rank"])
-    partner = small.select(F.col("_id").alias("neighbor"), F.col("_x").alias("_y"))
+    # A row that many others are near to is met by many pairs: the lookup splits them.
+    partner = materialize(small.select(F.col("_id").alias("neighbor"), F.col("_x").alias("_y")), "partners")
     share = _draw(seed, F.col("_id"), F.col("_copy"), F.lit("far"))
-    mixed = pairs.join(partner, "neighbor").select(
+    mixed = lookup_join(pairs, partner, ["neighbor"], "inner").select(
         "_x", "_y", share.alias("_u"))
     types = {f.name: f.dataType for f in df.schema}
     cols = []
     for c in df.columns:
         if c in features:
-            i = list(features).index(c)
-            cols.append((F.col("_x")[i] + F.col("_u") * (F.col("_y")[i] - F.col("_x")[i])).alias(c))
+            i = sum(width[:list(features).index(c)])
+            cols.append((array_to_vector(_between(i, held[c])) if c in vectors else F.col("_x")[i] + F.col("_u") * (F.col("_y")[i] - F.col("_x")[i])).alias(c))
         elif c == label:
             cols.append(F.lit(minority).cast(types[c]).alias(c))
         else:
             cols.append(F.lit(None).cast(types[c]).alias(c))
     synthetic = mixed.select(*cols, F.lit(1).alias("is_synthetic"))
-    doubles = tagged.withColumns({c: F.col(c).cast("double") for c in features})
+    doubles = tagged.withColumns({c: F.col(c).cast("double") for c in features if c not in vectors})
     return doubles.unionByName(synthetic)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,19 +51,25 @@ def cut_marks(df: DataFrame, entity: str, period: str, label: str, gap: int, dis
     disjoint entities, below its entity's first period + gap; so both need one number per row. ``known`` marks
     the periods themselves. Rows without a period play no role.
     """
-    rows = with_first_period(df.select(entity, period, label).where(F.col(period).isNotNull()), entity, period)
     whole = isinstance(df.schema[period].dataType, T.IntegralType)
-    p, first = [F.col(c).cast("long" if whole else "double") for c in (period, "_first")]
-    until = F.when(first.isNotNull(), F.least(p, first + gap)) if disjoint else p
-    y = F.coalesce(F.col(label).cast("double"), F.lit(0.0))
-
-    def mark(at: Column, train: int, val: int, pos: Column, all_pos: Column, known: int) -> Column:
-        return F.struct(at.cast(p_type).alias("at"), F.lit(train).alias("train"), F.lit(val).alias("val"), pos.alias("pos"),
+    p_type, zero, none = "long" if whole else "double", F.lit(0).cast("long"), F.lit(0.0)
+    y = F.coalesce(F.col(label).cast("double"), none)
+    # Rows are counted per entity and period before anything else; the first period is found among those counts.
+    counts = df.where(F.col(period).isNotNull()).groupBy(F.col(entity).alias("_e"), F.col(period).cast(p_type).alias("_p")).agg(
+        F.count("*").alias("_n"), F.sum(y).alias("_y"))
+    p, n, pos = F.col("_p"), F.col("_n"), F.col("_y")
+    if disjoint:                                                        # rows without an entity have no first period
+        counts = counts.withColumn("_first", F.when(F.col("_e").isNotNull(), F.min("_p").over(Window.partitionBy("_e"))))
+        until = F.when(F.col("_first").isNotNull(), F.least(p, F.col("_first") + gap))
+    else:
+        until = p
+
+    def mark(at: Column, train: Column, val: Column, pos: Column, all_pos: Column, known: int) -> Column:
+        return F.struct(at.cast(p_type).alias("at"), train.alias("train"), val.alias("val"), pos.alias("pos"),
                         all_pos.alias("all_pos"), F.lit(known).alias("known"))
 
-    p_type, none = "long" if whole else "double", F.lit(0.0)
-    marks = rows.select(F.inline(F.array(mark(p + gap, 1, 0, none, y, 0), mark(until, 0, 1, y, none, 0),
-                                         mark(p.cast("long"), 0, 0, none, none, 1))))
+    marks = counts.select(F.inline(F.array(mark(p + gap, n, zero, none, pos, 0), mark(until, zero, n, pos, none, 0),
+                                           mark(p.cast("long"), zero, zero, none, none, 1))))
     return materialize(marks.where(F.col("at").isNotNull()).groupBy("at").agg(
         *[F.sum(c).alias(c) for c in ("train", "val", "pos", "all_pos")], F.max("known").alias("known")), "cut-marks")
 

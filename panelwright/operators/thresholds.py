@@ -77,12 +77,28 @@ def youden_threshold(df: DataFrame, label: str = "label", score: str = "score",
                        F.coalesce("objective", F.lit(0.0)).alias("objective"))
 
 
-METHODS = {"f1_optimal": f1_grid_threshold, "precision_recall_curve": pr_threshold,
+# What precision and recall count for in the weighted choice unless told otherwise.
+WEIGHTS = {"precision": 0.3, "recall": 0.7}
+
+
+def weighted_threshold(df: DataFrame, label: str = "label", score: str = "score", weights: dict[str, float] | None = None, **options) -> DataFrame:
+    """The observed score at which the weighted mean of precision and recall is highest; the highest score among equals."""
+    w = weights or WEIGHTS
+    c = curve(df, label, score, **options)
+    total = c.agg(F.sum("pos").alias("p")).scalar()
+    both = w["precision"] + w["recall"]
+    value = (w["precision"] * safe_div(F.col("tp"), F.col("tp") + F.col("fp")) + w["recall"] * safe_div(F.col("tp"), total)) / both
+    best = c.withColumn("v", value).agg(F.max_by("score", F.struct("v", "score")).alias("threshold"), F.max("v").alias("objective"))
+    return _or_default(best)
+
+
+METHODS = {"weighted": weighted_threshold, "f1_optimal": f1_grid_threshold, "precision_recall_curve": pr_threshold,
            "youden_j": youden_threshold}
 
 
 def optimize_threshold(df: DataFrame, method: str = "f1_optimal", label: str = "label",
-                       score: str = "score") -> float:
+                       score: str = "score", **options) -> float:
+    """The threshold of one of the methods; ``options`` are the method's own, such as ``weights``."""
     if method not in METHODS:
         raise ValueError(f"unknown optimization method: {method}")
-    return float(METHODS[method](df, label, score).first()["threshold"])
+    return float(METHODS[method](df, label, score, **options).first()["threshold"])

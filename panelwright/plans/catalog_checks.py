@@ -3,11 +3,11 @@
 from pyspark.sql import functions as F
 
 from panelwright.functions import rules as R
-from panelwright.ml import models
-from panelwright.operators import outliers, profile, select
+from panelwright.ml import models, stages
+from panelwright.operators import outliers, profile, select, split, thresholds
 from panelwright.plans import training
 from panelwright.plans.catalog_model import COLUMNS, CONFIG, stored_panel
-from panelwright.plans.panel import FEATURES, order_panel
+from panelwright.plans.panel import FEATURES, order_panel, scored_panel
 from panelwright.plans.registry import PANEL, query, table
 from panelwright.plans.scoring import model_scorer
 from panelwright.runtime import materialize, new_path
@@ -157,3 +157,36 @@ s AS (SELECT feature, sum(CASE WHEN i = 0 OR i = {_STEPS} THEN 1 WHEN i % 2 = 1
 SELECT feature, greatest(1 - 2 * half, 0.0) AS p_value FROM s""", {"p_value": 5})
 def check_ttest_p_values(spark, sf):
     return profile.two_sample_tests(order_panel(spark, sf), FEATURES).select("feature", "p_value")
+
+
+@query("column_difference", "SELECT unnest(['absent', 'other']) AS feature, unnest(['missing', 'missing']) AS side UNION ALL SELECT unnest(['c_name', 'c_phone']), 'extra'")
+def column_difference(spark, sf):
+    customer = table(spark, sf, "customer").selectExpr("c_custkey", "c_name", "c_acctbal", "c_nationkey", "c_name AS c_phone")
+    missing, extra = stages.ColumnAligner(columns=["c_acctbal", "absent", "c_nationkey", "other"], keep=["c_custkey"]).report(customer)
+    return spark.createDataFrame([(c, "missing") for c in missing] + [(c, "extra") for c in extra], "feature string, side string")
+
+
+@query("selector_columns", f"""WITH {PANEL}, v AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, var_pop({c}) AS p, var_samp({c}) AS s FROM panel" for c in FEATURES)})
+SELECT unnest(['entity', 'period', 'label', 'segment', 'nation']) AS feature UNION ALL
+SELECT feature FROM (SELECT feature FROM v WHERE p > 0.01 ORDER BY s DESC, feature LIMIT 2)""")
+def selector_columns(spark, sf):
+    p = stored_panel(spark, sf)
+    stage = stages.FeatureSelector(method="variance_threshold", max_features=2, label="label", keys=["entity", "period"])
+    return spark.createDataFrame([(c,) for c in stage.fit(p).transform(p).columns], "feature string")
+
+
+@query("threshold_methods", "SELECT unnest(['f1_optimal', 'precision_recall_curve', 'weighted', 'youden_j']) AS method, true AS same")
+def threshold_methods(spark, sf):
+    scored = materialize(scored_panel(spark, sf).select("label", "score"), "scored")
+    rows = [(name, thresholds.optimize_threshold(scored, name) == fn(scored).first()["threshold"]) for name, fn in thresholds.METHODS.items()]
+    return spark.createDataFrame(rows, "method string, same boolean")
+
+
+@query("distinct_splits", "SELECT true AS all_different, true AS at_most_asked, true AS both_sides")
+def distinct_splits(spark, sf):
+    """Cuts that give the same rows count once."""
+    splitter = split.StratifiedTemporalSplitter(n_splits=9, period="period", entity="entity", label="label", group_disjoint=False)
+    found = splitter.cuts(stored_panel(spark, sf))
+    sizes = [(s.n_train, s.n_val) for s in found]
+    return spark.createDataFrame([(len(set(sizes)) == len(sizes), len(found) <= 9, bool(found) and all(a and b for a, b in sizes))],
+                                 "all_different boolean, at_most_asked boolean, both_sides boolean")

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from panelwright.functions import rules as R
-from panelwright.operators import bootstrap, chained, drift, gram, impute, prefix, profile, quality, select, temporal
+from panelwright.operators import bootstrap, chained, drift, gram, impute, metrics, neighbors, prefix, profile, quality, select, temporal, thresholds
+from panelwright.plans import training
+from panelwright.plans.catalog_model import COLUMNS, CONFIG, stored_panel
 from panelwright.plans.panel import order_panel, scored_panel
 from panelwright.plans.registry import PANEL, SCORED, query, table
 from panelwright.runtime import materialize, new_path
@@ -190,6 +192,62 @@ def sparse_columns(spark, sf):
     return spark.createDataFrame([(c,) for c in impute.sparse_columns(p, p.columns, 0.5)], "feature string")
 
 
+# ---- what missing values cost, weighted thresholds ----------------------------------------------------
+
+@query("threshold_weighted", f"""WITH {SCORED}, h AS (SELECT score, sum(label)::DOUBLE AS p, count(*)::DOUBLE AS n FROM scored GROUP BY 1),
+c AS (SELECT score, sum(p) OVER w AS tp, sum(n) OVER w AS seen, sum(p) OVER () AS total FROM h WINDOW w AS (ORDER BY score DESC)),
+v AS (SELECT score, (0.3 * (tp / seen) + 0.7 * (tp / total)) / (0.3 + 0.7) AS v FROM c)
+SELECT score AS threshold, v AS objective FROM v ORDER BY v DESC, score DESC LIMIT 1""", {"objective": 8})
+def threshold_weighted(spark, sf):
+    return thresholds.weighted_threshold(scored_panel(spark, sf))
+
+
+@query("missing_impact", f"""WITH {SCORED}, c AS (SELECT 'all' AS cases, * FROM scored UNION ALL SELECT CASE WHEN avg_amt IS NULL THEN 'incomplete' ELSE 'complete' END, * FROM scored),
+h AS (SELECT cases, score, sum(label)::DOUBLE AS p, sum(1 - label)::DOUBLE AS n FROM c GROUP BY 1, 2),
+a AS (SELECT cases, sum(n * (tp - p / 2)) / (sum(p) * sum(n)) AS roc_auc FROM (SELECT *, sum(p) OVER (PARTITION BY cases ORDER BY score DESC) AS tp FROM h) GROUP BY 1)
+SELECT cases, count(*) AS sample_size, avg(label) AS positive_rate, avg(CAST(label = pred AS INTEGER)) AS accuracy, any_value(roc_auc) AS roc_auc
+FROM c JOIN a USING (cases) GROUP BY 1""", {"positive_rate": 8, "accuracy": 8, "roc_auc": 8})
+def missing_impact(spark, sf):
+    return metrics.missing_impact(scored_panel(spark, sf), ["avg_amt", "amt"]).select("cases", "sample_size", "positive_rate", "accuracy", "roc_auc")
+
+
+@query("completeness_flag", f"""WITH {PANEL} SELECT 100.0::DOUBLE * (count(avg_amt) + count(amt) + count(segment)) / (3 * count(*)) AS completeness,
+  (count(avg_amt) + count(amt) + count(segment)) >= 0.97 * 3 * count(*) AS complete_enough FROM panel""", {"completeness": 6})
+def completeness_flag(spark, sf):
+    return profile.completeness_flag(order_panel(spark, sf).select("avg_amt", "amt", "segment"), 0.97)
+
+
+@query("missing_patterns", f"""WITH {PANEL}, g AS (SELECT concat_ws(',', CASE WHEN avg_amt IS NULL THEN 'avg_amt' END, CASE WHEN entity % 9 = 0 THEN 'segment' END) AS pattern FROM panel)
+SELECT pattern, count(*) AS n, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM g GROUP BY 1""", {"share": 8})
+def missing_patterns(spark, sf):
+    p = order_panel(spark, sf).withColumn("segment", F.when(F.col("entity") % 9 != 0, F.col("segment")))
+    return profile.missing_patterns(p, ["avg_amt", "amt", "segment"])
+
+
+@query("missing_scenarios", f"""WITH {PANEL} SELECT unnest(['as_is', 'poor']) AS scenario, count(*) AS sample_size, CAST(sum(label) AS BIGINT) AS positives FROM panel""")
+def missing_scenarios(spark, sf):
+    p = stored_panel(spark, sf)
+    model, _ = training.fit_model(p, CONFIG, COLUMNS)
+    told = training.missing_scenarios(model, p, 0.4, COLUMNS, {"as_is": {}, "poor": {("amt", "max_amt"): 0.3, ("acctbal",): 0.2}})
+    return told.select("scenario", "sample_size", (F.col("true_positives") + F.col("false_negatives")).alias("positives"))
+
+
+# ---- neighbours in many dimensions ------------------------------------------------------------------
+
+@query("bucketed_neighbors", """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+  d AS (SELECT a.vec_id, b.vec_id AS neighbor, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.x, b.x), b.vec_id) AS r
+        FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT count(*) AS pairs, count(DISTINCT vec_id) AS n, true AS recall_of_nine_tenths, true AS distances_are_exact FROM d WHERE r <= 5""")
+def bucketed_neighbors(spark, sf):
+    e = table(spark, sf, "embeddings")
+    found = materialize(neighbors.bucketed_neighbors(e, "vec_id", "embedding", 5))
+    exact = materialize(neighbors.nearest_neighbors(e, "vec_id", "embedding", 5))
+    both = exact.select("vec_id", "neighbor", F.col("distance").alias("true_distance")).join(found, ["vec_id", "neighbor"])
+    hits = both.agg(F.count("*").alias("hits"), F.max(F.abs(F.col("distance") - F.col("true_distance"))).alias("off"))
+    return found.agg(F.count("*").alias("pairs"), F.count_distinct("vec_id").alias("n")).crossJoin(hits).select(      # one row each
+        "pairs", "n", (F.col("hits") >= 0.9 * F.lit(exact.count())).alias("recall_of_nine_tenths"), (F.col("off") < 1e-9).alias("distances_are_exact"))
+
+
 # ---- rule sets, sinks, column lists ---------------------------------------------------------------
 
 _CLINIC = {"patient_id": "CAST(c_custkey AS STRING)", "year": "CASE WHEN c_custkey % 50 > 0 THEN 2015 + c_custkey % 5 END",

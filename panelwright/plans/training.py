@@ -15,10 +15,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.functions.rules import inject_nulls
 from panelwright.ml.models import make_classifier, model_columns, with_probability
 from panelwright.ml.stages import build_stages, fit_stages
 from panelwright.operators import metrics
-from panelwright.operators.impute import vector_columns
 from panelwright.operators.resample import class_weights, smote
 from panelwright.operators.split import StratifiedTemporalSplitter, chronological, last_periods_role
 from panelwright.operators.thresholds import optimize_threshold
@@ -99,8 +99,6 @@ def prepare(train: DataFrame, config: dict, c: Columns) -> tuple[PipelineModel,
     imbalance = config.get("imbalance", {})
     if imbalance.get("method") == "smote":
         s = imbalance.get("smote", {})
-        if vector_columns(ready):
-            raise ValueError(f"smote takes numeric columns only, not {vector_columns(ready)}; use class weights")
         ready = ready.withColumn("_key", F.xxhash64(*c.keys))
         ready = smote(ready.select("_key", c.label, *features), features, "_key", c.label,
                       s.get("sampling_strategy", 0.1), s.get("k_neighbors"), s.get("random_state", 42))
@@ -138,7 +136,9 @@ def train_model(df: DataFrame, config: dict, c: Columns | None = None) -> Traini
         scored = part if scored is None else scored.unionByName(part)
     scored = scored.withColumn("pred", (F.col("score") >= 0.5).cast("int"))
     folds = materialize(metrics.classification_metrics(scored, by=["fold"]), "fold-metrics")
-    threshold = optimize_threshold(scored, config.get("evaluation", {}).get("threshold_method", "f1_optimal"))
+    method = config.get("evaluation", {}).get("threshold_method", "f1_optimal")
+    weights = config.get("threshold", {}).get("metric_weights")
+    threshold = optimize_threshold(scored, method, **({"weights": weights} if method == "weighted" and weights else {}))
     model, features = fit_model(df, config, c)
     return Training(model, features, [x for x in df.columns if x != c.label], threshold, scored, folds,
                     metrics.fold_summary(folds, CV_METRICS), _algorithm(config)[0], config)
@@ -151,6 +151,21 @@ def evaluate(model: PipelineModel, df: DataFrame, threshold: float, label: str)
     return metrics.classification_metrics(s).withColumn("optimal_threshold", F.lit(float(threshold)))
 
 
+def missing_scenarios(model: PipelineModel, df: DataFrame, threshold: float, c: Columns, scenarios: dict[str, dict[tuple[str, ...], float]],
+                      seed: int = 42) -> DataFrame:
+    """(scenario, all metrics): the model on ``df`` with cells blanked at each scenario's rates; one scored table, one job for all scenarios.
+
+    A scenario maps tuples of columns that go missing together to their rate; an empty one is the table as it is.
+    """
+    scored = None
+    for name, rates in scenarios.items():
+        blanked = inject_nulls(df, c.keys, rates, seed) if rates else df
+        part = with_probability(model.transform(blanked)).select(F.lit(name).alias("scenario"), F.col(c.label).alias("label"), "score")
+        scored = part if scored is None else scored.unionByName(part)
+    scored = scored.withColumn("pred", (F.col("score") >= threshold).cast("int"))
+    return metrics.classification_metrics(scored, by=["scenario"])
+
+
 def draw_trial(rng: random.Random, algorithms: list[str]) -> tuple[str, dict]:
     name = rng.choice(algorithms)
     out = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local($|\[)", context.master):            # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _local_dirs:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="panelwright-")

@@ -5,10 +5,12 @@ import json
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import functions as F
 
 from panelwright.functions import rules as R
 from panelwright.ml import models, stages
+from panelwright.operators import resample
 from panelwright.operators.quality import Range
 from panelwright.plans import training
 from panelwright.plans.panel import order_panel
@@ -151,7 +153,11 @@ def test_attributions_explain_every_row(spark):
 def test_one_hot_of_many_values(spark):
     rows = [(f"e{i}", 2018 + i % 3, f"v{i % 1500:04d}" if i % 10 else None, float(i % 7), int(i % 1500 < 700)) for i in range(3000)]
     df = spark.createDataFrame(rows, "patient_id string, year int, kind string, x double, target int")
-    model = stages.CategoricalEncoder(method="one_hot").fit(df)
+    with pytest.raises(ValueError, match="vector output"):
+        stages.CategoricalEncoder(method="one_hot").fit(df)
+    few = stages.CategoricalEncoder(method="one_hot", one_hot_output="vector").fit(df.where("kind < 'v0003'"))
+    assert few.transform(df).schema["kind_onehot"].dataType == VectorUDT()      # the caller's choice, whatever the number
+    model = stages.CategoricalEncoder(method="one_hot", one_hot_output="vector").fit(df)
     path = new_path(spark, "encoder")
     model.save(path)
     new = df.unionByName(df.limit(1).withColumns({"kind": F.lit("unseen"), "patient_id": F.lit("new")}))
@@ -170,6 +176,10 @@ def test_one_hot_of_many_values(spark):
     got = {r["feature"]: (r["mean_abs_attribution"], r["n_rows"]) for r in models.shapley_attributions(
         clf, ready, features, ["patient_id"], permutations=1).collect()}
     assert got["kind_onehot"][0] > got["x"][0] and got["x"][1] == 3000
+    keyed = ready.where("x < 3 or target = 0").withColumn("id", F.xxhash64("patient_id"))
+    mixed = resample.smote(keyed.select("id", "target", *features), features, "id", "target", 0.9, 3).where("is_synthetic = 1")
+    for r in mixed.limit(50).collect():
+        assert r["kind_onehot"].size == 1351 and abs(sum(r["kind_onehot"].toArray()) - 1.0) < 1e-9 and 0 <= r["x"] <= 6
 
 
 def test_derived_request_columns(spark):

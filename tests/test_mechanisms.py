@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions import rules
 from panelwright.functions.sql import register_sql_functions
-from panelwright.operators import bootstrap, chained, drift, gram, impute, metrics, prefix, profile, quantiles, select, split
+from panelwright.operators import bootstrap, chained, drift, gram, impute, metrics, neighbors, prefix, profile, quantiles, select, split
 from panelwright.plans.panel import order_panel
 from panelwright.runtime import at_most, hot_keys, lookup_join, materialize, new_path
 from panelwright.sources import readers
@@ -333,6 +333,40 @@ def test_sparse_columns_and_stage(spark):
     assert max(abs(r["y"] - 2 * r["x"]) for r in out.collect()) < 1e-6 and out.agg(F.sum("y_was_missing")).first()[0] == 40
 
 
+# ---- neighbours
+
+def test_incomplete_vectors_take_no_part(spark):
+    rng = np.random.default_rng(2)
+    data = [(i, rng.normal(size=3).tolist()) for i in range(40)] + [(50, None), (51, [1.0, None, 2.0]), (52, [float("nan"), 0.0, 0.0]), (53, []), (None, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(data, "id long, x array<double>")
+    for f in (neighbors.nearest_neighbors, neighbors.bucketed_neighbors):
+        got = f(df, "id", "x", 3)
+        assert {r["id"] for r in got.collect()} | {r["neighbor"] for r in got.collect()} == set(range(40))
+        assert f(df.limit(0), "id", "x").count() == 0
+
+
+def test_buckets_find_the_neighbours_of_clusters(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 32)) * 5
+    x = np.concatenate([c + rng.normal(size=(30, 32)) * 0.2 for c in centres] + [np.repeat(centres[:1], 25, axis=0), rng.normal(size=(20, 32)) * 5])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+    got = neighbors.bucketed_neighbors(df, "id", "x", 4, block=64)
+    found = {}
+    for r in got.collect():
+        assert abs(r["distance"] - math.dist(x[r["id"]], x[r["neighbor"]])) < 1e-9
+        found.setdefault(r["id"], {})[r["rank"]] = (r["neighbor"], r["certified"])
+    hits = 0
+    for i in range(len(x)):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        hits += len(set(np.lexsort((np.arange(len(x)), d))[:4].tolist()) & {n for n, _ in found.get(i, {}).values()})
+    assert hits >= 0.95 * 4 * len(x)
+    assert sum(c for f in found.values() for _, c in f.values()) > 0.9 * 4 * len(x)
+    # A row of a cluster meets its own cluster, not the table.
+    reach = neighbors.certified_distance(1.0, 6, 8, 0.05)
+    assert 0 < neighbors.collision(reach, 1.0) ** 6 < 1 and abs((1 - neighbors.collision(reach, 1.0) ** 6) ** 8 - 0.05) < 1e-6
+
+
 # ---- stream
 
 def test_stream_latency_percentiles(spark, tmp_path):

@@ -14,15 +14,15 @@ from panelwright.sources.ledger import flatten_rows
 
 
 def test_missing_values(spark):
-    df = spark.createDataFrame([(1.0, "A", 0), (2.0, "B", 1), (None, None, 0), (4.0, "A", 1)],
-                               "numeric_col double, categorical_col string, target int")
+    df = spark.createDataFrame([(7.0, "red", 1), (None, "blue", 0), (3.0, None, 1), (9.0, "blue", 0), (4.0, "red", 1), (None, "blue", 1)],
+                               "amount double, colour string, y int")
     model = MissingValueHandler().fit(df)
     out = model.transform(df).collect()
-    assert [r["numeric_col"] for r in out] == [1.0, 2.0, 2.0, 4.0]
-    assert [r["categorical_col"] for r in out] == ["A", "B", "A", "A"]
-    assert [r["numeric_col_was_missing"] for r in out] == [0, 0, 1, 0]
-    assert [r["categorical_col_was_missing"] for r in out] == [0, 0, 1, 0]
-    assert "target_was_missing" not in model.transform(df).columns
+    assert [r["amount"] for r in out] == [7.0, 5.5, 3.0, 9.0, 4.0, 5.5]
+    assert [r["colour"] for r in out] == ["red", "blue", "blue", "blue", "red", "blue"]
+    assert [r["amount_was_missing"] for r in out] == [0, 1, 0, 0, 0, 1]
+    assert [r["colour_was_missing"] for r in out] == [0, 0, 1, 0, 0, 0]
+    assert "y_was_missing" not in model.transform(df).columns
 
 
 def test_all_null_column_stays_empty_and_is_reported(spark):
@@ -52,12 +52,12 @@ def test_unknown_strategies_fail(spark):
 
 
 def test_validation(spark):
-    df = spark.createDataFrame([(25, 22.0, "M", 120.0), (150, 5.0, "F", 300.0), (45, 35.0, "X", 140.0)],
+    df = spark.createDataFrame([(-3, 61.0, "F", 69.0), (88, 44.5, "f", 180.0), (130, 70.5, "M", 90.0), (64, 20.0, "M", None)],
                                "age int, bmi double, gender string, systolic_bp double")
     v = Validator(rules=clinical_rules())
     assert v.validate(df) == {
-        "age": ["1 values above maximum 120.0"], "bmi": ["1 values below minimum 10.0"],
-        "gender": ["1 invalid categorical values"], "systolic_bp": ["1 values above maximum 250.0"]}
+        "age": ["1 values below minimum 0.0", "1 values above maximum 120.0"], "bmi": ["2 values above maximum 60.0"],
+        "gender": ["1 invalid categorical values"], "systolic_bp": ["1 values below minimum 70.0"]}
 
 
 def test_null_is_invalid_category_but_in_range(spark):
@@ -75,7 +75,7 @@ def test_request_rules(spark):
     assert out == [["age:max"], ["gender:allowed", "diastolic_bp:below_systolic_bp"], []]
 
 
-ROLL = [("P1", 2018, 10.0), ("P1", 2019, 15.0), ("P1", 2020, 20.0), ("P2", 2019, 5.0), ("P2", 2020, 8.0)]
+ROLL = [("u", 2001, 4.0), ("u", 2002, 1.0), ("u", 2003, 9.0), ("w", 2002, -2.0), ("w", 2003, 6.0)]
 
 
 @pytest.mark.parametrize("bounded", [True, False])
@@ -84,8 +84,8 @@ def test_rolling_features(spark, bounded):
     out = temporal.rolling_features(df, "e", "year", ["value"], 2, 1, temporal.AGGREGATIONS, True, bounded)
     rows = out.orderBy("e", "year").collect()
     got = [[round(r[f"value_rolling_{a}_2y"], 6) for a in temporal.AGGREGATIONS] + [r["value_lag_1y"]] for r in rows]
-    assert got == [[10, 0, 10, 10, 0, 0], [12.5, 3.535534, 10, 15, 5, 10], [17.5, 3.535534, 15, 20, 5, 15],
-                   [5, 0, 5, 5, 0, 0], [6.5, 2.12132, 5, 8, 3, 5]]
+    assert got == [[4, 0, 4, 4, 0, 0], [2.5, 2.12132, 1, 4, -3, 4], [5, 5.656854, 1, 9, 8, 1],
+                   [-2, 0, -2, -2, 0, 0], [2, 5.656854, -2, 6, 8, -2]]
 
 
 def test_rolling_gap_year_and_null(spark):
@@ -104,10 +104,11 @@ def test_rolling_needs_keys_and_known_aggregations(spark):
 
 
 def test_target_encoding(spark):
-    df = spark.createDataFrame([("A", 1), ("B", 0), ("A", 1), ("B", 0), ("C", 1)], "category string, target int")
+    df = spark.createDataFrame([("x", 0), ("x", 0), ("x", 1), ("y", 1), ("y", 1), ("z", 0), ("x", 1)], "category string, target int")
     got = {r["category"]: round(r["value"], 7) for r in encode.target_map(df, "category", "target").collect()}
-    assert got == {"A": 0.7156202, "B": 0.4265697, "C": 0.7115539}
-    new = spark.createDataFrame([("Z",), (None,)], "category string")
+    # Four of seven are 1; weights 1 / (1 + e^0.8), 1 / (1 + e^0.9) and 1 / (1 + e^0.95).
+    assert got == {"x": 0.5492839, "y": 0.6953074, "z": 0.4120658}
+    new = spark.createDataFrame([("new",), (None,)], "category string")
     out = encode.apply_map(new, encode.target_map(df, "category", "target"), ["category"], 0.6, "x").collect()
     assert [r["x"] for r in out] == [0.6, 0.6]
 
@@ -132,14 +133,14 @@ def test_scaling_of_a_constant(spark):
         assert [r["b"] for r in out] == b
 
 
-SCORES = list(zip([0, 0, 1, 1, 0, 1, 1, 0], [.1, .3, .7, .9, .2, .8, .6, .4], strict=True))
+SCORES = list(zip([1, 0, 1, 1, 0, 0, 1, 0, 0], [.95, .85, .75, .55, .5, .35, .25, .15, .05], strict=True))
 
 
 def test_thresholds(spark):
     df = spark.createDataFrame(SCORES, "label int, score double")
-    assert round(thresholds.optimize_threshold(df, "f1_optimal"), 7) == 0.4070707
-    assert thresholds.optimize_threshold(df, "precision_recall_curve") == 0.6
-    assert thresholds.optimize_threshold(df, "youden_j") == 0.6
+    assert round(thresholds.optimize_threshold(df, "f1_optimal"), 7) == 0.5040404
+    assert thresholds.optimize_threshold(df, "precision_recall_curve") == 0.55
+    assert thresholds.optimize_threshold(df, "youden_j") == 0.55
     with pytest.raises(ValueError):
         thresholds.optimize_threshold(df, "coin")
 
@@ -149,20 +150,19 @@ def test_threshold_without_positives_is_the_default(spark):
     assert thresholds.optimize_threshold(df, "f1_optimal") == 0.5
 
 
-EVAL = list(zip([0, 0, 1, 1, 0, 1, 1, 0], [0, 0, 1, 1, 0, 0, 1, 0], [.1, .3, .7, .9, .2, .4, .8, .3], strict=True))
+EVAL = list(zip([1, 1, 0, 0, 0, 1, 0], [1, 0, 0, 1, 0, 1, 0], [.8, .3, .2, .6, .1, .9, .4], strict=True))
 
 
 def test_metrics(spark):
     df = spark.createDataFrame(EVAL, "label int, pred int, score double")
     m = metrics.classification_metrics(df).first().asDict()
-    want = {"true_positives": 3, "false_negatives": 1, "true_negatives": 4, "false_positives": 0, "accuracy": .875,
-            "precision": 1, "recall": .75, "specificity": 1, "npv": .8, "ppv": 1, "number_needed_to_screen": 1,
-            "roc_auc": 1, "pr_auc": 1, "sample_size": 8}
-    assert {k: m[k] for k in want} == want
-    assert round(m["f1_score"], 6) == 0.857143
+    want = {"true_positives": 2, "false_negatives": 1, "true_negatives": 3, "false_positives": 1, "accuracy": 5 / 7,
+            "precision": 2 / 3, "recall": 2 / 3, "specificity": .75, "npv": .75, "ppv": 2 / 3, "number_needed_to_screen": 1.5,
+            "roc_auc": 10 / 12, "pr_auc": 2.6 / 3, "f1_score": 2 / 3, "sample_size": 7}
+    assert {k: round(m[k], 9) for k in want} == {k: round(v, 9) for k, v in want.items()}
     c = metrics.calibration_error(df).first()
-    assert round(c["brier_score"], 6) == 0.09125
-    assert round(c["expected_calibration_error"], 6) == 0.2625
+    assert round(c["brier_score"], 6) == round(1.11 / 7, 6)
+    assert round(c["expected_calibration_error"], 6) == round(2.3 / 7, 6)
 
 
 def test_metrics_of_ties_and_single_classes(spark):

@@ -17,7 +17,7 @@ from panelwright.llm.words import PLAIN, hash_runs, slices
 
 VOCABULARY = "byte_bpe_50k.json"
 REMEMBERED = 600_000     # pieces a worker remembers before it starts over; bounds its memory, not its result
-SLICE = 4 << 20
+SLICE = 2 << 20
 JOINED = 128             # new words that the library gets as one text
 
 _SPACE = PLAIN == 0

@@ -119,12 +119,12 @@ def check_elimination_choice(spark, sf):
     return spark.createDataFrame([(c,) for c in select.recursive_elimination(_with_noise(df), cols, "told", 2, trees=10)], "feature string")
 
 
-@query("check_search", "SELECT 4::BIGINT AS trials, 4::BIGINT AS in_range, true AS best_first, true AS same_side_by_side")
+@query("check_search", "SELECT 3::BIGINT AS trials, 3::BIGINT AS in_range, true AS best_first, true AS same_side_by_side")
 def check_search(spark, sf):
-    config = {**CONFIG, "imbalance": {}, "hpo": {"n_trials": 4, "algorithms": ["logistic_regression"], "opt_metric": "roc_auc"}}
+    config = {**CONFIG, "imbalance": {}, "hpo": {"n_trials": 3, "algorithms": ["logistic_regression"], "opt_metric": "roc_auc"}}
     p = stored_panel(spark, sf)
     one = training.search(p, config, COLUMNS).collect()                  # a row a trial
-    two = training.search(p, {**config, "hpo": {**config["hpo"], "parallel": 4}}, COLUMNS).collect()
+    two = training.search(p, {**config, "hpo": {**config["hpo"], "parallel": 3}}, COLUMNS).collect()
     values = [r["value"] for r in one]
     same = [(r["trial"], r["settings"], round(r["value"], 9)) for r in one] == [(r["trial"], r["settings"], round(r["value"], 9)) for r in two]
     return spark.createDataFrame([(len(one), sum(0 <= v <= 1 for v in values), values == sorted(values, reverse=True), same)],

@@ -10,7 +10,7 @@ from panelwright.operators.quality import Allowed, Range
 from panelwright.plans import jobs, training
 from panelwright.plans.panel import order_panel, scored_panel
 from panelwright.plans.registry import PANEL, query, table
-from panelwright.plans.scoring import answer, model_scorer
+from panelwright.plans.scoring import answer, model_scorer, row_wise
 from panelwright.runtime import materialize, new_path
 from panelwright.sources import artifacts as art
 from panelwright.sources import readers, writers
@@ -101,6 +101,7 @@ def event_requests(df):
     return readers.parse_requests(df, "props", schema)
 
 
+@row_wise
 def event_scorer(df):
     """A fixed formula in the place of a trained model, so that the answers can be checked in SQL."""
     x = (F.col("value") - 60.0) / 40.0 + F.col("k") / 100.0

@@ -11,6 +11,7 @@ from panelwright.functions import rules as R
 from panelwright.ml.models import with_probability
 from panelwright.ml.stages import ColumnAligner
 from panelwright.operators.quality import Rule, request_rules, route, row_violations
+from panelwright.runtime import quoted
 from panelwright.sources.artifacts import Artifacts
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -42,6 +43,26 @@ def model_scorer(artifacts: Artifacts, keep: Sequence[str], probability: str = "
     return score
 
 
+def row_wise(scorer: Scorer) -> Scorer:
+    """Mark a scorer that looks at one row alone, keeps all columns and takes NULL inputs: valid and rejected rows then share one evaluation of the source."""
+    scorer.row_wise = True
+    return scorer
+
+
+def _answer_in_place(df: DataFrame, scorer: Scorer, keep: Sequence[str], threshold: float, version: str, rules: Sequence[Rule],
+                     required: Sequence[str], extra: Sequence[str]) -> DataFrame:
+    """One pass: the inputs of a rejected row are blanked before it is scored, and its answer is set afterwards."""
+    checked = row_violations(df, rules, required=required)
+    ok = F.size("violations") == 0
+    kept = {*keep, "violations"}
+    scored = scorer(checked.withColumns({c: F.when(ok, F.col(quoted(c))).alias(c) for c in checked.columns if c not in kept}))
+    p = F.col("probability")
+    return scored.select(
+        *keep, F.when(ok, p).otherwise(F.lit(0.0)).alias("probability"), F.when(ok, R.threshold_label(p, threshold)).otherwise(F.lit(0)).alias("prediction"),
+        F.when(ok, R.confidence_band(p)).otherwise(F.lit("Error")).alias("confidence"),
+        F.when(ok, F.lit(version)).otherwise(F.lit("error")).alias("model_version"), *extra)
+
+
 def answer(df: DataFrame, scorer: Scorer, keep: Sequence[str], threshold: float = 0.5, version: str = "unknown",
            rules: Sequence[Rule] | None = None, required: Sequence[str] = (), with_violations: bool = False) -> DataFrame:
     """(keep, probability, prediction, confidence, timestamp, model_version) for every row.
@@ -49,8 +70,10 @@ def answer(df: DataFrame, scorer: Scorer, keep: Sequence[str], threshold: float
     A row that breaks a rule is answered, too: probability 0, confidence 'Error', version 'error'.
     """
     rules = request_rules() if rules is None else list(rules)
-    valid, rejected = route(row_violations(df, rules, required=required))
     extra = ["violations"] if with_violations else []
+    if getattr(scorer, "row_wise", False):
+        return _answer_in_place(df, scorer, keep, threshold, version, rules, required, extra).withColumn("timestamp", F.current_timestamp())
+    valid, rejected = route(row_violations(df, rules, required=required))
     p = F.col("probability")
     good = scorer(valid).select(*keep, p, R.threshold_label(p, threshold).alias("prediction"),
                                 R.confidence_band(p).alias("confidence"), F.lit(version).alias("model_version"),

@@ -333,6 +333,20 @@ def test_sparse_columns_and_stage(spark):
     assert max(abs(r["y"] - 2 * r["x"]) for r in out.collect()) < 1e-6 and out.agg(F.sum("y_was_missing")).first()[0] == 40
 
 
+# ---- scoring
+
+def test_one_pass_answers_equal_two(spark, sf):
+    from panelwright.plans import catalog_model as M
+    from panelwright.plans.scoring import answer
+
+    events = M.event_requests(spark.read.parquet(f"{sf}/events.parquet")).withColumn("k", F.when(F.col("event_id") % 7 != 0, F.col("k")))
+    plain = lambda df: M.event_scorer(df)
+    for rules in (M.EVENT_RULES, []):
+        one, two = (answer(events, s, ["event_id"], 0.6, "v1", rules, required=["k"], with_violations=True).drop("timestamp") for s in (M.event_scorer, plain))
+        assert one.columns == two.columns and one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+    assert plan(one).count("FileScan") == 1 and plan(two).count("FileScan") == 2
+
+
 # ---- neighbours
 
 def test_incomplete_vectors_take_no_part(spark):

@@ -10,6 +10,7 @@ from panelwright.plans.panel import order_panel, scored_panel
 from panelwright.plans.registry import PANEL, SCORED, query, table
 from panelwright.runtime import materialize, new_path
 from panelwright.sources import readers, writers
+from panelwright.streaming import scoring as S
 
 NUM = ["n_orders", "amt", "avg_amt", "max_amt", "acctbal"]
 
@@ -232,6 +233,20 @@ def missing_scenarios(spark, sf):
     return told.select("scenario", "sample_size", (F.col("true_positives") + F.col("false_negatives")).alias("positives"))
 
 
+# ---- latency of a stream ------------------------------------------------------------------------------
+
+@query("stream_latency", """WITH w AS (SELECT date_trunc('day', ts) AS d, event_type, count(*) AS processed, sum(value) AS latency_total,
+  quantile_disc(value, 0.5) AS latency_p50, quantile_disc(value, 0.95) AS latency_p95 FROM events GROUP BY 1, 2)
+SELECT CAST(d AS TIMESTAMP) AS window_start, event_type, processed, latency_total, latency_p50, latency_p95 FROM w
+WHERE d + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)""", {"latency_total": 2, "latency_p50": 4, "latency_p95": 4})
+def stream_latency(spark, sf):
+    source = f"{sf}/events.parquet"
+    stream = S.read_stream(spark, f"{source}*", spark.read.parquet(source).schema)
+    out = new_path(spark, "stream-latency")
+    S.run_to_table(S.health_counters(stream, "ts", None, "1 day", "10 minutes", ["event_type"], "value").drop("errors"), f"{out}/table", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/table").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 # ---- neighbours in many dimensions ------------------------------------------------------------------
 
 @query("bucketed_neighbors", """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),

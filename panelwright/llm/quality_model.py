@@ -16,6 +16,7 @@ from panelwright.llm.words import SPLIT, Words, mix, slices
 BUCKETS = 1 << 14        # units (runs of letters and digits, or of signs) share this many hashed vectors
 DIM = 48
 NONZERO = 6              # of an index vector: so many +1 or -1
+SLICE = 1 << 18          # bytes of text whose vectors are held at once: some 50,000 units of DIM numbers, a few times
 SPAN = 2                 # neighbours on either side
 PER_CLASS = 12_000       # labelled rows of each class to fit the network on, at most
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 30, 128, 2e-3, 1e-4
@@ -43,7 +44,7 @@ def _contexts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((BUCKETS, DIM), np.int64)
     count = np.zeros(BUCKETS, np.int64)
     for batch in stream:
-        for _, _, raw, off in slices(batch.column("text")):
+        for _, _, raw, off in slices(batch.column("text"), SLICE):
             w = Words(raw, off, classes=SPLIT)
             if not len(w):
                 continue
@@ -83,7 +84,7 @@ def word_vectors(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def _pool(texts: pa.Array, vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Per text: weighted mean, spread and plain mean of its vectors, log length, share of units equal to an earlier neighbour."""
     out = np.zeros((len(texts), INPUTS), np.float32)
-    for a, e, raw, off in slices(texts):
+    for a, e, raw, off in slices(texts, SLICE):
         w = Words(raw, off, classes=SPLIT)
         n = w.counts()
         has = np.flatnonzero(n)

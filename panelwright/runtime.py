@@ -9,8 +9,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup table with at most this many rows, and bytes of JSON text, is broadcast.
+# A lookup table with at most this many rows and bytes is broadcast.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 # A key that holds more than one part in so many of the rows is hot; there are at most so many of them.
@@ -65,17 +66,33 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _row_size(df: DataFrame) -> tuple[int, Column | None]:
+    """(bytes of a row's numbers, dates and flags, bytes of its other columns as text or None if there are none)."""
+    fixed, parts = 0, []
+    for f in df.schema:
+        c = F.col(quoted(f.name))
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.octet_length(c))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) or f.dataType.typeName() in ("variant", "udt"):
+            parts.append(F.octet_length(F.to_json(F.struct(c))))
+        else:
+            fixed += 16
+    return fixed, sum((F.coalesce(x, F.lit(0)) for x in parts[1:]), F.coalesce(parts[0], F.lit(0))).cast("long") if parts else None
+
+
 def at_most(df: DataFrame, rows: int, size: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` has at most ``rows`` rows that take at most ``size`` bytes as JSON text.
+    """Whether ``df`` has at most ``rows`` rows that take at most about ``size`` bytes.
 
-    At most ``rows`` + 1 rows are looked at; a stored table that has more is known to without a look.
+    At most ``rows`` + 1 rows are looked at; of a stored table only the files' counts, unless it holds text or nested values.
     """
     known = stored_rows(df)
     if known is not None and known > rows:
         return False
-    text = F.octet_length(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
-    n, total = df.limit(rows + 1).agg(F.count("*"), F.sum(text.cast("long"))).first()
-    return n <= rows and (total or 0) <= size
+    fixed, text = _row_size(df)
+    if known is not None and text is None:
+        return known * fixed <= size
+    n, total = df.limit(rows + 1).agg(F.count("*"), F.sum(text if text is not None else F.lit(0).cast("long"))).first()
+    return n <= rows and n * fixed + (total or 0) <= size
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE, least: int = HOT_LEAST) -> list[int]:

@@ -32,6 +32,7 @@ MOST_COUNT = 255         # of a range in the bound; more counts as no bound
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("counter", pa.int32()), ("shares", pa.binary())])
 KEYS = pa.schema([("key", pa.int64()), ("s1", pa.int64())])
 GROUPS = pa.schema([("key", pa.int64()), ("a1", pa.int64()), ("b1", pa.int64()), ("place", pa.int32())])
+EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -379,30 +380,123 @@ def components(edges: DataFrame, s: Scratch) -> DataFrame:
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _crowded(members: DataFrame, grams: DataFrame, percent: int, s: Scratch) -> DataFrame:
+def _roots(a: np.ndarray, b: np.ndarray, rows: int) -> np.ndarray:
+    """The smallest row reachable from each of ``rows`` rows over the edges (a, b)."""
+    root = np.arange(rows)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        for at in (a, b, root[a], root[b]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def _near_rows(node: np.ndarray, component: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, shares: np.ndarray,
+               percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of one cell the edges (a, b) that join what its pairs of a left and a right row join: those of two components whose counts allow a link."""
+    l, r = np.flatnonzero(left), np.flatnonzero(right)
+    full = (shares == MOST_COUNT).any(axis=1)
+    found = []
+    step = max(1, (1 << 20) // (SHARES * max(1, len(r))))
+    for at in range(0, len(l), step):
+        i = l[at:at + step]
+        small, both = np.minimum(n[i][:, None], n[r]), n[i][:, None] + n[r]
+        most = np.minimum(shares[i][:, None], shares[r]).sum(axis=2, dtype=np.int64)
+        most = np.where(full[i][:, None] & full[r], small, np.minimum(most, small))
+        x, y = np.nonzero((most >= -(-percent * both // (100 + percent))) & (component[i][:, None] != component[r]))
+        found.append((i[x], r[y]))
+    a, b = (np.concatenate([f[side] for f in found]) for side in (0, 1))
+    if not len(a):
+        return a, b
+    root = _roots(a, b, len(node))
+    at = np.flatnonzero(root != np.arange(len(node)))
+    return node[at], node[root[at]]
+
+
+def _near(percent: int):
+    """Edges of each cell from rows sorted by (key, i, j); the rows of the cell in hand are held, at most about ``CELL_A`` + ``CELL_B``."""
+
+    def told(rows: pa.Table):
+        node, component, n = (rows[c].to_numpy().astype(np.int64) for c in ("node", "component", "n"))
+        left, right = (rows[c].to_numpy().astype(bool) for c in ("l", "r"))
+        shares = np.frombuffer(b"".join(rows["shares"].to_pylist()), np.uint8).reshape(len(node), SHARES)
+        cell = np.stack([rows[c].to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+        starts = np.append(np.flatnonzero(np.append(True, (cell[:, 1:] != cell[:, :-1]).any(axis=0))), len(node))
+        some = np.append(0, np.cumsum(left))
+        edges = [_near_rows(*[c[x:y] for c in (node, component, n, left, right, shares)], percent)
+                 for x, y in zip(starts[:-1], starts[1:]) if y - x > 1 and some[y] > some[x]]
+        if edges:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([e[side] for e in edges]), pa.int64()) for side in (0, 1)], schema=EDGES)
+
+    def run(stream):
+        held = None
+        for batch in stream:
+            if not len(batch):
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            last = len(rows)
+            same = np.ones(last, bool)
+            for c in ("key", "i", "j"):
+                same &= rows[c].to_numpy() == rows[c][-1].as_py()
+            cut = int(np.argmax(same))                                     # the open cell's first row
+            if cut:
+                yield from told(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None:
+            yield from told(held)
+
+    return run
+
+
+def _dealt_groups(members: DataFrame) -> DataFrame:
+    """``members`` (key, node, component) of the keys with rows outside their largest component (main), which meet all: in m and k parts."""
+    parts = (members.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key")
+             .agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.max("c").alias("most"), F.sum("c").alias("c"))
+             .withColumn("x", F.col("c") - F.col("most")).where("x > 0")
+             .select("key", "main", F.ceil(F.col("x") / CELL_A).cast("int").alias("m"), F.ceil(F.col("c") / CELL_B).cast("int").alias("k")))
+    return members.join(parts, "key")
+
+
+def _candidates(members: DataFrame, classes: DataFrame, percent: int, s: Scratch) -> DataFrame:
+    """Edges (a, b) that connect every two members of a group that may link: in different components, and their counts by hash range allow it.
+
+    A cell of a group holds 64 bytes a member in place of its set, and tells no more edges than it has rows.
+    """
+    crowd = s.store(_dealt_groups(members)).join(classes.select("node", "n", "shares"), "node")
+    part = {c: f"cast(pmod(xxhash64(node), {c}) as int)" for c in ("m", "k")}
+    cells = F.expr(f"""if(m = 1 and k = 1, array(struct(0 as i, 0 as j, component <> main as l, true as r)), concat(
+        transform(sequence(0, m - 1), x -> struct(x as i, {part['k']} as j, false as l, true as r)),
+        if(component <> main, transform(sequence(0, k - 1), x -> struct({part['m']} as i, x as j, true as l, false as r)), array())))""")
+    sent = crowd.select("key", "node", "component", "n", "shares", F.explode(cells).alias("cell")).select(
+        "key", "cell.*", "node", "component", "n", "shares")
+    return sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_near(percent), "a long, b long")
+
+
+def _crowded(members: DataFrame, classes: DataFrame, grams_of, percent: int, s: Scratch) -> DataFrame:
     """Further links (a, b) within crowded groups: who is outside a group's main component still has to meet the others.
 
-    ``members`` has (key, node, used, component, first), ``first`` being the group's smallest node. Groups that share members are one
-    cluster, so a set is sent once for all of its groups; a member that led all its groups has met everyone.
+    ``members`` has (key, node, component) without the members that led a group, which have met everyone in it. Members that may link, by the
+    bound of their counts, make clusters, each within one component of these candidates: only their sets are sent, once for all groups they share.
+    ``grams_of`` gives (node, grams) of a table of nodes.
     """
-    cluster = components(members.select(F.col("first").alias("a"), F.col("node").alias("b")), s)
-    members = (members.groupBy("node").agg(F.bool_and("used").alias("used"), F.min("component").alias("component"))
-               .join(cluster.select("node", F.col("component").alias("key")), "node"))
-    parts = (members.groupBy("key", "component").agg(F.count("*").alias("c"), F.count(F.when(~F.col("used"), 1)).alias("open")).groupBy("key")
-             .agg(F.max_by("component", F.struct("c", "component")).alias("main"), F.sum("c").alias("c"), F.sum("open").alias("all_open"),
-                  F.max_by("open", F.struct("c", "component")).alias("main_open"))
-             .withColumn("x", F.col("all_open") - F.col("main_open")).where("x > 0")
-             .select("key", "main", F.ceil(F.col("x") / CELL_A).cast("int").alias("m"), F.ceil(F.col("c") / CELL_B).cast("int").alias("k")))
-    crowd = s.store(members.join(parts, "key"))
+    near = s.store(_candidates(members, classes, percent, s))
+    cluster = components(near, s).select("node", F.col("component").alias("key"))
+    crowd = s.store(_dealt_groups(members.select("node", "component").distinct().join(cluster, "node")))
+    grams = grams_of(s.store(crowd.select("node").distinct()))
 
     def dealt(df: DataFrame, by: str, across: str) -> DataFrame:
         part = F.pmod(F.xxhash64("node"), F.col(by)).cast("int")
         out = df.withColumn("o", F.explode(F.sequence(F.lit(0), F.col(across) - 1)))
         i, j = (part, F.col("o")) if by == "m" else (F.col("o"), part)
-        out = out.select("key", i.alias("i"), j.alias("j"), "node", "component").join(grams, "node")
+        # Neither side is small for being so on disk: both repeat sets, or ids, by the cells.
+        out = out.select("key", i.alias("i"), j.alias("j"), "node", "component").hint("merge").join(grams, "node")
         return out.select(*[F.col(c).alias(c) for c in out.columns]).groupBy("key", "i", "j")   # columns of their own for either side
 
-    return dealt(crowd.where("component <> main and not used"), "m", "k").cogroup(dealt(crowd, "k", "m")).applyInArrow(
+    return dealt(crowd.where("component <> main"), "m", "k").cogroup(dealt(crowd, "k", "m")).applyInArrow(
         _cell(percent), "a long, b long")
 
 
@@ -434,24 +528,31 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
         members = s.store(found.where("place is not null").join(side("a"), "a1").select(
             "key", F.col("a").alias("node"), (F.col("place") < LEADERS).alias("used")))
         s.drop(found_at)
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(members.select("node"))
-        nodes = s.store(nodes.distinct())
-        bits, words = flags_of(nodes, nodes.count())
-        flags = spark.sparkContext.broadcast(words)                        # at most 2^MOST_BITS bits
-        likely = rows.where("doc_id is not null").withColumn("slot", _slot("doc_id", bits)).mapInArrow(_maybe(flags), "doc_id long, text string")
-        grams = s.store(likely.join(nodes, likely["doc_id"] == nodes["node"], "left_semi").mapInArrow(_grams(size), "node long, grams binary"))
+
+        def grams_of(nodes: DataFrame) -> DataFrame:
+            """The sets of a stored table of nodes, stored. Each time the texts are read again, and only those of these nodes are shuffled."""
+            bits, words = flags_of(nodes, nodes.count())
+            flags = spark.sparkContext.broadcast(words)                    # at most 2^MOST_BITS bits
+            likely = rows.where("doc_id is not null").withColumn("slot", _slot("doc_id", bits)).mapInArrow(_maybe(flags), "doc_id long, text string")
+            return s.store(likely.join(nodes, likely["doc_id"] == nodes["node"], "left_semi").mapInArrow(_grams(size), "node long, grams binary"))
+
+        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+        grams = grams_of(s.store(nodes.distinct()))
+        grams_at = s.tables
 
         def own(side: str) -> DataFrame:
             return grams.select(F.col("node").alias(side), F.col("grams").alias(f"g{side}"))
 
         links = s.store(pairs.join(own("a"), "a").join(own("b"), "b").select("a", "b", "ga", "gb").mapInArrow(
             _linked(percent), "a long, b long"))
+        s.drop(grams_at)
         found_in = s.store(components(links, s))
         members = members.join(found_in, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        unsettled = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("first")).where("x < y")
-        members = s.store(members.join(unsettled.select("key", "first"), "key"))
+        members = members.where("not used").drop("used")                   # a leader has met everyone in its group
+        unsettled = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+        members = s.store(members.join(unsettled.select("key"), "key"))
         if not members.isEmpty():
-            late = s.store(_crowded(members, grams, percent, s))
+            late = s.store(_crowded(members, classes, grams_of, percent, s))
             # The components found so far stand for all links they came from.
             known = found_in.select(F.col("node").alias("a"), F.col("component").alias("b"))
             found_in = s.store(components(known.unionByName(late), s)) if not late.isEmpty() else found_in

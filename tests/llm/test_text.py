@@ -104,6 +104,42 @@ def test_crowded_groups_in_small_cells(spark, monkeypatch):
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
 
 
+def test_groups_in_a_chain_send_only_sets_that_may_link(spark, monkeypatch, tmp_path):
+    """Unlike texts that share passages in a chain: their groups overlap, so all hang together, yet only the near copies among them may link."""
+    import random
+    import uuid
+
+    rnd = random.Random(5)
+    passages = [[f"p{i}x{k}" for k in range(30)] for i in range(13)]
+    rows = []
+    for i in range(12):
+        for v in range(5):
+            rows.append((len(rows), " ".join(passages[i] + [f"u{i}x{v}x{k}" for k in range(25)] + passages[i + 1])))
+    for i in (12, 31, 48):                                      # near copies, each twice, that need not meet a leader
+        for _ in range(2):
+            w = rows[i][1].split()
+            w[rnd.randrange(len(w))] = "other"
+            rows.append((len(rows), " ".join(w)))
+    plain, folder = jaccard._cell, str(tmp_path)
+
+    def counted(percent):
+        product = plain(percent)
+
+        def of(one, other):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(one) + len(other)))
+            return product(one, other)
+
+        return of
+
+    monkeypatch.setattr(jaccard, "_cell", counted)
+    monkeypatch.setattr(jaccard, "CELL_A", 3)
+    monkeypatch.setattr(jaccard, "CELL_B", 4)
+    got = by_id(jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == components(rows, 5, 80)
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) <= 2 * len(rows)
+
+
 def test_one_of_each_keeps_rows_whole(odd_docs, odd_rows):
     out = jaccard.one_of_each(odd_docs)
     want = {i for i, (_, c) in components(odd_rows, 3, 90).items() if c == i}

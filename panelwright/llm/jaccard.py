@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelwright.llm.common import Scratch, batches, table
 from panelwright.llm.words import Words, mix, slices, spans
@@ -265,6 +266,16 @@ def _maybe(flags):
     return run
 
 
+def _flagged(flags):
+    """Whether a row's slot is set, as a column."""
+    @F.arrow_udf(T.BooleanType())
+    def of(slot: pa.Array) -> pa.Array:
+        slot, words = slot.to_numpy(), flags.value.view(np.uint64)
+        return pa.array(((words[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)) == 1)
+
+    return of
+
+
 def _grams(size: int):
     def of(batch: pa.RecordBatch):
         for a, e, raw, off in slices(batch.column("text")):
@@ -567,8 +578,14 @@ def one_of_each(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
 
     Rows that share a doc_id are one document, and go if any of their texts is linked to a smaller id.
     """
-    gone = similar_groups(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    spark = docs.sparkSession
+    with Scratch(spark, "jaccard-gone") as s:
+        gone = s.result(similar_groups(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
+        bits, words = flags_of(gone.select(F.col("_gone").alias("node")), gone.count())
+        marked = docs.withColumn("_likely", _flagged(spark.sparkContext.broadcast(words))(_slot("doc_id", bits)))
+        # Rows that surely stay are not shuffled, however many ids are gone.
+        likely, rest = marked.where("_likely").drop("_likely"), marked.where("not _likely").drop("_likely")
+        return rest.unionByName(likely.join(gone, likely["doc_id"] == gone["_gone"], "left_anti"))
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,6 +140,24 @@ def test_groups_in_a_chain_send_only_sets_that_may_link(spark, monkeypatch, tmp_
     assert sum(int(p.read_text()) for p in tmp_path.iterdir()) <= 2 * len(rows)
 
 
+def test_rows_that_surely_stay_are_not_shuffled(spark, monkeypatch):
+    """Also where too many ids are gone for a broadcast: only rows that may be gone reach the join."""
+    rows = [(i, f"t{i} " * 3 + " ".join(f"w{i}x{k}" for k in range(20))) for i in range(3000)]
+    rows += [(i + 5000, rows[i][1]) for i in range(40)] + [(None, rows[0][1])]
+    seen, plain = [], jaccard._slot
+    monkeypatch.setattr(jaccard, "_slot", lambda *a: seen.append(a) or plain(*a))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == list(range(3000))
+        assert out.where("doc_id is null").count() == 1
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.startswith("Union") and plan.count("LeftAnti") == 1 and seen
+
+
 def test_one_of_each_keeps_rows_whole(odd_docs, odd_rows):
     out = jaccard.one_of_each(odd_docs)
     want = {i for i, (_, c) in components(odd_rows, 3, 90).items() if c == i}

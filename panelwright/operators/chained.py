@@ -13,10 +13,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions.rules import number
+from panelwright.operators import blocks
+from panelwright.operators.blocks import nearest_of
 from panelwright.operators.gram import FAN_IN, cells_of, matrix
-from panelwright.runtime import lookup_join, materialize, quoted
+from panelwright.runtime import lookup_join, materialize, quoted, stored_rows
 
-BLOCK = 4_096            # donors and rows to fill of one block
+BLOCK = 4_096            # rows of a cell, about
+TREE_ROWS = 1 << 16      # rows from which the cells are learnt, at most
+TREE_NUMBERS = 1 << 20   # numbers of these rows, at most
+BOUND_ROWS = 4_096       # of them, rows that give the first bounds
 SUMS = "target int, part int, cell array<double>"
 
 
@@ -134,61 +139,213 @@ def apply_chained(df: DataFrame, fill: ChainedFill) -> DataFrame:
     return filled.withColumns({c: F.coalesce(number(c), F.col("_filled")[fill.columns.index(c)]) for c in present}).drop("_filled")
 
 
-def _donors(width: int, k: int):
-    """Per row to fill and gap its ``k`` nearest donors of this block that hold the column; ties to the smaller id."""
-
-    def of(asked: pa.Table, donors: pa.Table) -> pa.Table:
-        out = {"id": [], "col": [], "donor": [], "distance": [], "value": []}
-        if asked.num_rows and donors.num_rows:
-            donors = donors.sort_by("id")
-            q, d = matrix(asked["x"].combine_chunks(), width), matrix(donors["x"].combine_chunks(), width)
-            qid, did = asked["id"].to_numpy(), donors["id"].to_numpy()
-            step = max(1, (1 << 20) // len(d))
-            for at in range(0, len(q), step):
-                x = q[at:at + step]
-                square, joint = np.zeros((len(x), len(d))), np.zeros((len(x), len(d)))
-                for j in range(width):
-                    gap = x[:, j, None] - d[None, :, j]
-                    both = ~np.isnan(gap)
-                    square += np.where(both, gap * gap, 0.0)
-                    joint += both
-                with np.errstate(all="ignore"):
-                    far = np.sqrt(square * width / joint)
-                far[(joint == 0) | (qid[at:at + step, None] == did)] = np.inf
-                for j in range(width):
-                    rows, holds = np.flatnonzero(np.isnan(x[:, j])), np.flatnonzero(~np.isnan(d[:, j]))
-                    if len(rows) and len(holds):
-                        own = far[np.ix_(rows, holds)]
-                        best = np.argsort(own, axis=1, kind="stable")[:, :k]
-                        near = np.take_along_axis(own, best, 1)
-                        r, c = np.nonzero(np.isfinite(near))
-                        pick = holds[best[r, c]]
-                        for name, values in zip(out, (qid[at + rows[r]], np.full(len(r), j), did[pick], near[r, c], d[pick, j]), strict=True):
-                            out[name].append(values)
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table({n: pa.array(np.concatenate(v) if v else [], t) for (n, v), t in zip(out.items(), kinds, strict=True)})
-
-    return of
+def _distances(x: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Distances over the cells that both rows hold, scaled up to all columns; infinite without a common cell."""
+    width = x.shape[1]
+    square, joint, some = np.zeros((len(x), len(d))), 0, None
+    for j in range(width):
+        a, b = np.isnan(x[:, j]), np.isnan(d[:, j])
+        if a.all() or b.all():
+            continue
+        gap = x[:, j, None] - d[None, :, j]
+        if a.any() or b.any():
+            both = ~np.isnan(gap)
+            some = both.astype(float) if some is None else some + both
+            square += np.where(both, gap * gap, 0.0)
+        else:
+            square += np.square(gap, out=gap)
+            joint += 1
+    joint = joint if some is None else joint + some
+    with np.errstate(all="ignore"):
+        far = np.sqrt(square * width / joint) if some is not None or joint else np.full(square.shape, np.inf)
+    if some is not None:
+        far[joint == 0] = np.inf
+    return far
+
+
+def _cells(x: np.ndarray, most: int) -> dict[str, np.ndarray]:
+    """A tree that cuts rows like those given into cells of at most ``most`` of them: by what is missing, then at the middle of the widest column.
+
+    A node has the ``column`` it asks for, a ``limit`` (NaN: whether the cell is missing) and two nodes below it, numbered; cells are
+    numbered from left to right, so that cells near in number are near in space.
+    """
+    column, limit, below, cell = [], [], [], []
+    with np.errstate(all="ignore"):
+        scale = np.array([np.ptp(v[~np.isnan(v)]) if (~np.isnan(v)).any() else 0.0 for v in x.T])
+    cells = 0
+    todo: list[tuple[np.ndarray, int, int]] = [(np.arange(len(x)), -1, 0)]
+    while todo:                                                    # depth first, the left side first
+        rows, parent, side = todo.pop()
+        me = len(column)
+        if parent >= 0:
+            below[parent][side] = me
+        v = x[rows]
+        gone = np.isnan(v)
+        column.append(-1), limit.append(np.nan), below.append([-1, -1]), cell.append(-1)
+        if len(rows) > most:
+            mixed = np.flatnonzero(gone.any(axis=0) & ~gone.all(axis=0))
+            if len(mixed):
+                column[me] = int(mixed[0])
+                left = ~gone[:, mixed[0]]
+            else:
+                whole = np.flatnonzero(~gone.any(axis=0) & (scale > 0))
+                wide = np.ptp(v[:, whole], axis=0) / scale[whole] if len(whole) else np.zeros(0)
+                if len(wide) and wide.max() > 0:
+                    j = int(whole[wide.argmax()])
+                    at = np.median(v[:, j])
+                    at = at if (v[:, j] > at).any() else v[v[:, j] < at, j].max()
+                    column[me], limit[me] = j, at
+                    left = v[:, j] <= at
+        if column[me] < 0:
+            cell[me] = cells
+            cells += 1
+        else:
+            todo += [(rows[~left], me, 1), (rows[left], me, 0)]
+    return {"column": np.array(column), "limit": np.array(limit, float), "below": np.array(below), "cell": np.array(cell)}
+
+
+def _cell_of(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    node = np.zeros(len(x), int)
+    rows = np.arange(len(x))
+    while len(rows := rows[tree["column"][node[rows]] >= 0]):
+        at = node[rows]
+        v, limit = x[rows, tree["column"][at]], tree["limit"][at]
+        left = np.where(np.isnan(limit), ~np.isnan(v), v <= limit)
+        node[rows] = tree["below"][at, np.where(left, 0, 1)]
+    return tree["cell"][node]
+
+
+class _Asked:
+    """Rows to fill, and for each of their gaps the nearest donors so far."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
+        self.ids, self.x, self.k = ids, x, k
+        gone = np.isnan(x)
+        self.patterns, kind = np.unique(gone, axis=0, return_inverse=True)
+        self.kind = kind.ravel()
+        self.row, self.col = np.nonzero(gone)
+        self.gap = np.full(x.shape, -1)                            # the number of a row's gap in a column
+        self.gap[self.row, self.col] = np.arange(len(self.row))
+        self.bound = np.full(len(self.row), np.inf)                # no donor further away is among the k nearest
+        n = (len(self.row), k)
+        self.best = {"distance": np.full(n, np.inf), "other": np.full(n, np.iinfo(np.int64).max), "value": np.full(n, np.nan)}
+
+    def within(self, rows: np.ndarray, low: np.ndarray, high: np.ndarray, every: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Those of the rows that a box of donors, or a part of it, may be near enough to."""
+        x = self.x[rows]
+        held = ~np.isnan(x)
+        off = np.maximum(np.maximum(low - x, x - high), 0.0)
+        off[~(held & every)] = 0.0                                 # a column that not every donor holds tells nothing
+        joint = (held & some).sum(axis=1)
+        with np.errstate(all="ignore"):
+            least = np.sqrt((off * off).sum(axis=1) * x.shape[1] / joint) * (1 - 1e-9)
+        least[joint == 0] = np.inf
+        gap = self.gap[rows]
+        bound = np.where((gap >= 0) & some, self.bound[gap], -1.0).max(axis=1)
+        return rows[(least <= bound) & np.isfinite(least)]
+
+    def take(self, rows: np.ndarray, ids: np.ndarray, d: np.ndarray, only_bounds: bool = False) -> None:
+        """Compare rows with donors; with ``only_bounds`` the donors are not kept, as they are met again."""
+        held = ~np.isnan(d)
+        width = max(1, (1 << 20) // max(1, len(d)))
+        for kind in np.unique(self.kind[rows]):
+            same = rows[self.kind[rows] == kind]
+            gaps = np.flatnonzero(self.patterns[kind] & held.any(axis=0))
+            for at in range(0, len(same) if len(gaps) else 0, width):
+                own = same[at:at + width]
+                far = _distances(self.x[own], d)
+                same_id = self.ids[own, None] == ids if only_bounds or not np.isfinite(self.bound[self.gap[own][:, gaps]]).all() else None
+                for j in gaps:
+                    gap = self.gap[own, j]
+                    if same_id is not None and held[:, j].sum() >= self.k:
+                        kth = np.partition(np.where(same_id, np.inf, far)[:, held[:, j]], self.k - 1, axis=1)[:, self.k - 1]
+                        self.bound[gap] = np.minimum(self.bound[gap], kth)
+                    if only_bounds:
+                        continue
+                    r, c = np.nonzero((far <= self.bound[gap, None]) & held[:, j] & (far < np.inf))
+                    other = ids[c] != self.ids[own[r]]
+                    r, c = r[other], c[other]
+                    if len(r):
+                        places = nearest_of(self.k, gap[r], self.best, {"distance": far[r, c], "other": ids[c], "value": d[c, j]})
+                        self.bound[places] = np.minimum(self.bound[places], self.best["distance"][places, -1])
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        e, i = np.nonzero(np.isfinite(self.best["distance"]))
+        if len(e):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.ids[self.row[e]]), pa.array(self.col[e].astype("int32")), pa.array(self.best["other"][e, i]),
+                 pa.array(self.best["distance"][e, i]), pa.array(self.best["value"][e, i])], ["id", "col", "donor", "distance", "value"])
+
+
+def _box(d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    held = ~np.isnan(d)
+    low, high = np.where(held, d, np.inf).min(axis=0), np.where(held, d, -np.inf).max(axis=0)
+    return low, high, held.all(axis=0), held.any(axis=0)
 
 
 def nearest_fill(df: DataFrame, key: str, cols: Sequence[str], k: int = 5, block: int = BLOCK) -> DataFrame:
     """Fill the gaps of ``cols`` with the mean of the ``k`` nearest rows that hold the column; ``key`` is a unique whole number.
 
     The distance is over the cells that both rows hold, scaled up to all columns; rows without a common cell are no donors, ties go to
-    the smaller key. Rows with gaps are asked, in blocks, against all rows, in blocks, so any task sees two blocks and returns ``k`` rows a gap; the
+    the smaller key. A tree learnt from some rows cuts all rows into cells of about ``block`` rows, alike in what they miss and near to each other. A bound on the
+    distance of the k-th donor comes from rows chosen by hash; rows with gaps then meet all rows, cell by cell, and leave out cells that lie beyond the bound
+    found so far. Nothing is copied for a pair of cells (``blocks``). With few columns most cells are left out; with many the
     work grows with the rows to fill times all rows. A gap without donors stays. The columns become double; scale them first if their units differ.
     """
     cols = list(cols)
+    width = len(cols)
     points = materialize(df.select(F.col(quoted(key)).cast("long").alias("id"), cells_of(cols).alias("x")).where("id is not null"), "points")
-    asked = points.where(F.exists("x", lambda v: v.isNull()))
-    nd, nq = (max(1, math.ceil(t.count() / block)) for t in (points, asked))
-
-    def dealt(t: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
-        return t.withColumns({own: F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"), other: F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))})
+    n = stored_rows(points)
+    sample = points.orderBy(F.xxhash64("id"), "id").limit(max(1, min(TREE_ROWS, TREE_NUMBERS // max(1, width)))).collect()      # a bounded number
+    some_ids, some = np.array([r["id"] for r in sample], np.int64), np.array([r["x"] for r in sample], float).reshape(-1, width)
+    tree = _cells(some, max(4, math.ceil(len(some) * block / max(1, n))))
+    some_ids, some = some_ids[:BOUND_ROWS], some[:BOUND_ROWS]
 
-    groups = ["qb", "db"]
-    found = dealt(asked, "qb", nq, "db", nd).groupBy(*groups).cogroup(dealt(points, "db", nd, "qb", nq).groupBy(*groups)).applyInArrow(
-        _donors(len(cols), k), "id long, col int, donor long, distance double, value double")
+    def celled(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            cell = _cell_of(tree, matrix(batch.column("x"), width))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("x"), pa.array(cell, pa.int64())], ["id", "x", "grp"])
+
+    def ordered(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        group = group.sort_by([("grp", "ascending"), ("id", "ascending")]).combine_chunks()
+        return group["id"].to_numpy(), matrix(group["x"].combine_chunks(), width), group["grp"].to_numpy()
+
+    def donors(group: pa.Table) -> dict[str, np.ndarray]:
+        ids, x, cell = ordered(group)
+        cuts = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1))
+        cuts = np.unique(np.concatenate([cuts, np.arange(0, len(ids), 2 * block)]))
+        return {"ids": ids, "x": x, "cuts": cuts.astype(np.int64)}
+
+    def gaps(group: pa.Table) -> dict[str, np.ndarray]:
+        ids, x, _ = ordered(group)
+        asked = _Asked(ids, x, k)
+        asked.take(np.arange(len(ids)), some_ids, some, only_bounds=True)
+        return {"ids": ids, "x": x, "bound": asked.bound}
+
+    rows = points.mapInArrow(celled, "id long, x array<double>, grp long")
+    has_gap = F.exists("x", lambda v: v.isNull())
+    counts = rows.groupBy("grp").agg(F.count("*").alias("n"), F.count_if(has_gap).alias("asked")).collect()      # one row a cell
+    most = blocks.rows_a_block(16 * block, width)
+    size = 8 * (width + 1)
+    asked = blocks.packed(rows.where(has_gap), blocks.numbered([(r["grp"], r["asked"]) for r in counts if r["asked"]], most), gaps, ["ids", "x", "bound"],
+                          size, sum(r["asked"] for r in counts), spread=True, name="asked")
+    given = blocks.packed(rows, blocks.numbered([(r["grp"], r["n"]) for r in counts], most), donors, ["ids", "x", "cuts"], size, n, name="donors")
+
+    def start(b: dict) -> _Asked:
+        state = _Asked(np.frombuffer(b["ids"], np.int64), np.frombuffer(b["x"]).reshape(-1, width), k)
+        state.bound = np.frombuffer(b["bound"]).copy()
+        return state
+
+    def step(asked: _Asked, _: int, b: dict) -> None:
+        ids, d, cuts = np.frombuffer(b["ids"], np.int64), np.frombuffer(b["x"]).reshape(-1, width), np.frombuffer(b["cuts"], np.int64)
+        rows = asked.within(np.arange(len(asked.ids)), *_box(d))
+        if len(rows):
+            for at, to in zip(cuts, [*cuts[1:], len(ids)], strict=True):
+                near = asked.within(rows, *_box(d[at:to]))
+                if len(near):
+                    asked.take(near, ids[at:to], d[at:to])
+
+    found = blocks.meet(asked, given, start, step, _Asked.found, "id long, col int, donor long, distance double, value double")
     nearest = Window.partitionBy("id", "col").orderBy("distance", "donor")
     best = found.withColumn("_r", F.row_number().over(nearest)).where(F.col("_r") <= k).groupBy("id", "col").agg(F.avg("value").alias("value"))
     wide = best.groupBy("id").agg(*[F.max(F.when(F.col("col") == j, F.col("value"))).alias(f"_v{j}") for j in range(len(cols))])

@@ -405,3 +405,32 @@ def test_stream_latency_percentiles(spark, tmp_path):
         assert r["processed"] == len(own) and abs(r["latency_total"] - sum(own)) < 1e-6
         for name, p in S.LATENCIES.items():
             assert abs(np.searchsorted(own, r[name], "right") / len(own) - p) < 0.02
+
+
+def test_nearest_fill_writes_no_copies_of_its_rows(spark, monkeypatch):
+    """Many blocks, all patterns of gaps and many equal rows; no row is shuffled for a pair of blocks."""
+    rng = np.random.default_rng(12)
+    x = np.round(rng.normal(size=(700, 3)), 1)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[600:] = [1.0, 2.0, 3.0]
+    x[600:650, 1] = np.nan
+    cols = list("abc")
+    df = spark.createDataFrame([(i, *(None if math.isnan(v) else float(v) for v in r)) for i, r in enumerate(x)], "id long, a double, b double, c double")
+    want = {}
+    for i in range(len(x)):
+        for j, c in enumerate(cols):
+            if math.isnan(x[i, j]):
+                both = ~np.isnan(x[i]) & ~np.isnan(x)
+                with np.errstate(all="ignore"):
+                    far = np.sqrt(np.where(both, (x[i] - x) ** 2, 0.0).sum(axis=1) * 3 / both.sum(axis=1))
+                far[~both.any(axis=1) | np.isnan(x[:, j])] = np.inf
+                pick = [o for o in np.lexsort((np.arange(len(x)), far))[:4] if far[o] < np.inf]
+                want[i, c] = x[pick, j].mean() if pick else None
+    made = []
+    monkeypatch.setattr(chained.blocks, "meet", lambda *a, f=chained.blocks.meet: made.append(f(*a)) or made[-1])
+    got = {r["id"]: r for r in chained.nearest_fill(df, "id", cols, 4, block=4).collect()}
+    assert len(got) == len(x)
+    for (i, c), v in want.items():
+        assert (got[i][c] is None) == (v is None) and (v is None or abs(got[i][c] - v) < 1e-9)
+    plan = made[0]._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan

@@ -14,6 +14,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelwright.ml import paths
 from panelwright.runtime import materialize, stored_rows
 from panelwright.sources.readers import sample_rows
 
@@ -106,9 +107,9 @@ def shapley_attributions(classifier, df: DataFrame, features: Sequence[str], key
 
     Every row is explained unless the caller asks for a ``fraction`` or a number of ``rows``. For random feature
     orders, features are switched one by one from a background row to the row's own values; the score change
-    belongs to the switched feature. The rows * permutations * (features + 1) combinations are scored in one
-    distributed batch; the sums of a row are formed in the task that scores it. Orders and background rows are
-    hashes of the key; the ``background`` rows (a fixed number) stand for the table.
+    belongs to the switched feature. Two-class forests, boosted trees and logistic regressions over plain columns are scored along whole
+    orders in the task that holds the row (``paths``); for others the rows * permutations * (features + 1) combinations are scored in one
+    distributed batch. Orders and background rows are hashes of the key; the ``background`` rows (a fixed number) stand for the table.
     """
     d = len(features)
     vectors = [c for c in features if isinstance(df.schema[c].dataType, VectorUDT)]      # each is switched as a whole
@@ -129,7 +130,15 @@ def shapley_attributions(classifier, df: DataFrame, features: Sequence[str], key
     picked = sample_rows(base, fraction, ["h"], seed)
     if rows is not None:
         picked = picked.orderBy("h").limit(rows)
-    paths = (picked.select(*[c for c in picked.columns if c != "g"], F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
+    names = F.array(*[F.lit(c) for c in features])
+    scorer = None if vectors else paths.scorer_of(classifier)
+    if scorer is not None:
+        rest = [[0.0 if v is None else v for v in r["b"]] for r in back.orderBy("back").collect()]              # a small fixed number
+        sums = picked.select("h", "x").mapInArrow(paths.attributed(scorer, rest, d, permutations, seed), "f int, total double, n long")
+        return (sums.groupBy(F.get(names, F.col("f")).alias("feature"))
+                .agg((F.sum("total") / F.sum("n")).alias("mean_abs_attribution"), F.sum("n").alias("n_rows"))
+                .orderBy(F.desc("mean_abs_attribution"), "feature"))
+    orders = (picked.select(*[c for c in picked.columns if c != "g"], F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm"))
              .withColumn("back", F.pmod(F.xxhash64("h", "perm", F.lit(seed)), F.lit(n_back)).cast("int"))
              .join(F.broadcast(back), "back")
              .withColumn("order", F.array_sort(F.transform(
@@ -137,7 +146,7 @@ def shapley_attributions(classifier, df: DataFrame, features: Sequence[str], key
                  lambda f: F.struct(F.xxhash64(F.col("h"), F.col("perm"), f).alias("r"), f.alias("f")))))
              .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(d))))
              .withColumn("switched", F.transform(F.slice("order", F.lit(1), F.col("step")), lambda s: s["f"])))
-    mixed = paths.select("id", F.get(F.col("order"), F.col("step") - 1)["f"].alias("f"), F.get(F.col("order"), F.col("step"))["f"].alias("next"),
+    mixed = orders.select("id", F.get(F.col("order"), F.col("step") - 1)["f"].alias("f"), F.get(F.col("order"), F.col("step"))["f"].alias("next"),
                          array_to_vector(F.transform("x", lambda v, i: F.when(F.array_contains(F.col("switched"), i), v)
                                                      .otherwise(F.get(F.col("b"), i)))).alias("features" if not vectors else "_numbers"),
                          *[F.when(F.array_contains(F.col("switched"), len(numbers) + i), F.col(f"_v{i}")).otherwise(F.col(f"_b{i}")).alias(
@@ -150,7 +159,6 @@ def shapley_attributions(classifier, df: DataFrame, features: Sequence[str], key
     signed = scored.select("id", F.inline(F.array(F.struct(F.col("f"), F.col("score").alias("s")),
                                                   F.struct(F.col("next").alias("f"), (-F.col("score")).alias("s")))))
     per_row = signed.where(F.col("f").isNotNull()).groupBy("id", "f").agg((F.sum("s") / permutations).alias("phi"))
-    names = F.array(*[F.lit(c) for c in features])
     return (per_row.groupBy(F.get(names, F.col("f")).alias("feature"))
             .agg(F.avg(F.abs("phi")).alias("mean_abs_attribution"), F.count("*").alias("n_rows"))
             .orderBy(F.desc("mean_abs_attribution"), "feature"))

@@ -289,3 +289,30 @@ def test_training_job_leaves_all_tables(spark, sf):
     assert spark.read.option("header", True).csv(f"{out}/attributions").count() == len(result.features)
     assert spark.read.parquet(f"{out}/ledger").where("kind = 'metric'").count() == 13
     assert art.load_artifacts(spark, out).threshold == result.threshold
+
+
+def test_attributions_along_whole_orders_equal_scored_rows(spark, monkeypatch):
+    import random
+
+    from panelwright.ml import paths
+
+    rnd = random.Random(5)
+    names = ["a", "b", "c", "e"]
+    data = [(i // 2 if i else None, *(round(rnd.gauss(0, 1), 1) for _ in names)) for i in range(400)]
+    data = [(*r, int(r[1] + r[2] * r[3] > rnd.gauss(0, 0.5))) for r in data]
+    df = spark.createDataFrame(data, "id int, a double, b double, c double, e double, label int")
+    ready = models.assemble(df, names)
+    for kind, settings in (("random_forest", {"n_estimators": 5, "max_depth": 5}), ("gbt", {"n_estimators": 4, "max_depth": 3}), ("logistic_regression", {"maxIter": 10})):
+        clf = models.make_classifier(kind, settings).fit(ready)
+        made = []
+        with monkeypatch.context() as m:
+            m.setattr(models.paths, "attributed", lambda *a, f=paths.attributed: made.append(a) or f(*a))
+            got = {r["feature"]: r for r in models.shapley_attributions(clf, df, names, ["id"], permutations=3, background=20).collect()}
+            assert made                                                  # no combination goes through the plan
+        with monkeypatch.context() as m:
+            m.setattr(models.paths, "scorer_of", lambda _: None)
+            want = {r["feature"]: r for r in models.shapley_attributions(clf, df, names, ["id"], permutations=3, background=20).collect()}
+        assert set(got) == set(want) == set(names)
+        for f in names:
+            assert got[f]["n_rows"] == want[f]["n_rows"] == 400
+            assert abs(got[f]["mean_abs_attribution"] - want[f]["mean_abs_attribution"]) < 1e-9

@@ -49,9 +49,16 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_rows = None
+    out._stored_path = path
     return out
 
 
+def forget(df: DataFrame) -> None:
+    """Delete the files of a materialized table that nothing will read again."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_path)
+    path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def stored_rows(df: DataFrame) -> int | None:
     """Row count of a materialized table, read from its files once; None for any other frame."""
     if "_stored_rows" not in df.__dict__:

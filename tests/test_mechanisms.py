@@ -434,3 +434,24 @@ def test_nearest_fill_writes_no_copies_of_its_rows(spark, monkeypatch):
         assert (got[i][c] is None) == (v is None) and (v is None or abs(got[i][c] - v) < 1e-9)
     plan = made[0]._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
+def test_stored_blocks_find_the_same_neighbours(spark, monkeypatch):
+    """Rows without clusters, a crowd of equal rows, far rows and single-precision vectors; no row is copied for a pair of blocks."""
+    rng = np.random.default_rng(21)
+    x = np.concatenate([rng.normal(size=(260, 6)), np.ones((30, 6)), rng.normal(size=(20, 6)) * 1e6, rng.normal(size=(60, 6)) * 1e-3 + 1e5])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    made = []
+    monkeypatch.setattr(neighbors.blocks, "meet", lambda *a, f=neighbors.blocks.meet: made.append(f(*a)) or made[-1])
+    for kind in ("double", "float"):
+        df = spark.createDataFrame(rows, "id long, x array<double>").select("id", F.col("x").cast(f"array<{kind}>").alias("x")).repartition(3)
+        y = x.astype(np.float32).astype(float) if kind == "float" else x
+        made.clear()
+        got = {(r["id"], r["rank"]): (r["neighbor"], r["distance"]) for r in neighbors.nearest_neighbors(df, "id", "x", 4, block=16, copies=0, few=0).collect()}
+        assert len(made) == 1 and len(got) == 4 * len(x)
+        for i in range(len(x)):
+            d = np.sqrt(((y - y[i]) ** 2).sum(axis=1))
+            order = [j for j in np.lexsort((np.arange(len(x)), d)) if j != i][:4]
+            assert [got[i, r + 1][0] for r in range(4)] == order and np.allclose([got[i, r + 1][1] for r in range(4)], d[order], rtol=1e-12, atol=0)
+        plan = made[0]._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "Exchange" not in plan

@@ -265,7 +265,7 @@ class _Near:
                 least[full] = (zz - limit * limit)[full] - slack[full]
             else:
                 least = zz - limit * limit - slack
-            r, c = np.nonzero(rough >= np.nextafter(least.astype(kind), kind(-np.inf))[:, None])
+            r, c = _places(rough >= np.nextafter(least.astype(kind), kind(-np.inf))[:, None])
             step = max(1, MEASURED // d)
             for at in range(0, len(r), step):
                 self._measured(own[r[at:at + step]], c[at:at + step], ids, y, codes)
@@ -287,6 +287,15 @@ class _Near:
                                              ["id", "neighbor", "distance"])
 
 
+def _places(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the flags that are set, which are few: eight flags are looked at together."""
+    flat = flags.ravel()
+    end = flat.size - flat.size % 8
+    some = (np.flatnonzero(flat[:end].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    at = np.concatenate([some[flat[some]], end + np.flatnonzero(flat[end:])])
+    return np.divmod(at, flags.shape[1])
+
+
 def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether rows lie in one bucket of any table."""
     out = a[..., 0] == b[..., 0]

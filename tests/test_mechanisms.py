@@ -455,3 +455,9 @@ def test_stored_blocks_find_the_same_neighbours(spark, monkeypatch):
             assert [got[i, r + 1][0] for r in range(4)] == order and np.allclose([got[i, r + 1][1] for r in range(4)], d[order], rtol=1e-12, atol=0)
         plan = made[0]._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" in plan and "Exchange" not in plan
+    near = df.where("id < 290")
+    sent = neighbors.bucketed_neighbors(near, "id", "x", 4, block=16, copies=1e9)
+    assert len(made) == 1
+    met = neighbors.bucketed_neighbors(near, "id", "x", 4, block=16, copies=0, few=0)
+    assert len(made) > 2
+    assert sent.count() == met.count() > 4 * 280 and sent.exceptAll(met).count() == 0

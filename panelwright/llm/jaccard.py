@@ -32,6 +32,9 @@ MOST_COUNT = 255         # of a range in the bound; more counts as no bound
 
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()), ("counter", pa.int32()), ("shares", pa.binary())])
 KEYS = pa.schema([("key", pa.int64()), ("s1", pa.int64())])
+KEY_BYTES = 6            # of a key that are sent: keys that agree in them only make candidates, whose sets are compared
+HELD_KEYS = 1 << 18      # keys of a task that are packed together
+PACKED = pa.schema([("part", pa.int32()), ("n", pa.int32()), ("cells", pa.binary())])
 GROUPS = pa.schema([("key", pa.int64()), ("a1", pa.int64()), ("b1", pa.int64()), ("place", pa.int32())])
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -190,6 +193,53 @@ def _keys(size: int, percent: int, common):
     return batches(of, KEYS)
 
 
+def _parts(spark: SparkSession) -> np.ndarray:
+    """For each shuffle partition a number that Spark deals to it; very few of them may be left out."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    number = F.col("id").cast("int")
+    found = spark.range(12 * n).groupBy(F.pmod(F.hash(number), F.lit(n)).alias("slot")).agg(F.min(number).alias("part")).collect()   # one a partition
+    return np.array(sorted(r["part"] for r in found), np.int32)
+
+
+def _packed_keys(make, parts: np.ndarray):
+    """The rows of ``make`` (key, s1) by partition: of each key ``KEY_BYTES``, then of each its s1, as they come. A row for each key would take about half as much again."""
+
+    def sent(held: list):
+        key, s1 = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        key = key.view(np.uint64) >> np.uint64(64 - 8 * KEY_BYTES)
+        slot = (key % np.uint64(len(parts))).astype(np.int32)
+        order = np.argsort(slot, kind="stable")
+        short, s1 = key[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES], s1[order]
+        n = np.bincount(slot, minlength=len(parts))
+        ends = np.cumsum(n)
+        used = np.flatnonzero(n)
+        cells = [short[ends[u] - n[u]:ends[u]].tobytes() + s1[ends[u] - n[u]:ends[u]].tobytes() for u in used]
+        return pa.RecordBatch.from_arrays([pa.array(parts[used]), pa.array(n[used].astype(np.int32)), pa.array(cells, pa.binary())], schema=PACKED)
+
+    def run(stream):
+        held, n = [], 0
+        for batch in make(stream):
+            held.append((batch.column("key").to_numpy(), batch.column("s1").to_numpy()))
+            n += len(batch)
+            if n >= HELD_KEYS:
+                yield sent(held)
+                held, n = [], 0
+        if n:
+            yield sent(held)
+
+    return run
+
+
+def _opened_keys(stream):
+    """The keys (key, s1) of packed rows."""
+    for batch in stream:
+        for n, cells in zip(batch.column("n").to_pylist(), batch.column("cells"), strict=True):
+            raw = np.frombuffer(cells.as_buffer(), np.uint8)
+            key = np.zeros((n, 8), np.uint8)
+            key[:, :KEY_BYTES] = raw[:n * KEY_BYTES].reshape(n, KEY_BYTES)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view("<i8").ravel()), pa.array(np.frombuffer(raw[n * KEY_BYTES:].tobytes(), np.int64))], schema=KEYS)
+
+
 def _groups():
     """Pairs within key groups from rows sorted by (key, s1), and the members of groups beyond ``LEADERS`` + 1.
 
@@ -525,8 +575,9 @@ def similar_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
         common = spark.sparkContext.broadcast(common_counters(told))       # COUNTERS flags
         classes = s.store(told.where("counter is null and n > 0 and doc_id is not null").groupBy("s1", "s2").agg(
             F.min("doc_id").alias("node"), F.min("n").alias("n"), F.min("shares").alias("shares")))
-        keys = rows.where("doc_id is not null").mapInArrow(_keys(size, percent, common), "key long, s1 long")
-        found = s.store(keys.repartition("key").sortWithinPartitions("key", "s1").mapInArrow(
+        keys = rows.where("doc_id is not null").mapInArrow(_packed_keys(_keys(size, percent, common), _parts(spark)), "part int, n int, cells binary")
+        opened = keys.repartition("part").mapInArrow(_opened_keys, "key long, s1 long")
+        found = s.store(opened.sortWithinPartitions("key", "s1").mapInArrow(
             _groups(), "key long, a1 long, b1 long, place int"))
         found_at = s.tables
 

@@ -267,3 +267,30 @@ def test_shingle_bounds():
         for a, most in links.items():
             assert most <= jaccard.most_differences(a, percent)
             assert jaccard.needed(most, percent) >= most + 2
+
+
+def test_packed_keys_meet_in_one_partition_and_lose_nothing(spark):
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from panelwright.llm import jaccard
+
+    rng = np.random.default_rng(4)
+    key = np.concatenate([rng.integers(-2 ** 63, 2 ** 63 - 1, 5000), np.full(300, 77 << 40), [-1, 0, 2 ** 63 - 1]]).astype(np.int64)
+    s1 = rng.integers(-2 ** 63, 2 ** 63 - 1, len(key)).astype(np.int64)
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(key, s1, strict=True)], "key long, s1 long").repartition(3)
+    parts = jaccard._parts(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 0.8 * n <= len(parts) <= n
+    packed = df.mapInArrow(jaccard._packed_keys(lambda stream: stream, parts), "part int, n int, cells binary")
+    assert packed.select(F.sum(F.octet_length("cells"))).first()[0] == 14 * len(key)     # a row a key takes 16 bytes and its own overhead
+    opened = packed.repartition("part").mapInArrow(jaccard._opened_keys, "key long, s1 long").withColumn("at", F.spark_partition_id()).collect()
+    want = sorted(zip(((key.view(np.uint64) >> np.uint64(16)).astype(np.int64)).tolist(), s1.tolist(), strict=True))
+    assert sorted((r["key"], r["s1"]) for r in opened) == want
+    where = {}
+    for r in opened:
+        where.setdefault(r["key"], set()).add(r["at"])
+    assert all(len(w) == 1 for w in where.values())
+    empty = next(iter([b for b in jaccard._packed_keys(lambda stream: stream, parts)([])]), None)
+    assert empty is None and isinstance(jaccard.PACKED, pa.Schema)
